@@ -1,50 +1,55 @@
-"""Reading fields of a JSON payload with their JSON type."""
+"""Reading a JSON payload with each field's JSON type.
+
+The type is kept because an absent field, a null, a zero and the text "0" are treated differently.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, functions as F
 
-NUMBER_TYPES = r"^(BIGINT|DECIMAL.*|DOUBLE|FLOAT)$"
 
+def fields(payload: Column, names: Sequence[str]) -> Column:
+    """Struct with a variant per name: absent fields are NULL, JSON nulls are not. `_corrupt` is
+    set for text that is not a JSON object."""
+    ddl = ", ".join(f"{n} variant" for n in names)
+    read = F.from_json(payload, f"{ddl}, _corrupt string", {"columnNameOfCorruptRecord": "_corrupt"})
+    return F.when(F.ltrim(payload).startswith("{"), read)
+
+
+def is_number(value: Column) -> Column:
+    """A JSON number or boolean (true counts as 1), never a text."""
+    kind = F.schema_of_variant(value)
+    number = kind.isin("BIGINT", "DOUBLE", "FLOAT", "BOOLEAN") | kind.startswith("DECIMAL")
+    return F.coalesce(number, F.lit(False))
 
-def parsed(payload: Column) -> Column:
-    """The payload as a variant; NULL unless it is a JSON object."""
-    return F.when(F.ltrim(payload).startswith("{"), F.try_parse_json(payload))
 
+def number(value: Column) -> Column:
+    """Value of a number, boolean or numeric text; NULL otherwise."""
+    flag = value.try_cast("int").cast("decimal(28,8)")
+    return F.when(F.schema_of_variant(value) == "BOOLEAN", flag).otherwise(value.try_cast("decimal(28,8)"))
 
-class Field:
-    """One field of a parsed payload.
 
-    Presence, type and text are kept apart because an absent field, a null and a zero are
-    treated differently.
+def is_empty(value: Column) -> Column:
+    """Absent, null, "", zero, false or an empty list or object."""
+    text = value.try_cast("string")
+    hollow = (value.try_cast("double") == 0) | text.isin("{}", "[]")
+    return text.isNull() | F.when(F.schema_of_variant(value) == "STRING", text == "").otherwise(
+        F.coalesce(hollow, F.lit(False))
+    )
+
+
+def missing(json: str, names: Sequence[str]) -> Column:
+    """Names of the empty fields, in order.
+
+    Here and in `texts` one function runs over an array of fields: a copy of it per field would
+    make a method too long for the JVM to compile.
     """
+    listed = F.array(*[F.struct(F.lit(n).alias("name"), F.col(f"{json}.{n}").alias("value")) for n in names])
+    return F.transform(F.filter(listed, lambda f: is_empty(f["value"])), lambda f: f["name"])
+
 
-    def __init__(self, variant: Column, name: str):
-        self.name = name
-        self.value = F.try_variant_get(variant, f"$.{name}", "variant")
-        self.kind = F.schema_of_variant(self.value)
-        self.text = F.try_variant_get(variant, f"$.{name}", "string")
-
-    def absent(self) -> Column:
-        return self.value.isNull()
-
-    def is_number(self) -> Column:
-        """A JSON number or boolean (true counts as 1), never a text."""
-        return F.coalesce(self.kind.rlike(NUMBER_TYPES) | (self.kind == "BOOLEAN"), F.lit(False))
-
-    def number(self) -> Column:
-        """Value of a number, boolean or numeric text; NULL otherwise."""
-        flag = F.when(self.kind == "BOOLEAN", (self.text == "true").cast("int").cast("decimal(28,8)"))
-        return F.coalesce(flag, self.text.try_cast("decimal(28,8)"))
-
-    def empty(self) -> Column:
-        """Absent, null, "", zero, false or an empty list or object."""
-        zero = self.is_number() & (F.coalesce(self.number(), F.lit(1)) == 0)
-        hollow = (self.kind != "STRING") & self.text.isin("{}", "[]")
-        return F.coalesce(
-            self.text.isNull() | (self.text == "") | zero | hollow, F.lit(True)
-        )
-
-    def or_default(self, value: Column) -> Column:
-        """The text, or a default for an absent field (a null stays NULL)."""
-        return F.when(self.absent(), value).otherwise(self.text)
+def texts(json: str, names: Sequence[str]) -> Column:
+    """The fields' texts as an array in the order of the names."""
+    return F.transform(F.array(*[F.col(f"{json}.{n}") for n in names]), lambda v: v.try_cast("string"))

@@ -10,30 +10,35 @@ from pyspark.sql import Column, functions as F, types as T
 Bounds = Mapping[str, tuple[float | None, float | None]]
 
 
-def is_missing(name: str, schema: T.StructType) -> Column:
-    """NULL, and NaN for floating columns; a column the frame lacks is always missing."""
+def is_missing(name: str, schema: T.StructType, path: str = "") -> Column:
+    """NULL, and NaN for floating columns; a column the frame lacks is always missing.
+
+    `path` is put before the name for columns inside a struct.
+    """
     if name not in schema.names:
         return F.lit(True)
-    column = F.col(name)
+    column = F.col(path + name)
     if isinstance(schema[name].dataType, (T.FloatType, T.DoubleType)):
         return column.isNull() | F.isnan(column)
     return column.isNull()
 
 
-def below(name: str, low: float | None, schema: T.StructType) -> Column:
+def below(name: str, low: float | None, schema: T.StructType, path: str = "") -> Column:
     if low is None or name not in schema.names:
         return F.lit(False)
-    return ~is_missing(name, schema) & (F.col(name) < F.lit(low))
+    return ~is_missing(name, schema, path) & (F.col(path + name) < F.lit(low))
 
 
-def above(name: str, high: float | None, schema: T.StructType) -> Column:
+def above(name: str, high: float | None, schema: T.StructType, path: str = "") -> Column:
     if high is None or name not in schema.names:
         return F.lit(False)
-    return ~is_missing(name, schema) & (F.col(name) > F.lit(high))
+    return ~is_missing(name, schema, path) & (F.col(path + name) > F.lit(high))
 
 
-def outside(name: str, limits: tuple[float | None, float | None], schema: T.StructType) -> Column:
-    return below(name, limits[0], schema) | above(name, limits[1], schema)
+def outside(
+    name: str, limits: tuple[float | None, float | None], schema: T.StructType, path: str = ""
+) -> Column:
+    return below(name, limits[0], schema, path) | above(name, limits[1], schema, path)
 
 
 # a rule is (condition that marks a bad row, tag)
@@ -48,14 +53,16 @@ def range_rules(limits: Bounds, schema: T.StructType) -> list[Rule]:
     return [(outside(n, b, schema), f"range:{n}") for n, b in limits.items()]
 
 
-def storage_rules(not_null: Iterable[str], limits: Bounds, schema: T.StructType) -> list[Rule]:
+def storage_rules(
+    not_null: Iterable[str], limits: Bounds, schema: T.StructType, path: str = ""
+) -> list[Rule]:
     """One `check:<column>` rule per column with a storage constraint."""
     not_null = list(not_null)
     rules = []
     for n in dict.fromkeys([*not_null, *limits]):
-        broken = is_missing(n, schema) if n in not_null else None
+        broken = is_missing(n, schema, path) if n in not_null else None
         if n in limits:
-            out = outside(n, limits[n], schema)
+            out = outside(n, limits[n], schema, path)
             broken = out if broken is None else broken | out
         rules.append((broken, f"check:{n}"))
     return rules

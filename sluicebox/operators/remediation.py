@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from sluicebox import schemas, specs
 from sluicebox.functions import amounts, payload, rules
-from sluicebox.operators.shaping import conform
+from sluicebox.operators.shaping import computed_once, conform
 from sluicebox.operators.upsert import merge_upsert
 
 # What a replay overwrites in a sale silver already holds.
@@ -33,100 +33,114 @@ def pending_batch(
     )
 
 
-def reject_reason(variant: Column) -> Column:
-    """Why a payload cannot be replayed, NULL when it can; the first failing rule counts."""
-    fields = {n: payload.Field(variant, n) for n in specs.REPLAY_REQUIRED}
-    missing = F.concat_ws(", ", *[F.when(f.empty(), F.lit(f"'{n}'")) for n, f in fields.items()])
-    quantity, price = fields["quantity"], fields["unit_price"]
+NAMES = schemas.SILVER_SALES.names
+NUMBERS = ("quantity", "unit_price", "discount_percentage")
+
+# what a replay writes for a field the payload lacks
+DEFAULTS = {
+    **dict.fromkeys(NAMES, ""),
+    **dict.fromkeys(("sale_hour", "profit_margin", "is_weekend", "is_holiday"), "0"),
+    **dict.fromkeys(("transaction_id", "sale_date", "customer_id", "product_id")),
+}
+
+
+def unpacked(quarantine: DataFrame) -> DataFrame:
+    """Adds what the payload holds: `_readable`, the names of `_missing` fields, the `_texts` of
+    all fields, and which are `_numeric` and their `_value` for the numeric ones."""
+    read = computed_once(quarantine, {"_json": payload.fields(F.col("payload"), NAMES)})
+    field = lambda n: F.col(f"_json.{n}")
+    read = computed_once(read, {
+        "_missing": payload.missing("_json", specs.REPLAY_REQUIRED),
+        "_texts": payload.texts("_json", NAMES),
+        "_numeric": F.struct(*[payload.is_number(field(n)).alias(n) for n in ("quantity", "unit_price")]),
+        "_value": F.struct(*[payload.number(field(n)).alias(n) for n in NUMBERS]),
+    })
+    return read.select(
+        *quarantine.columns, "_missing", "_texts", "_numeric", "_value",
+        (F.col("_json").isNotNull() & F.col("_json._corrupt").isNull()).alias("_readable"),
+        F.struct(*[field(n).isNull().alias(n) for n in NAMES]).alias("_absent"),
+    )
+
+
+def reject_reason() -> Column:
+    """Why an unpacked record cannot be replayed, NULL when it can; the first failing rule counts."""
+    names = F.array_join(F.transform("_missing", lambda n: F.concat(F.lit("'"), n, F.lit("'"))), ", ")
+    quantity, price = F.col("_value.quantity"), F.col("_value.unit_price")
     return (
-        F.when(variant.isNull(), F.lit("Parse error: malformed payload"))
-        .when(missing != "", F.concat(F.lit("Missing fields: ["), missing, F.lit("]")))
-        .when(~quantity.is_number(), F.lit("Parse error: quantity is not a number"))
-        .when(quantity.number() <= 0, F.lit("Invalid quantity (<= 0)"))
-        .when(~price.is_number(), F.lit("Parse error: unit_price is not a number"))
-        .when(price.number() < 0, F.lit("Invalid unit_price (< 0)"))
+        F.when(~F.col("_readable"), F.lit("Parse error: malformed payload"))
+        .when(F.size("_missing") > 0, F.concat(F.lit("Missing fields: ["), names, F.lit("]")))
+        .when(~F.col("_numeric.quantity"), F.lit("Parse error: quantity is not a number"))
+        .when(quantity <= 0, F.lit("Invalid quantity (<= 0)"))
+        .when(~F.col("_numeric.unit_price"), F.lit("Parse error: unit_price is not a number"))
+        .when(price < 0, F.lit("Invalid unit_price (< 0)"))
     )
 
 
 def validate(quarantine: DataFrame) -> DataFrame:
     """Adds `reject_reason` and `is_valid` to each record."""
     return (
-        quarantine.withColumn("_v", payload.parsed(F.col("payload")))
-        .withColumn("reject_reason", reject_reason(F.col("_v")))
-        .withColumn("is_valid", F.col("reject_reason").isNull()).drop("_v")
+        computed_once(unpacked(quarantine), {"reject_reason": reject_reason()})
+        .select(*quarantine.columns, "reject_reason", F.col("reject_reason").isNull().alias("is_valid"))
     )
 
 
-def replay_rows(valid: DataFrame, run_date: Column, processed_at: Column) -> DataFrame:
-    """Valid records as silver rows with recomputed amounts; the discount covers the quantity.
-
-    `replay_errors` names the storage constraints a row would break.
-    """
-    df = valid.withColumn("_v", payload.parsed(F.col("payload")))
-    field = {n: payload.Field(F.col("_v"), n) for n in schemas.SILVER_SALES.names}
-    flag = lambda n: F.coalesce(field[n].text.isin("1", "true"), F.lit(False))
-    text = lambda n, default="": field[n].or_default(F.lit(default))
-    share = F.when(field["discount_percentage"].absent(), F.lit(0).cast("decimal(28,8)")).otherwise(
-        field["discount_percentage"].number()
-    )
-    # whole numbers only: a fraction is cut off
-    quantity = F.floor(field["quantity"].number()).try_cast("int")
-    df = df.select(
-        "*",
-        field["transaction_id"].text.alias("transaction_id"),
-        field["sale_date"].text.try_cast("date").alias("sale_date"),
-        text("sale_hour", "0").try_cast("decimal(10,0)").try_cast("int").alias("sale_hour"),
-        field["customer_id"].text.alias("customer_id"),
-        text("customer_name").alias("customer_name"),
-        field["product_id"].text.alias("product_id"),
-        *[text(n).alias(n) for n in ("product_name", "category", "sub_category")],
-        quantity.alias("quantity"),
-        field["unit_price"].number().alias("_price"),
-        share.alias("_share"),
-        text("profit_margin", "0").try_cast("decimal(5,2)").alias("profit_margin"),
-        *[text(n).alias(n) for n in ("payment_method", "payment_category", "store_location", "region")],
-        flag("is_weekend").alias("is_weekend"),
-        flag("is_holiday").alias("is_holiday"),
-        F.when(field["ingest_date"].absent(), run_date)
-        .otherwise(field["ingest_date"].text.try_cast("date")).alias("ingest_date"),
-        text("source_file").alias("_file"),
-    )
-    # 18 digits each leave the products exact in 38 digits
-    price, share = F.col("_price").try_cast("decimal(14,4)"), F.col("_share").try_cast("decimal(9,4)")
-    gross = price * F.col("quantity").cast("decimal(10,0)")
-    shaped = df.withColumns({
+def with_sale(unpacked_records: DataFrame, run_date: Column, processed_at: Column) -> DataFrame:
+    """Adds struct `sale`: the record as a silver row with recomputed amounts, where the discount
+    covers the quantity, and `replay_errors`, the storage constraints that row would break."""
+    share = F.when(F.col("_absent.discount_percentage"), F.lit(0)).otherwise(F.col("_value.discount_percentage"))
+    read = computed_once(unpacked_records, {
+        # whole numbers only: a fraction is cut off
+        "_units": F.floor("_value.quantity").try_cast("int"),
+        "_price": F.col("_value.unit_price").try_cast("decimal(14,4)"),
+        "_share": share.try_cast("decimal(9,4)"),
+    })
+    # at most 33 digits, so the products are exact
+    gross = F.col("_price") * F.col("_units").cast("decimal(10,0)")
+    priced = computed_once(read, {
+        "_gross": amounts.money(gross),
+        "_off": amounts.money(gross * F.col("_share") / F.lit(100).cast("decimal(3,0)")),
+    })
+    given = lambda n: F.col("_texts")[NAMES.index(n)]
+    text = lambda n: F.when(F.col(f"_absent.{n}"), F.lit(DEFAULTS[n])).otherwise(given(n))
+    flag = lambda n: F.coalesce(text(n).isin("1", "true"), F.lit(False))
+    values = {n: text(n) for n in NAMES} | {
+        "sale_date": text("sale_date").try_cast("date"),
+        "sale_hour": text("sale_hour").try_cast("decimal(10,0)").try_cast("int"),
+        "quantity": F.col("_units"),
         "unit_price": amounts.money(F.col("_price")),
         "discount_percentage": amounts.money(F.col("_share"), 5),
-        "gross_amount": amounts.money(gross),
-        "discount_amount": amounts.money(gross * share / F.lit(100).cast("decimal(3,0)")),
+        "discount_amount": F.col("_off"),
+        "gross_amount": F.col("_gross"),
+        "net_amount": amounts.money(F.col("_gross") - F.col("_off")),
+        "profit_margin": text("profit_margin").try_cast("decimal(5,2)"),
+        "is_weekend": flag("is_weekend"),
+        "is_holiday": flag("is_holiday"),
+        "ingest_date": F.when(F.col("_absent.ingest_date"), run_date).otherwise(given("ingest_date").try_cast("date")),
         "processed_at": processed_at,
-    }).withColumn("net_amount", amounts.money(F.col("gross_amount") - F.col("discount_amount")))
-    spec = specs.SALES
-    return shaped.withColumn("replay_errors", rules.first_tags(
-        rules.storage_rules(spec.not_null, spec.bounds, shaped.schema)
+    }
+    sale = F.struct(*[
+        values[f.name].cast(f.dataType).alias(f.name) for f in schemas.SILVER_SALES
+    ])
+    broken = rules.first_tags(rules.storage_rules(
+        specs.SALES.not_null, specs.SALES.bounds, schemas.SILVER_SALES, "sale."
     ))
+    return computed_once(computed_once(priced, {"sale": sale}), {"replay_errors": broken})
 
 
 def examine(
     quarantine: DataFrame, run_date: Column, processed_at: Column, max_retries: int = specs.MAX_RETRIES
 ) -> DataFrame:
-    """Open records with `verdict` (`replay`, `reject` or `fail`) and the silver columns of a
-    replay; closed ones with a NULL verdict."""
-    columns = quarantine.columns
-    tagged = validate(quarantine)
-    rows = replay_rows(tagged.withColumnRenamed("source_file", "_source"), run_date, processed_at)
+    """The records with `verdict` (`replay`, `reject` or `fail`; NULL for closed ones), their
+    `reject_reason` and the `sale` a replay writes."""
+    judged = computed_once(unpacked(quarantine), {"reject_reason": reject_reason()})
+    judged = with_sale(judged, run_date, processed_at)
     verdict = (
         F.when(~is_open(max_retries), F.lit(None).cast("string"))
         .when(F.col("reject_reason").isNotNull(), F.lit("reject"))
         .when(F.col("replay_errors").isNotNull(), F.lit("fail"))
         .otherwise(F.lit("replay"))
     )
-    silver = [F.col(n) for n in schemas.SILVER_SALES.names if n != "source_file"]
-    return rows.select(
-        *[F.col("_source" if c == "source_file" else c).alias(c) for c in columns],
-        "reject_reason", verdict.alias("verdict"),
-        F.struct(*silver, F.col("_file").alias("source_file")).alias("sale"),
-    )
+    return judged.select(*quarantine.columns, "reject_reason", verdict.alias("verdict"), "sale")
 
 
 def replay(silver: DataFrame, examined: DataFrame) -> DataFrame:

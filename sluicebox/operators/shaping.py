@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -17,6 +17,17 @@ def report_rows(summary: DataFrame, rows: Sequence[dict[str, Column]]) -> DataFr
     ])))
 
 
+def computed_once(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
+    """Add columns that later filters and projections use as values.
+
+    Spark copies the expression behind a column into every filter on it; for long expressions used
+    many times that multiplies the work and outgrows generated code. Columns that come out of a
+    one-element `inline` are computed once per row.
+    """
+    fields = F.struct(*[column.alias(name) for name, column in columns.items()])
+    return df.select("*", F.inline(F.array(fields)))
+
+
 def conform(df: DataFrame, schema) -> DataFrame:
     """Columns of `schema` in order and type; the frame's missing ones become NULL."""
     return df.select(*[
