@@ -1,0 +1,56 @@
+import pytest
+from pyspark.sql import functions as F
+
+from sluicebox import specs
+from sluicebox.operators import validation
+from sluicebox.sources import generate
+
+
+@pytest.mark.parametrize("rows", [0, 1, 10000])
+def test_row_counts(spark, rows):
+    df = generate.sales(spark, rows)
+    assert df.count() == rows
+    assert df.columns == specs.SALES.file_columns
+
+
+def test_clean_rows_pass_every_rule(spark):
+    df = generate.sales(spark, 1000)
+    assert validation.split_counts(df, specs.SALES).first()["bad_rows"] == 0
+    row = df.agg(F.min("quantity"), F.max("quantity"), F.min("unit_price"), F.max("unit_price"),
+                 F.count_distinct("transaction_id"), F.count_distinct("store_location")).first()
+    assert (row[0], row[1], row[4], row[5]) == (1, 9, 1000, 10)
+    assert 9.99 <= row[2] and row[3] <= 1999.99
+
+
+def test_rows_do_not_depend_on_the_partitioning(spark):
+    first = generate.sales(spark, 500, "mixed").repartition(7).orderBy("transaction_id").collect()
+    assert first == generate.sales(spark, 500, "mixed").orderBy("transaction_id").collect()
+
+
+@pytest.mark.parametrize("rows", [100, 1000, 5000])
+def test_modes_spoil_exact_counts(spark, rows):
+    dirty = generate.sales(spark, rows, "dirty")
+    assert dirty.where("unit_price is null").count() == min(rows // 5, 200)
+    assert dirty.where("quantity = -999").count() == 50
+    mixed = generate.sales(spark, rows, "mixed")
+    assert mixed.where("customer_id is null").count() == rows // 5
+    assert mixed.where("quantity = -5 and customer_id is null").count() == min(rows // 5, 100)
+    clean = generate.sales(spark, rows)
+    changed = generate.sales(spark, rows, "duplicates").exceptAll(clean).count()
+    assert min(rows // 4, 250) - 3 <= changed <= min(rows // 4, 250)
+
+
+def test_edge_cases(spark):
+    df = validation.tag_rows(generate.sales(spark, 100, "edge_cases"), specs.SALES)
+    assert sorted(r["error_reason"] for r in df.where("error_reason is not null").collect()) == [
+        "range:discount_percentage", "range:quantity", "range:unit_price"]
+    assert df.where(F.col("product_name").contains("\0")).count() == 1
+
+
+def test_invalid_variants(spark):
+    assert len(generate.invalid_sales(spark, 10, "missing_required_columns").columns) == 4
+    assert len(generate.invalid_sales(spark, 10, "missing_entire_column").columns) == 3
+    assert len(generate.invalid_sales(spark, 10, "extra_unknown_columns").columns) == 25
+    assert dict(generate.invalid_sales(spark, 10, "wrong_column_types").dtypes)["quantity"] == "string"
+    with pytest.raises(ValueError):
+        generate.sales(spark, 1, "unknown")
