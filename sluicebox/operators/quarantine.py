@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from sluicebox.operators.shaping import computed_once
+
 
 def payload_json(df: DataFrame, columns: Sequence[str]) -> Column:
     """The named columns as JSON: NULLs kept, values JSON cannot hold (NaN, infinities) NULL."""
@@ -25,9 +27,10 @@ def quarantine_rows(
 ) -> DataFrame:
     """Bad rows as pending quarantine records, keyed by source file and record number; columns
     named in `keep` are carried along."""
-    return bad.select(
+    rows = computed_once(bad, {"_payload": payload_json(bad, columns)})
+    return rows.select(
         record_id.cast("bigint").alias("id"),
-        payload_json(bad, columns).alias("payload"),
+        F.col("_payload").alias("payload"),
         F.coalesce(F.col("error_reason"), F.lit("unknown")).alias("error_reason"),
         failed_at.alias("failed_at"),
         run_id.alias("ingestion_run_id"),

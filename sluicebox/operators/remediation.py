@@ -143,12 +143,18 @@ def examine(
     return judged.select(*quarantine.columns, "reject_reason", verdict.alias("verdict"), "sale")
 
 
+def replayed_sales(examined: DataFrame) -> DataFrame:
+    """The silver rows a run writes, with `arrival`: later failures count as later."""
+    return examined.where(F.col("verdict") == "replay").select(
+        "sale.*", F.struct("failed_at", "id").alias("arrival")
+    )
+
+
 def replay(silver: DataFrame, examined: DataFrame) -> DataFrame:
-    """Silver with the replayable records merged in, later failures last."""
-    rows = examined.where(F.col("verdict") == "replay").select(
-        "sale.*", F.struct("failed_at", "id").alias("_arrival")
+    """Silver with the replayable records merged in."""
+    merged = merge_upsert(
+        silver, replayed_sales(examined), ["transaction_id"], REPLAY_UPDATES, arrival="arrival"
     )
-    merged = merge_upsert(silver, rows, ["transaction_id"], REPLAY_UPDATES, arrival="_arrival")
     return conform(merged, schemas.SILVER_SALES)
 
 

@@ -9,8 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from sluicebox import schemas, specs
 from sluicebox.operators import files, quarantine, silver, validation
 from sluicebox.operators.shaping import conform
-from sluicebox.operators.upsert import merge_upsert
-from sluicebox.plans.layers import AUDIT, LEDGER, QUARANTINE, SALES, Layers
+from sluicebox.plans.layers import AUDIT, LEDGER, QUARANTINE, Layers
 from sluicebox.sources import bronze
 
 # What a merge overwrites in a sale silver already holds. `source_file` and
@@ -54,8 +53,9 @@ def ingest_files(
 
     The footers decide which files are read at all. The rows of the accepted ones are scanned
     once: they are written as a staging table split into good and bad, which the later steps read.
-    Rerunning after a failure repeats nothing that shows: silver and quarantine are merged by key,
-    and a file counts as done only in the ledger, which is written last.
+    Rerunning after a failure repeats nothing that shows: silver is merged by key, records the
+    quarantine knows are not added again, and a file counts as done only in the ledger, which is
+    written last.
     """
     store, at = layers.store, F.lit(now).cast("timestamp_ntz")
     staging = f"staging.{run_id}"
@@ -81,13 +81,10 @@ def ingest_files(
         failed = quarantine.quarantine_rows(
             bad, specs.SALES.columns.names, F.col("record_id"), F.lit(run_id), at
         )
-        layers.replace(QUARANTINE, merge_upsert(
-            layers.read(QUARANTINE), failed, ["source_file", "id"], update=[]
-        ))
+        known = layers.read(QUARANTINE).select("source_file", "id")
+        layers.append(QUARANTINE, failed.join(known, ["source_file", "id"], "left_anti"))
         shaped = silver.shape_silver(good, F.lit(now.date()), at)
-        layers.replace(SALES, merge_upsert(
-            layers.read(SALES), shaped, ["transaction_id"], UPDATES, arrival="arrival"
-        ))
+        layers.sales.merge(shaped, ["transaction_id"], UPDATES, "arrival")
         counts = files.file_counts(staged, F.col("outcome") == "bad")
 
     outcomes = gated.withColumnRenamed("row_count", "rows_read")
@@ -109,11 +106,11 @@ def ingest_files(
 
 
 def record_audit(layers: Layers, audit: DataFrame, started: datetime, finished: datetime) -> None:
-    layers.append(AUDIT, conform(audit.withColumns({
+    layers.append(AUDIT, audit.withColumns({
         "started_at": F.lit(started).cast("timestamp_ntz"),
         "finished_at": F.lit(finished).cast("timestamp_ntz"),
         "operator": F.lit("ingest"),
-    }), schemas.AUDIT_RUNS))
+    }))
 
 
 def ingest(

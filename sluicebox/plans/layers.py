@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from sluicebox import schemas
-from sluicebox.sources.tables import TableStore
+from sluicebox.operators.shaping import conform
+from sluicebox.sources.tables import DayTable, TableStore
 
 SALES, CUSTOMERS, PRODUCTS = "silver.sales", "silver.customers", "silver.products"
 QUARANTINE, LEDGER = "quarantine.sales_failed", "metadata.ingestion_metadata"
@@ -28,28 +29,22 @@ SCHEMAS = {
 
 
 class Layers:
-    """The medallion's tables in one store.
+    """The medallion's tables in one store. Silver sales are kept by sale date; the others are
+    small beside them and replaced whole or appended to."""
 
-    `buckets` stores silver hashed and sorted on the transaction id, so that a merge moves only
-    its batch; choose it so that a bucket fits a task (a few hundred MB).
-    """
-
-    def __init__(self, spark: SparkSession, root: str, buckets: int | None = None):
+    def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.store = TableStore(spark, root)
-        self.buckets = buckets
+        self.sales = DayTable(self.store, SALES, SCHEMAS[SALES], "sale_date")
 
     def read(self, name: str) -> DataFrame:
-        return self.store.read(name, SCHEMAS[name])
+        return self.sales.read() if name == SALES else self.store.read(name, SCHEMAS[name])
 
     def replace(self, name: str, df: DataFrame) -> DataFrame:
-        layout = {}
-        if name == SALES and self.buckets:
-            layout["bucket_by"] = (self.buckets, ["transaction_id"])
-        return self.store.replace(name, df, SCHEMAS[name], **layout)
+        return self.store.replace(name, df, SCHEMAS[name])
 
     def append(self, name: str, df: DataFrame) -> None:
-        self.store.append(name, df)
+        self.store.append(name, conform(df, SCHEMAS[name]))
 
     def tables(self) -> dict[str, DataFrame]:
         return {name: self.read(name) for name in SCHEMAS}

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from sluicebox import specs
 from sluicebox.operators import remediation
-from sluicebox.plans.layers import QUARANTINE, SALES, Layers
+from sluicebox.plans.layers import QUARANTINE, Layers
 
 
 def remediate(layers: Layers, run_id: str, now: datetime, max_retries: int = specs.MAX_RETRIES) -> DataFrame:
@@ -25,6 +25,8 @@ def remediate(layers: Layers, run_id: str, now: datetime, max_retries: int = spe
     totals = layers.store.write(
         f"staging.{run_id}.totals", remediation.run_totals(examined, at, max_retries)
     )
-    layers.replace(SALES, remediation.replay(layers.read(SALES), examined))
+    layers.sales.merge(
+        remediation.replayed_sales(examined), ["transaction_id"], remediation.REPLAY_UPDATES, "arrival"
+    )
     layers.replace(QUARANTINE, remediation.settle(examined, at, max_retries))
     return totals

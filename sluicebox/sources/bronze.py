@@ -154,20 +154,22 @@ def read_files(
 
 
 def write_partitioned(df: DataFrame, root: str, by: Sequence[str] = ("ingest_date",)) -> None:
-    """Snappy Parquet under hive-style folders. The rows are not shuffled by folder first: one
-    date may hold a third of them, and a task of its own would have to write those alone."""
-    df.write.mode("append").option("compression", "snappy").partitionBy(*by).parquet(root)
+    """Snappy Parquet under hive-style folders. Rebalancing splits a folder that holds many of the
+    rows over several tasks and files, and lets small ones share a task."""
+    (df.hint("rebalance", *by).write.mode("append").option("compression", "snappy")
+     .partitionBy(*by).parquet(root))
 
 
 def fingerprint(df: DataFrame, columns: Sequence[str], by: str = "source_file") -> DataFrame:
     """Per file a row count and a checksum that does not depend on row order.
 
-    Each row gives 60 bits of an MD5 over its values; the sum of these combines before the
-    shuffle, and 38 digits hold it for 10^19 rows.
+    Each row gives two 32-bit words of an MD5 over its values; their sums combine before the
+    shuffle, and a bigint holds them for two billion rows of a file.
     """
     values = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]
-    h = F.conv(F.substring(F.md5(F.concat_ws("|", *values).cast("binary")), 1, 15), 16, 10)
-    return df.groupBy(by).agg(
+    hashed = df.select(by, F.md5(F.concat_ws("|", *values).cast("binary")).alias("_hash"))
+    word = lambda start: F.sum(F.conv(F.substring("_hash", start, 8), 16, 10).cast("bigint"))
+    return hashed.groupBy(by).agg(
         F.count(F.lit(1)).alias("record_count"),
-        F.sum(h.cast("decimal(20,0)")).cast("decimal(38,0)").cast("string").alias("checksum"),
+        F.concat_ws("-", word(1).cast("string"), word(9).cast("string")).alias("checksum"),
     )

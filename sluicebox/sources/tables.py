@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 from sluicebox.operators.shaping import conform
+from sluicebox.operators.upsert import collapse_batch, merge_upsert
 
 
 class TableStore:
@@ -60,33 +62,17 @@ class TableStore:
             if schema is None:
                 raise LookupError(f"table {name} has not been written under {self.root}")
             return self.spark.createDataFrame([], schema)
-        location = self.location(name, versions[-1])
-        catalog_name = self._catalog_name(name, versions[-1])
-        if self.spark.catalog.tableExists(catalog_name):
-            return self.spark.table(catalog_name)
         reader = self.spark.read
-        return (reader.schema(schema) if schema is not None else reader).parquet(location)
+        return (reader.schema(schema) if schema is not None else reader).parquet(
+            self.location(name, versions[-1])
+        )
 
-    def write(
-        self, name: str, df: DataFrame, partition_by: Sequence[str] = (),
-        bucket_by: tuple[int, Sequence[str]] | None = None,
-    ) -> DataFrame:
-        """Write a new version and read it back.
-
-        `bucket_by` (count, columns) stores the rows hashed and sorted on a key: a later merge on
-        that key then shuffles only its batch, not the table.
-        """
-        version = self._next(name)
-        location = self.location(name, version)
-        writer = df.write.format("parquet").option("compression", "snappy")
+    def write(self, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
+        """Write a new version and read it back."""
+        writer = df.write.mode("errorifexists").option("compression", "snappy")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        if bucket_by is None:
-            writer.mode("errorifexists").save(location)
-        else:
-            count, columns = bucket_by
-            (writer.bucketBy(count, *columns).sortBy(*columns).option("path", location)
-             .mode("errorifexists").saveAsTable(self._catalog_name(name, version)))
+        writer.parquet(self.location(name, self._next(name)))
         return self.read(name, None if partition_by else df.schema)
 
     def append(self, name: str, df: DataFrame) -> None:
@@ -102,9 +88,60 @@ class TableStore:
     def truncate(self, name: str, schema: T.StructType) -> DataFrame:
         return self.write(name, self.spark.createDataFrame([], schema))
 
-    def replace(self, name: str, df: DataFrame, schema: T.StructType, **layout) -> DataFrame:
-        return self.write(name, conform(df, schema), **layout)
+    def replace(self, name: str, df: DataFrame, schema: T.StructType) -> DataFrame:
+        return self.write(name, conform(df, schema))
+
 
-    def _catalog_name(self, name: str, version: int) -> str:
-        slug = re.sub(r"\W+", "_", f"{self.root}_{name}").strip("_").lower()
-        return f"{slug[-100:]}_v{version:06d}"
+class DayTable:
+    """A keyed table kept in folders of whole days, for merges that must not rewrite it all.
+
+    A merge writes the days it touches to a new folder and then a new version of the small table
+    that says which folder holds each day. Until that last step readers see the old folders, so a
+    merge that dies leaves nothing behind. The list of days is the only thing the driver holds.
+    """
+
+    def __init__(self, store: TableStore, name: str, schema: T.StructType, day: str):
+        self.store, self.name, self.schema, self.day = store, name, schema, day
+        self.folder = f"{store.root}/{name}.days"
+        self.index = T.StructType([T.StructField("day", T.DateType()), T.StructField("part", T.LongType())])
+
+    def parts(self) -> dict[date, int]:
+        return {r["day"]: r["part"] for r in self.store.read(self.name, self.index).collect()}
+
+    def read(self, days: Collection[date] | None = None) -> DataFrame:
+        """The whole table, or only some of its days."""
+        held = {d: p for d, p in self.parts().items() if days is None or d in days}
+        if not held:
+            return self.store.spark.createDataFrame([], self.schema)
+        paths = [f"{self.folder}/part={p}/{self.day}={d.isoformat()}" for d, p in sorted(held.items())]
+        df = self.store.spark.read.schema(self.schema).option("basePath", self.folder).parquet(*paths)
+        return df.select(*self.schema.names)
+
+    def merge(self, batch: DataFrame, keys: Sequence[str], update: Sequence[str], arrival: str) -> int:
+        """Upsert a batch; returns the number of days rewritten.
+
+        Touched are the days of the batch and those of the rows it replaces, which a scan of only
+        key and day finds. Rebalancing gives a day the files its size needs: a day with a third of
+        all rows is split over many tasks, and small days share one.
+        """
+        batch = self.store.write(f"{self.name}.batch", collapse_batch(batch, keys, update, arrival))
+        held = self.read().select(*keys, self.day).join(batch.select(*keys), list(keys), "left_semi")
+        touched = {
+            r[0] for r in held.select(self.day).unionByName(batch.select(self.day)).distinct().collect()
+        }
+        if not touched:
+            return 0
+        merged = conform(merge_upsert(self.read(touched), batch, keys, update), self.schema)
+        part = max(self.parts().values(), default=0) + 1
+        target = f"{self.folder}/part={part}"
+        (merged.hint("rebalance", self.day).write.mode("overwrite").option("compression", "snappy")
+         .partitionBy(self.day).parquet(target))
+        # a day whose last row moved to another day is no longer there
+        folder, fs = self.store._path(target)
+        names = [e.getPath().getName() for e in fs.listStatus(folder)]
+        written = {date.fromisoformat(n.split("=")[1]): part for n in names if n.startswith(f"{self.day}=")}
+        kept = {d: p for d, p in self.parts().items() if d not in touched}
+        self.store.write(self.name, self.store.spark.createDataFrame(
+            sorted({**kept, **written}.items()), self.index
+        ))
+        return len(touched)

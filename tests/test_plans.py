@@ -13,7 +13,7 @@ from sluicebox.plans.layers import AUDIT, LEDGER, QUARANTINE, SALES, SCHEMAS, La
 from sluicebox.plans.quality import check_quality
 from sluicebox.plans.remediation import remediate
 from sluicebox.sources import bronze, generate
-from sluicebox.sources.tables import TableStore
+from sluicebox.sources.tables import DayTable, TableStore
 from sluicebox.streaming import ingest as stream_ingest
 
 
@@ -93,21 +93,25 @@ def test_stream_ingest_sees_only_new_files(spark, layers, landed, tmp_path):
     assert layers.read(AUDIT).orderBy("rows_read").first()["rows_read"] == 250
 
 
-def test_bucketed_silver_merges_without_moving_the_table(spark, tmp_path, landed):
-    layers = Layers(spark, str(tmp_path / "bucketed"), buckets=4)
-    ingest(spark, layers, str(landed), "run1", NOW)
-    check_ingested(layers)
-    from sluicebox.operators.upsert import merge_upsert
-
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        sales = layers.read(SALES)
-        batch = sales.where("quantity > 5").coalesce(1)
-        plan = merge_upsert(sales, batch, ["transaction_id"])._jdf.queryExecution().executedPlan().toString()
-        # the one shuffle is the batch's; the table is read bucket by bucket
-        assert "Bucketed: true" in plan and plan.count("Exchange") == 1
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+def test_merge_rewrites_only_the_days_it_touches(spark, tmp_path):
+    def rows(*values):
+        df = spark.createDataFrame(list(values), "transaction_id string, d string, quantity int, n int")
+        return df.select("transaction_id", F.col("d").cast("date").alias("sale_date"), "quantity", "n")
+
+    schema = rows(("a", "2024-01-01", 1, 1)).drop("n").schema
+    table = DayTable(TableStore(spark, str(tmp_path)), "sales", schema, "sale_date")
+    merge = lambda *values: table.merge(rows(*values), ["transaction_id"], ["sale_date", "quantity"], "n")
+    content = lambda: sorted((r[0], r[1].day, r[2]) for r in table.read().collect())
+    assert table.read().count() == 0
+    merge(("a", "2024-01-01", 1, 1), ("b", "2024-01-02", 2, 1), ("c", "2024-01-03", 3, 1), ("d", "2024-01-03", 4, 1))
+    first = table.parts()
+    # b leaves its day empty, d stays, e is new
+    assert merge(("b", "2024-01-04", 20, 1), ("e", "2024-01-04", 5, 1), ("e", "2024-01-04", 50, 2)) == 2
+    assert content() == [("a", 1, 1), ("b", 4, 20), ("c", 3, 3), ("d", 3, 4), ("e", 4, 50)]
+    now = table.parts()
+    assert {d.day: p for d, p in now.items()} == {1: 1, 3: 1, 4: 2} and len(first) == 3
+    merge(("b", "2024-01-04", 20, 1), ("e", "2024-01-04", 50, 1))
+    assert content() == [("a", 1, 1), ("b", 4, 20), ("c", 3, 3), ("d", 3, 4), ("e", 4, 50)]
 
 
 def test_whole_cycle(spark, layers, landed):
