@@ -633,6 +633,16 @@ add("remediation_replay", f"""SELECT {shown(SALES_COLUMNS, 'BOOLEAN')}, source_f
   FROM firsts f JOIN lasts l USING (transaction_id)""", "silver", "judged", extra=_replayed)
 
 
+# --- incremental forms --------------------------------------------------------------------------
+
+# none of the given tables has the sales columns
+add("stream_file_gate", " UNION ALL ".join(f"SELECT '{t}.parquet' AS file_name, 'SCHEMA_DRIFT' AS status" for t in TABLES))
+add("stream_dedup", "SELECT DISTINCT user_id || '-' || event_type AS key FROM events")
+add("stream_daily", """SELECT CAST(ts AS DATE) AS event_date, count(*) AS events,
+  CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_value FROM events GROUP BY 1""")
+ORACLES["stream_throttle"] = ORACLES["alert_throttle"]
+
+
 # --- dashboards ---------------------------------------------------------------------------------
 
 add("kpi_total_revenue", "SELECT CAST(sum(exact_net) AS DOUBLE) AS total_revenue FROM daily", "daily")

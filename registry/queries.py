@@ -11,7 +11,9 @@ from sluicebox import schemas, specs
 from sluicebox.operators import (
     alerts, checks, dashboards, files, gold, quality, quarantine, remediation, silver, upsert, validation,
 )
+from sluicebox.plans import ingest as ingest_plan
 from sluicebox.sources import adhoc, bronze, generate, orders
+from sluicebox.streaming import events, ingest as ingest_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -350,16 +352,17 @@ def quarantine_payload(spark, sf_dir):
     return rows.select("id", "payload", "error_reason", "failed_at", "ingestion_run_id", "source_file")
 
 
-@register("alert_throttle")
-def alert_throttle(spark, sf_dir):
+def _alerts(events_rows: DataFrame) -> DataFrame:
     kind = F.col("event_type")
     severity = F.when(kind == "error", F.lit("critical")).when(
         kind.isin("purchase", "signup"), F.lit("warning")
     ).otherwise(F.lit("info"))
-    rows = orders.table(spark, sf_dir, "events").select(
-        "event_id", kind.alias("alert_key"), severity.alias("severity"), "ts"
-    )
-    return alerts.throttle(rows)
+    return events_rows.select("event_id", kind.alias("alert_key"), severity.alias("severity"), "ts")
+
+
+@register("alert_throttle")
+def alert_throttle(spark, sf_dir):
+    return alerts.throttle(_alerts(orders.table(spark, sf_dir, "events")))
 
 
 # --- silver dimensions and gold -----------------------------------------------------------------
@@ -523,6 +526,61 @@ def remediation_run(spark, sf_dir):
     return remediation.run_totals(_examined(spark, sf_dir), R.now())
 
 
+# --- incremental forms --------------------------------------------------------------------------
+
+def _events_stream(spark, sf_dir) -> DataFrame:
+    schema = orders.table(spark, sf_dir, "events").schema
+    return events.parquet_stream(spark, sf_dir, schema, "events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+def _checkpoint(spark, sf_dir, name: str) -> str:
+    return f"{R.store(spark, sf_dir).root}/checkpoints/{name}"
+
+
+def _collected(spark, sf_dir, name: str, stream: DataFrame, mode: str) -> DataFrame:
+    """Rows a stream emits, with their batch number; a redelivered batch brings equal rows."""
+    store = R.store(spark, sf_dir)
+
+    def keep(batch: DataFrame, number: int) -> None:
+        store.append(f"stream.{name}", batch.withColumn("batch", F.lit(number)))
+
+    events.drain(stream, _checkpoint(spark, sf_dir, name), keep, mode)
+    return store.read(f"stream.{name}")
+
+
+@register("stream_file_gate")
+def stream_file_gate(spark, sf_dir):
+    stream = ingest_stream.new_files(spark, sf_dir, 1000)
+    found = _collected(spark, sf_dir, "files", stream, "append").select("file_path").distinct()
+    return ingest_plan.gate(bronze.footers(found)).select(
+        F.element_at(F.split("file_path", "/"), -1).alias("file_name"), "status"
+    )
+
+
+@register("stream_dedup")
+def stream_dedup(spark, sf_dir):
+    # the delay spans the events, so no repeat is late enough to pass
+    stream = _events_stream(spark, sf_dir).select("ts", F.concat_ws("-", "user_id", "event_type").alias("key"))
+    kept = events.first_per_key(stream, "key", "ts", "400 days").select("key")
+    return _collected(spark, sf_dir, "dedup", kept, "append").select("key")
+
+
+@register("stream_daily")
+def stream_daily(spark, sf_dir):
+    stream = events.daily(_events_stream(spark, sf_dir), "ts", "value", "user_id")
+    updates = _collected(spark, sf_dir, "daily", stream, "update")
+    latest = upsert.latest_per_key(updates, ["event_date"], [F.desc("batch")])
+    return latest.select("event_date", "events", "total_value")
+
+
+@register("stream_throttle")
+def stream_throttle(spark, sf_dir):
+    store = R.store(spark, sf_dir)
+    stream = _alerts(_events_stream(spark, sf_dir))
+    events.throttle_stream(stream, store, _checkpoint(spark, sf_dir, "throttle"))
+    return store.read("alerts.decided.0").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
 # --- dashboards ---------------------------------------------------------------------------------
 
 for _name, _query in dashboards.DASHBOARDS.items():
