@@ -80,10 +80,8 @@ def throttle(alerts: DataFrame, last_sent: DataFrame | None = None) -> DataFrame
     `event_id`); the join is on key and second, which spreads a hot key.
     """
     timed = _timed(alerts)
-    first = timed.groupBy("alert_key", "second").agg(
-        F.min_by("event_id", F.struct("wait", "event_id")).alias("event_id")
-    )
-    marks = first.join(sent_seconds(alerts, last_sent), ["alert_key", "second"]).select(
+    first = timed.groupBy("alert_key", "second", "wait").agg(F.min("event_id").alias("event_id"))
+    marks = sent_seconds(alerts, last_sent).join(first, ["alert_key", "second", "wait"]).select(
         "alert_key", "second", "event_id", F.lit(True).alias("_sent")
     )
     sent = (F.col("wait") == ALWAYS) | F.coalesce(F.col("_sent"), F.lit(False))

@@ -51,7 +51,12 @@ def drift(
 
     No baseline means no alert; an empty table is reported as not populated.
     """
-    joined = counts.join(baseline_before(baselines, as_of), "table_name", "left")
+    both = counts.select("table_name", "row_count").unionByName(
+        baseline_before(baselines, as_of), allowMissingColumns=True
+    )
+    joined = both.groupBy("table_name").agg(
+        F.max("row_count").alias("row_count"), F.max("baseline").alias("baseline")
+    ).where(F.col("row_count").isNotNull())
     baseline = F.coalesce(F.col("baseline"), F.lit(0)).cast("double")
     current = F.col("row_count").cast("double")
     change = F.when(

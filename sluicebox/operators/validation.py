@@ -239,33 +239,34 @@ def column_stats(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     for name in columns or df.columns:
         data_type = df.schema[name].dataType
         value = F.col("value")
-        # the generator of equal NaNs aside, NaN counts as NULL
+        # NaN counts as NULL
         present = ~rules.is_missing("value", T.StructType([T.StructField("value", data_type)]))
-        numeric = isinstance(data_type, T.NumericType)
         per_value = df.select(F.col(name).alias("value")).groupBy("value").agg(
             F.count(F.lit(1)).alias("n")
         )
-        if numeric:
-            weight = "decimal(38,2)" if isinstance(data_type, T.DecimalType) else data_type.simpleString()
-            if isinstance(data_type, (T.IntegerType, T.LongType, T.ShortType, T.ByteType)):
-                weight = "decimal(38,0)"
-            product = value.cast(weight) * F.col("n").cast("decimal(19,0)") if "decimal" in weight else value * F.col("n")
-            low = F.min(F.when(present, value)).cast("double")
-            high = F.max(F.when(present, value)).cast("double")
-            mean = F.try_divide(
-                F.sum(F.when(present, product)).cast("double"),
-                F.sum(F.when(present, F.col("n"))).cast("double"),
-            )
-        else:
-            low = high = mean = F.max(F.lit(None).cast("double"))
-        parts.append(per_value.agg(
-            F.max(F.lit(name)).alias("column_name"),
-            F.max(F.lit(data_type.simpleString())).alias("dtype"),
-            F.coalesce(F.sum(F.when(~present, F.col("n"))), F.lit(0)).alias("null_count"),
-            F.count_if(present).alias("unique_count"),
-            low.alias("min_value"),
-            high.alias("max_value"),
-            mean.alias("mean_value"),
+        measures = {
+            "null_count": F.coalesce(F.sum(F.when(~present, F.col("n"))), F.lit(0)),
+            "unique_count": F.count_if(present),
+        }
+        if isinstance(data_type, T.NumericType):
+            # exact types are summed exactly
+            exact = not isinstance(data_type, (T.FloatType, T.DoubleType))
+            times = F.col("n").cast("decimal(19,0)") if exact else F.col("n")
+            whole = exact and not isinstance(data_type, T.DecimalType)
+            total = F.sum(F.when(present, (value.cast("decimal(19,0)") if whole else value) * times))
+            measures |= {
+                "min_value": F.min(F.when(present, value)).cast("double"),
+                "max_value": F.max(F.when(present, value)).cast("double"),
+                "mean_value": F.try_divide(
+                    total.cast("double"), F.sum(F.when(present, F.col("n"))).cast("double")
+                ),
+            }
+        counted = per_value.agg(*[m.alias(n) for n, m in measures.items()])
+        nothing = F.lit(None).cast("double")
+        parts.append(counted.select(
+            F.lit(name).alias("column_name"), F.lit(data_type.simpleString()).alias("dtype"),
+            "null_count", "unique_count",
+            *[(F.col(c) if c in measures else nothing).alias(c) for c in ("min_value", "max_value", "mean_value")],
         ))
     stats = parts[0]
     for part in parts[1:]:
