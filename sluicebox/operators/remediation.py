@@ -18,6 +18,10 @@ REPLAY_UPDATES = (
 )
 
 
+# Who closed a record.
+REPLAYED_BY, REJECTED_BY, ESCALATED_BY = "remediation_dag", "auto_rejected", "dead_letter_escalation"
+
+
 def is_open(max_retries: int = specs.MAX_RETRIES) -> Column:
     return (F.col("remediation_status") == "pending") & (F.col("retry_count") < max_retries)
 
@@ -186,7 +190,7 @@ def settle(
             "error_reason",
         ),
         "corrected_by": pick(
-            F.lit("remediation_dag"), F.lit("auto_rejected"), F.lit("dead_letter_escalation"), "corrected_by"
+            F.lit(REPLAYED_BY), F.lit(REJECTED_BY), F.lit(ESCALATED_BY), "corrected_by"
         ),
         "replayed": pick(closed, closed, closed, "replayed"),
         "replayed_at": pick(now, now, now, "replayed_at"),

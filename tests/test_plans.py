@@ -1,4 +1,4 @@
-from datetime import date, datetime, timedelta
+from datetime import date, timedelta
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -9,7 +9,7 @@ from helpers import NOW
 from sluicebox.operators import dashboards
 from sluicebox.plans.gold import build_gold
 from sluicebox.plans.ingest import ingest
-from sluicebox.plans.layers import AUDIT, LEDGER, QUARANTINE, SALES, SCHEMAS, Layers
+from sluicebox.plans.layers import AUDIT, LEDGER, QUARANTINE, SALES, SCHEMAS
 from sluicebox.plans.quality import check_quality
 from sluicebox.plans.remediation import remediate
 from sluicebox.sources import bronze, generate
