@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sluicebox.llm import packing, token_counts
+from sluicebox.llm import packing, token_counts, warc
 from sluicebox.llm.common import table
 
 
@@ -22,9 +22,24 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"), spark)
+
+
 QUERIES = {
     "op3_token_counts": op3_token_counts,
     "op6_packing": op6_packing,
+    "op8_warc": op8_warc,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op8_warc": """
+        WITH p AS (
+            SELECT page_id, url, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS n FROM pages
+        ), k AS (SELECT html, max(page_id) AS keeper FROM p WHERE n >= 1000 GROUP BY html)
+        SELECT page_id, url, CAST(n AS BIGINT) AS payload_bytes, sha1(p.html) AS payload_digest,
+               CASE WHEN keeper IS DISTINCT FROM page_id AND keeper IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN keeper IS DISTINCT FROM page_id THEN keeper END AS refers_to
+        FROM p LEFT JOIN k ON p.html = k.html AND p.n >= 1000
+    """,
+}
