@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sluicebox.llm import packing, token_counts, warc
+from sluicebox.llm import packing, token_counts, topk, warc
 from sluicebox.llm.common import table
 
 
@@ -26,13 +26,36 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"), spark)
 
 
+def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors, vectors.where("vec_id % 100 = 0"))
+
+
 QUERIES = {
     "op3_token_counts": op3_token_counts,
     "op6_packing": op6_packing,
     "op8_warc": op8_warc,
+    "op10_topk": op10_topk,
 }
 
 ORACLES: dict[str, str] = {
+    "op10_topk": """
+        WITH v AS (
+            SELECT vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS z
+            FROM embeddings
+            WHERE embedding IS NOT NULL
+              AND len([1 for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+        ), s AS (
+            SELECT q.vec_id AS query_id, v.vec_id,
+                   CAST(list_sum([p[1] * p[2] for p in list_zip(q.z, v.z)]) AS BIGINT) AS score
+            FROM v AS q JOIN v ON q.vec_id % 100 = 0 AND q.vec_id <> v.vec_id
+        ), r AS (
+            SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+                   vec_id, score
+            FROM s
+        )
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+    """,
     "op8_warc": """
         WITH p AS (
             SELECT page_id, url, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS n FROM pages
