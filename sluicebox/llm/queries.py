@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sluicebox.llm import decontamination, packing, token_counts, topk, warc
+from sluicebox.llm import decontamination, packing, substrings, token_counts, topk, warc
 from sluicebox.llm.common import table
 
 
@@ -34,6 +34,14 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"), spark)
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substrings.remove_repeats(table(spark, sf_dir, "documents"))
+    return cut.select(
+        "doc_id", "text", "removed", F.size("removed").cast("bigint").alias("n_removed"),
+        F.expr("aggregate(removed, 0L, (n, s) -> n + s.end - s.begin)").alias("removed_chars"),
+    )
+
+
 def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return topk.top_k(vectors, vectors.where("vec_id % 100 = 0"))
@@ -44,6 +52,7 @@ QUERIES = {
     "op3_token_counts": op3_token_counts,
     "op6_packing": op6_packing,
     "op8_warc": op8_warc,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_topk": op10_topk,
 }
 
