@@ -1,9 +1,10 @@
 """Token counts of whole texts, without materialising ids.
 
 A text is cut into pre-tokens. A block of documents keeps one dictionary of its distinct pre-tokens
-and, for each document, frequencies by dictionary index. The distinct pre-tokens of all blocks meet
-in one shuffle, where each is split into pieces once; the piece counts go back to the blocks and are
-summed with the frequencies. What is shuffled are dictionaries and small integers, not texts.
+and, for each document, frequencies by dictionary index. The dictionaries of all blocks meet in one
+shuffle, where each distinct pre-token is split into pieces once; the piece counts go back to the
+blocks and are summed with the frequencies. What is shuffled are dictionaries and small integers,
+not texts.
 """
 
 from __future__ import annotations
@@ -27,11 +28,20 @@ BLOCK_CHARS = 24_000_000
 DICTIONARY_ROW = 20_000
 
 _BLOCKS = (
-    "block string, doc_id bigint, n_bytes bigint, n_special bigint, idx binary, freq binary, "
+    "block bigint, doc_id bigint, n_bytes bigint, n_special bigint, idx binary, freq binary, "
     "first int, words array<string>"
 )
 
 
+def _planes(values: np.ndarray) -> bytes:
+    """32-bit numbers with their low bytes first, then the next bytes and so on; compresses well."""
+    return values.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _numbers(planes: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+
+
 def _normal(text: str) -> str:
     # lower-casing is by character: a final capital sigma has no form of its own
     return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
@@ -47,7 +57,7 @@ def _blocks(batches):
     chars = 0
 
     def closed():
-        block = uuid.uuid4().hex
+        block = uuid.uuid4().int >> 65
         frame = pd.DataFrame(rows, columns=["doc_id", "n_bytes", "n_special", "idx", "freq"], dtype=object)
         yield frame.assign(block=block, first=None, words=None)
         listed = list(words)
@@ -70,7 +80,7 @@ def _blocks(batches):
             order = np.argsort(idx)
             idx = np.diff(idx[order], prepend=np.uint32(0))
             rows.append((None if pd.isna(doc_id) else int(doc_id), len(text.encode()), n_special,
-                         idx.tobytes(), freq[order].tobytes()))
+                         _planes(idx), _planes(freq[order])))
             chars += len(text)
             if len(words) >= BLOCK_WORDS or chars >= BLOCK_CHARS:
                 for frame in closed():
@@ -82,15 +92,26 @@ def _blocks(batches):
 
 
 def _pieces(path: str):
+    """Piece counts of sorted pre-tokens, each distinct one split once."""
+
     def count(batches):
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
+        last, last_n = None, 0
         for batch in batches:
-            for start in range(0, len(batch), 5000):
-                part = batch["word"].iloc[start : start + 5000]
-                found = tokenizer.encode_batch_fast(list(part), add_special_tokens=False)
-                yield pd.DataFrame({"word": part, "n": [len(e.ids) for e in found]})
+            words = batch["word"].to_numpy(object)
+            new = np.concatenate([[words[0] != last], words[1:] != words[:-1]]) if len(words) else np.zeros(0, bool)
+            found: list[int] = []
+            distinct = list(words[new])
+            for start in range(0, len(distinct), 5000):
+                part = tokenizer.encode_batch_fast(distinct[start : start + 5000], add_special_tokens=False)
+                found.extend(len(e.ids) for e in part)
+            # rows in front of the first new word belong to the last word of the batch before
+            n = np.array([last_n, *found], np.int64)[np.cumsum(new)]
+            if len(words):
+                last, last_n = words[-1], int(n[-1])
+            yield pd.DataFrame({"of_block": batch["block"], "idx": batch["idx"], "n": n})
 
     return count
 
@@ -99,7 +120,7 @@ def _summed(docs: pd.DataFrame, counts: pd.DataFrame) -> pd.DataFrame:
     pieces = np.zeros(int(counts["idx"].max()) + 1 if len(counts) else 1, np.int64)
     pieces[counts["idx"].to_numpy(np.int64)] = counts["n"].to_numpy(np.int64)
     totals = [
-        int(special) + int(pieces[np.cumsum(np.frombuffer(idx, np.uint32))] @ np.frombuffer(freq, np.uint32).astype(np.int64))
+        int(special) + int(pieces[np.cumsum(_numbers(idx))] @ _numbers(freq).astype(np.int64))
         for special, idx, freq in zip(docs["n_special"], docs["idx"], docs["freq"])
     ]
     return pd.DataFrame({"doc_id": docs["doc_id"].astype("Int64"), "n_bytes": docs["n_bytes"], "n_tokens": totals})
@@ -122,8 +143,11 @@ def count_tokens(
         .select("block", "first", F.posexplode("words").alias("place", "word"))
         .select("block", (F.col("first") + F.col("place")).alias("idx"), "word")
     )
-    pieces = units.select("word").distinct().mapInPandas(_pieces(vocabulary), "word string, n int")
-    counts = units.join(pieces, "word").select(F.col("block").alias("of_block"), "idx", "n")
+    # equal pre-tokens of all blocks lie side by side; a word has one row a block at most
+    counts = (
+        units.repartition("word").sortWithinPartitions("word")
+        .mapInPandas(_pieces(vocabulary), "of_block bigint, idx int, n int")
+    )
     summed = (
         blocks.where("words is null").select("block", "doc_id", "n_bytes", "n_special", "idx", "freq")
         .groupBy("block").cogroup(counts.groupBy("of_block"))
