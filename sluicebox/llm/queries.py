@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sluicebox.llm import decontamination, packing, substrings, token_counts, topk, warc
+from sluicebox.llm import decontamination, near_duplicates, packing, substrings, token_counts, topk, warc
 from sluicebox.llm.common import table
 
 
@@ -26,6 +26,10 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
@@ -50,6 +54,7 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op3_token_counts": op3_token_counts,
+    "op5_near_duplicates": op5_near_duplicates,
     "op6_packing": op6_packing,
     "op8_warc": op8_warc,
     "op9_substring_dedup": op9_substring_dedup,
