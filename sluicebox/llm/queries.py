@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sluicebox.llm import decontamination, near_duplicates, packing, substrings, token_counts, topk, warc
+from sluicebox.llm import decontamination, near_duplicates, packing, substrings, token_counts, topk, toxicity, warc
 from sluicebox.llm.common import table
 
 
@@ -26,6 +26,11 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
 
@@ -54,6 +59,7 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op3_token_counts": op3_token_counts,
+    "op4_toxicity": op4_toxicity,
     "op5_near_duplicates": op5_near_duplicates,
     "op6_packing": op6_packing,
     "op8_warc": op8_warc,
