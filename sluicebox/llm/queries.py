@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sluicebox.llm import decontamination, near_duplicates, packing, substrings, token_counts, topk, toxicity, warc
+from sluicebox.llm import decontamination, language_model, near_duplicates, packing, substrings, token_counts, topk, toxicity, warc
 from sluicebox.llm.common import table
 
 
@@ -39,6 +39,11 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op7_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language_model.score(docs, language_model.fit(docs))
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"), spark)
 
@@ -62,6 +67,7 @@ QUERIES = {
     "op4_toxicity": op4_toxicity,
     "op5_near_duplicates": op5_near_duplicates,
     "op6_packing": op6_packing,
+    "op7_language_model": op7_language_model,
     "op8_warc": op8_warc,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_topk": op10_topk,
