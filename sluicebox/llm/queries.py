@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sluicebox.llm import decontamination, language_model, near_duplicates, packing, substrings, token_counts, topk, toxicity, warc
+from sluicebox.llm import decontamination, html, language_model, near_duplicates, packing, substrings, token_counts, topk, toxicity, warc
 from sluicebox.llm.common import table
 
 
@@ -22,6 +22,10 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract_text(table(spark, sf_dir, "pages"))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
@@ -63,6 +67,7 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontamination": op1_decontamination,
+    "op2_html_text": op2_html_text,
     "op3_token_counts": op3_token_counts,
     "op4_toxicity": op4_toxicity,
     "op5_near_duplicates": op5_near_duplicates,
