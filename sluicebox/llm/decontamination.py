@@ -14,8 +14,7 @@ import hashlib
 import re
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from sluicebox.llm.common import spread, written
 
@@ -215,31 +214,44 @@ def character_spans(text: str, spans: list[tuple[int, int]]) -> list[tuple[int,
     return [(places[a][0], places[b - 1][1]) for a, b in spans]
 
 
-def _searched(shared, window: int, shard_words: int):
+_HITS = "n_words bigint, n_hit bigint, items array<string>, spans array<struct<begin:int,end:int>>"
+
+
+def _searched(shared, window: int, shard_words: int, first_pass: bool):
+    """Fills the columns of `_HITS`, or adds the hits of one more part of the benchmark to them."""
+
     def search(batches):
+        import pyarrow as pa
+
         phrases = shared.value
-        held: list[tuple] = []
-        total = 0
+        types = [pa.int64(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())]))]
+        names = [c.split()[0] for c in _HITS.split(", ")]
 
-        def results():
+        def shard(part, texts, symbols):
             rows = []
-            found = _shard([h[1] for h in held], phrases, window)
-            for (row, symbols, text), (n_hit, items, spans) in zip(held, found):
-                rows.append((row, len(symbols), [phrases.items[i] for i in items],
-                             [{"begin": a, "end": b} for a, b in character_spans(text, spans)] if spans else [],
-                             n_hit))
-            return pd.DataFrame(rows, columns=["row", "n_words", "items", "spans", "n_hit"])
+            found = _shard(symbols, phrases, window)
+            old = zip(*[part.column(c).to_pylist() for c in names]) if not first_pass else [(0, 0, [], [])] * len(texts)
+            for text, numbers, (n_hit, items, spans), (_, old_hit, old_items, old_spans) in zip(texts, symbols, found, old):
+                items = [phrases.items[i] for i in items]
+                spans = [{"begin": a, "end": b} for a, b in character_spans(text, spans)] if spans else []
+                if old_items:
+                    items, spans = sorted({*old_items, *items}), _union([*old_spans, *spans])
+                    n_hit = sum(len(_WORD.findall(text[s["begin"] : s["end"]])) for s in spans)
+                rows.append((len(numbers), n_hit, items, spans))
+            columns = [pa.array(list(c), t) for c, t in zip(zip(*rows), types)]
+            kept = [n for n in part.schema.names if n not in names]
+            return pa.RecordBatch.from_arrays([part.column(n) for n in kept] + columns, kept + names)
 
         for batch in batches:
-            for row, text in zip(batch["row"], batch["text"]):
+            start, symbols, total = 0, [], 0
+            texts = batch.column("text").to_pylist()
+            for place, text in enumerate(texts, 1):
                 words = words_of(text)
-                held.append((row, np.fromiter(map(phrases.vocabulary.__getitem__, words), np.int32, len(words)), text or ""))
+                symbols.append(np.fromiter(map(phrases.vocabulary.__getitem__, words), np.int32, len(words)))
                 total += len(words)
-                if total >= shard_words:
-                    yield results()
-                    held, total = [], 0
-        if held:
-            yield results()
+                if total >= shard_words or place == len(texts):
+                    yield shard(batch.slice(start, place - start), [t or "" for t in texts[start:place]], symbols)
+                    start, symbols, total = place, [], 0
 
     return search
 
@@ -247,14 +259,15 @@ def _searched(shared, window: int, shard_words: int):
 def benchmark_hits(
     docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW,
-    shard_words: int = SHARD_WORDS, benchmark_bytes: int = BENCHMARK_BYTES,
+    shard_words: int = SHARD_WORDS, benchmark_bytes: int = BENCHMARK_BYTES, carry: str | None = None,
 ) -> DataFrame:
     """`doc_id, text, n_words, n_hit, items, spans` for each row of `docs`: how many words stand in
     an occurrence of a benchmark window, the items (as strings, sorted) that own such windows, and
     the merged occurrences as character offsets.
 
     The phrases go to every task, so they are bounded: a benchmark of more than `benchmark_bytes` is
-    searched in several passes, each with the items of one part of it. Defined results: a null text
+    searched in several passes, each with the items of one part of it. The column `carry` comes along
+    as `carried`. Defined results: a null text
     has no words; a null id stays null; items without words, or without an id, match nothing;
     repeated rows and items give the same as single ones, row by row; empty tables give no rows or no
     hits; other columns are not read.
@@ -265,48 +278,20 @@ def benchmark_hits(
     ).where("item is not null and text is not null").distinct()
     size = items.agg(F.sum(F.octet_length("text") + F.octet_length("item"))).first()[0] or 0
     passes = -(-size // benchmark_bytes) or 1
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    none = "cast(array() as array<struct<begin:int,end:int>>)"
-    out = rows.select("doc_id", "text", F.lit(0).cast("bigint").alias("n_words"), F.lit(0).cast("bigint").alias("n_hit"),
-                      F.expr("cast(array() as array<string>)").alias("items"), F.expr(none).alias("spans"))
+    columns = [F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")]
+    out = docs.select(*columns, *([F.col(carry).alias("carried")] if carry else []))
     for part in range(passes):
         chosen = items if passes == 1 else items.where(spread("item", over=passes) == part)
         phrases = spark.sparkContext.broadcast(Phrases([tuple(r) for r in chosen.orderBy("item", "text").collect()], window))
-        out = out.mapInPandas(_merged(phrases, window, shard_words), out.schema)
+        schema = T.StructType([f for f in out.schema if f.name in ("doc_id", "text", "carried")])
+        for field in T._parse_datatype_string(_HITS):
+            schema = schema.add(field)
+        out = out.mapInArrow(_searched(phrases, window, shard_words, part == 0), schema)
         if passes > 1:
             out = written(out, "benchmark-pass")
     return out
 
 
-def _merged(shared, window: int, shard_words: int):
-    """Adds the hits of one part of the benchmark to those found before."""
-    search = _searched(shared, window, shard_words)
-
-    def run(batches):
-        held: dict[int, tuple] = {}
-
-        def numbered():
-            n = 0
-            for batch in batches:
-                ids = range(n, n + len(batch))
-                held.update(zip(ids, zip(batch["doc_id"], batch["text"], batch["n_hit"], batch["items"], batch["spans"])))
-                n += len(batch)
-                yield pd.DataFrame({"row": ids, "text": batch["text"]})
-
-        for found in search(numbered()):
-            rows = []
-            for row, n_words, items, spans, n_hit in found.itertuples(index=False):
-                doc_id, text, old_hit, old_items, old_spans = held.pop(row)
-                if len(old_items):
-                    items = sorted({*old_items, *items})
-                    spans = _union([*old_spans, *spans])
-                    n_hit = sum(len(_WORD.findall(text[s["begin"] : s["end"]])) for s in spans)
-                rows.append((None if pd.isna(doc_id) else int(doc_id), text, n_words, n_hit, items, spans))
-            yield pd.DataFrame(rows, columns=["doc_id", "text", "n_words", "n_hit", "items", "spans"]).astype({"doc_id": "Int64"})
-
-    return run
-
-
 def _union(spans) -> list[dict]:
     """Spans that overlap as one."""
     out: list[dict] = []

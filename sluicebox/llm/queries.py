@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sluicebox.llm import decontamination, html, language_model, near_duplicates, packing, substrings, token_counts, topk, toxicity, warc
@@ -66,6 +67,7 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "pipeline": corpus_pipeline.run,
     "op1_decontamination": op1_decontamination,
     "op2_html_text": op2_html_text,
     "op3_token_counts": op3_token_counts,

@@ -14,7 +14,7 @@ import re
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from sluicebox.llm.common import WordHashes, mixed, written
 
@@ -123,62 +123,76 @@ def _agreeing(a: np.ndarray, b: np.ndarray) -> int:
     return int(different[0]) if len(different) else n
 
 
+def _kept_spans(text: str, runs: list[dict], hashes: WordHashes, min_words: int, every: int, most: int) -> list[tuple[int, int]]:
+    """Character spans of the runs of a text, their ends moved outwards, that have enough words."""
+    words, ends = hashed_words(text, hashes)
+    starts, _, digests = units(words, ends, every, most)
+    digest_at = dict(zip(starts.tolist(), digests.tolist()))
+    merged: list[list[int]] = []
+    parts = []
+    for r in runs:
+        # a run speaks of the text it was found in; another text under the id stays
+        wanted = zip(np.frombuffer(r["starts"], np.int64).tolist(), np.frombuffer(r["digests"], np.int64).tolist())
+        if any(digest_at.get(s) != d for s, d in wanted):
+            continue
+        before = np.frombuffer(r["before"] or b"", np.uint64)[::-1]
+        after = np.frombuffer(r["after"] or b"", np.uint64)
+        parts.append((r["first"] - _agreeing(words[: r["first"]][::-1][: len(before)], before),
+                      r["last"] + _agreeing(words[r["last"] : r["last"] + len(after)], after)))
+    for first, last in sorted(parts):
+        if merged and first <= merged[-1][1]:
+            merged[-1][1] = max(merged[-1][1], last)
+        else:
+            merged.append([first, last])
+    merged = [m for m in merged if m[1] - m[0] >= min_words]
+    places = [m.start() for m in _WORD.finditer(text)] + [len(text)] if merged else []
+    return [(places[a], places[b]) for a, b in merged]
+
+
 def _without(min_words: int, every: int, most: int):
     def cut(batches):
+        import pyarrow as pa
+
         hashes = WordHashes()
+        spans_type = pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())]))
         for batch in batches:
-            texts, removed = [], []
-            for text, runs in zip(batch["text"], batch["runs"]):
-                spans = []
-                if runs is not None and len(runs):
-                    words, ends = hashed_words(text, hashes)
-                    starts, _, digests = units(words, ends, every, most)
-                    digest_at = dict(zip(starts.tolist(), digests.tolist()))
-                    parts = []
-                    for r in runs:
-                        # a run speaks of the text it was found in; another text under the id stays
-                        wanted = zip(np.frombuffer(r["starts"], np.int64).tolist(), np.frombuffer(r["digests"], np.int64).tolist())
-                        if any(digest_at.get(s) != d for s, d in wanted):
-                            continue
-                        before = np.frombuffer(r["before"] or b"", np.uint64)[::-1]
-                        after = np.frombuffer(r["after"] or b"", np.uint64)
-                        first = r["first"] - _agreeing(words[: r["first"]][::-1][: len(before)], before)
-                        last = r["last"] + _agreeing(words[r["last"] : r["last"] + len(after)], after)
-                        parts.append((first, last))
-                    merged: list[list[int]] = []
-                    for first, last in sorted(parts):
-                        if merged and first <= merged[-1][1]:
-                            merged[-1][1] = max(merged[-1][1], last)
-                        else:
-                            merged.append([first, last])
-                    places = [m.start() for m in _WORD.finditer(text)] + [len(text)]
-                    spans = [(places[a], places[b]) for a, b in merged if b - a >= min_words]
-                rest, at = [], 0
-                for a, b in spans:
-                    rest.append(text[at:a])
-                    at = b
-                texts.append(text if not spans else "".join([*rest, text[at:]]))
-                removed.append([{"begin": a, "end": b} for a, b in spans])
-            yield batch.drop(columns=["runs"]).assign(text=texts, removed=removed)
+            texts, removed = batch.column("text").to_pylist(), [[]] * batch.num_rows
+            for k, runs in enumerate(batch.column("runs").to_pylist()):
+                text = texts[k]
+                if runs is None or text is None:
+                    continue
+                spans = _kept_spans(text, runs, hashes, min_words, every, most)
+                edges = [0, *(e for span in spans for e in span), len(text)]
+                texts[k] = "".join(text[a:b] for a, b in zip(edges[::2], edges[1::2]))
+                removed[k] = [{"begin": a, "end": b} for a, b in spans]
+            kept = [n for n in batch.schema.names if n not in ("text", "runs")]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(n) for n in kept), pa.array(texts, pa.string()), pa.array(removed, spans_type)],
+                [*kept, "text", "removed"],
+            )
 
     return cut
 
 
 def remove_repeats(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS,
-    seed_words: int = SEED_WORDS, every: int = UNIT_EVERY, most: int = UNIT_MOST,
+    seed_words: int = SEED_WORDS, every: int = UNIT_EVERY, most: int = UNIT_MOST, carry: str | None = None,
 ) -> DataFrame:
     """`doc_id, text, removed` for each row of `docs`: the text without repeated passages of at least
     `min_words` words, and the removed spans as character offsets of the original text.
 
     Of equal units the one in the document with the smallest id, and there the first, stays. A run
-    of repeated units needs `seed_words` words before its ends are moved. Defined results: a null
+    of repeated units needs `seed_words` words before its ends are moved. The column `carry` comes
+    along as `carried`. Defined results: a null
     text stays null, an empty one empty; rows without an id are neither searched nor cut; rows that
     repeat a document are one document, each cut alike; an empty table gives no rows; other columns
     are not read.
     """
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    usable = rows.where("doc_id is not null and text is not null")
+    rows = docs.select(
+        F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
+        *([F.col(carry).alias("carried")] if carry else []),
+    )
+    usable = rows.select("doc_id", "text").where("doc_id is not null and text is not null")
     found = written(usable.mapInPandas(_all_units(every, most), _UNITS), "units")
     kept = written(
         found.groupBy("digest").agg(
@@ -212,24 +226,7 @@ def remove_repeats(
         .agg(F.collect_list(F.struct("first", "last", "digests", "starts", "before", "after")).alias("runs"))
     )
     joined = rows.join(by_doc, rows["doc_id"] == by_doc["of_doc"], "left").drop("of_doc")
-    return joined.mapInPandas(
-        _null_safe(_without(min_words, every, most)),
-        "doc_id bigint, text string, removed array<struct<begin:int,end:int>>",
+    schema = T.StructType([f for f in joined.schema if f.name not in ("text", "runs")]).add("text", "string")
+    return joined.mapInArrow(
+        _without(min_words, every, most), schema.add("removed", T._parse_datatype_string("array<struct<begin:int,end:int>>"))
     )
-
-
-def _null_safe(cut):
-    """Null texts pass by, null ids stay null."""
-
-    def run(batches):
-        def filled():
-            for batch in batches:
-                nulls.append((batch["text"].isna().to_numpy(), batch["doc_id"]))
-                yield batch.assign(text=batch["text"].where(batch["text"].notna(), ""))
-
-        nulls: list[tuple] = []
-        for out in cut(filled()):
-            missing, ids = nulls.pop(0)
-            yield out.assign(doc_id=ids.astype("Int64"), text=out["text"].where(~missing, None))
-
-    return run

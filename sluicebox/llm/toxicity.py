@@ -365,20 +365,42 @@ def _with_ids(most: int):
     return run
 
 
+def _parts(scorer: Scorer, texts: list[str | None]) -> np.ndarray:
+    """Scores in parts of about a million characters, so that a batch of long texts stays small."""
+    sizes = np.cumsum([len(t or "") for t in texts])
+    cuts = np.unique(np.concatenate([[0], np.flatnonzero(np.diff(sizes // 1_000_000, prepend=0)) + 1, [len(texts)]]))
+    scores = [scorer.texts(texts[a:b]) for a, b in zip(cuts, cuts[1:])]
+    return np.concatenate(scores) if scores else np.zeros(0)
+
+
 def _scored(shared):
     def score(batches):
         scorer = Scorer(shared.value)
         for batch in batches:
-            ids, texts = batch["doc_id"], batch["text"].to_numpy(object)
-            sizes = np.cumsum([len(t) if isinstance(t, str) else 0 for t in texts])
-            # parts of about a million characters, so that a batch of long texts stays small
-            cuts = np.unique(np.concatenate([[0], np.flatnonzero(np.diff(sizes // 1_000_000, prepend=0)) + 1, [len(texts)]]))
-            scores = [scorer.texts([t if isinstance(t, str) else None for t in texts[a:b]]) for a, b in zip(cuts, cuts[1:])]
-            yield pd.DataFrame({"doc_id": ids.astype("Int64"), "score": np.concatenate(scores) if scores else np.zeros(0)})
+            texts = [t if isinstance(t, str) else None for t in batch["text"].to_numpy(object)]
+            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "score": _parts(scorer, texts)})
 
     return score
 
 
+def _kept(shared, text_col: str, threshold: float):
+    def keep(batches):
+        import pyarrow as pa
+
+        scorer = Scorer(shared.value)
+        for batch in batches:
+            scores = _parts(scorer, batch.column(text_col).to_pylist())
+            yield batch.filter(pa.array(scores < threshold))
+
+    return keep
+
+
+def without_toxic(docs: DataFrame, net: Network, text_col: str = "text", threshold: float = 0.7) -> DataFrame:
+    """Rows of `docs`, all columns as they are, whose texts score below the threshold."""
+    shared = docs.sparkSession.sparkContext.broadcast(net)
+    return docs.mapInArrow(_kept(shared, text_col, threshold), docs.schema)
+
+
 def score(docs: DataFrame, net: Network, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.7) -> DataFrame:
     """`doc_id, held_out, score, predicted` for each row of `docs`; only the text enters the score.
 
