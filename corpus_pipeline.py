@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from sluicebox.llm import decontamination, near_duplicates, packing, substrings, toxicity
-from sluicebox.llm.common import table, written
+from sluicebox.llm.common import importable, table, written
 
 WORDS, PERCENT = 5, 80
 
@@ -28,11 +28,13 @@ def _with_text(docs: DataFrame, changed: DataFrame) -> DataFrame:
     return changed.where((F.length(F.trim(text)) > 0) | before.isNull() | (F.length(before) == 0)).select(*columns)
 
 
+@importable
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below the threshold, learnt from the labels that are not held out."""
     return toxicity.without_toxic(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+@importable
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates; of rows that repeat a document one."""
     found = near_duplicates.near_duplicates(docs, words=WORDS, percent=PERCENT)
@@ -44,11 +46,13 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return left.withColumn(nth, F.row_number().over(same)).where(F.col(nth) == 1).drop(nth)
 
 
+@importable
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that an earlier document has."""
     return _with_text(docs, substrings.remove_repeats(_packed_columns(docs), carry="whole"))
 
 
+@importable
 def cut_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the spans that benchmark items own."""
     hits = decontamination.benchmark_hits(_packed_columns(docs), table(spark, sf_dir, "benchmark"), carry="whole")
@@ -56,6 +60,7 @@ def cut_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return _with_text(docs, changed)
 
 
+@importable
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces of the documents with their places in sequences."""
     import public_tokenizers

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import functools
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -11,6 +14,20 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 _own: dict[str, str] = {}
 
 
+def importable(run):
+    """Lets Python workers import this repository where it is not installed, as in a checkout that
+    driver and executors both see; `run` takes the session first."""
+
+    @functools.wraps(run)
+    def with_path(spark: SparkSession, *args):
+        env, root = spark.sparkContext.environment, str(Path(__file__).resolve().parents[2])
+        if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+            env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, env.get("PYTHONPATH")]))
+        return run(spark, *args)
+
+    return with_path
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder named in `spark.checkpoint.dir`; only a local session without one makes its own."""
     configured = spark.conf.get("spark.checkpoint.dir", None)

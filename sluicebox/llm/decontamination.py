@@ -78,7 +78,8 @@ def suffix_array(symbols: np.ndarray, bits: int) -> np.ndarray:
     shifted = symbols.astype(np.int64) + 1
     for k in range(depth):
         key <<= bits
-        key[: n - k] |= shifted[k:] if k else shifted
+        if k < n:
+            key[: n - k] |= shifted[k:]
     order = np.argsort(key, kind="stable")
     ordered = key[order]
     fresh = np.concatenate([[True], ordered[1:] != ordered[:-1]])

@@ -6,7 +6,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sluicebox.llm import decontamination, html, language_model, near_duplicates, packing, substrings, token_counts, topk, toxicity, warc
-from sluicebox.llm.common import table
+from sluicebox.llm.common import importable, table
 
 
 def vocabulary(name: str) -> str:
@@ -66,7 +66,7 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, vectors.where("vec_id % 100 = 0"))
 
 
-QUERIES = {
+_QUERIES = {
     "pipeline": corpus_pipeline.run,
     "op1_decontamination": op1_decontamination,
     "op2_html_text": op2_html_text,
@@ -79,6 +79,7 @@ QUERIES = {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_topk": op10_topk,
 }
+QUERIES = {name: importable(query) for name, query in _QUERIES.items()}
 
 ORACLES: dict[str, str] = {
     "op10_topk": """
