@@ -241,21 +241,27 @@ def main_text(html: str | None, template=None) -> str:
     fixed = template_tokens([n for n in nodes if n.kind != "text" or n.text.strip()], template)
     slot = lambda n: n.kind == "text" and not n.dropped and n.token not in fixed and n.text.strip() != ""
     best = max((n.main for n in nodes if slot(n)), default=0)
-    blocks, words = [], []
+    blocks: list[str] = []
+    # texts of the current block, and whether each is template
+    words: list[tuple[str, bool]] = []
+
+    def end_block() -> None:
+        # fixed words within a sentence are part of it; a block of nothing else is template
+        if not all(is_fixed for text, is_fixed in words if text.strip()):
+            blocks.append(" ".join("".join(text for text, _ in words).split()))
+        words.clear()
+
     for node in nodes:
-        if node.kind == "text":
-            if node.main >= best and not node.dropped and node.token not in fixed:
-                words.append(node.text)
-            continue
         name = node.name.partition("[")[0]
-        if name in BLOCKS or name in RAW and node.kind == "open":
-            if name in BLOCKS:
-                blocks.append("".join(words))
-                words = []
+        if node.kind == "text":
+            if node.main >= best and not node.dropped:
+                words.append((node.text, node.token in fixed))
+        elif name in BLOCKS:
+            end_block()
         elif name in CELLS:
-            words.append(" ")
-    blocks.append("".join(words))
-    return "\n\n".join(b for b in (" ".join(x.split()) for x in blocks) if b)
+            words.append((" ", False))
+    end_block()
+    return "\n\n".join(b for b in blocks if b)
 
 
 def _packed(batches):

@@ -19,8 +19,9 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from sluicebox.llm.common import WordHashes, mixed, written
 
 MIN_WORDS = 40
-SEED_WORDS = 16
-UNIT_EVERY = 8
+SEED_WORDS = 10
+TELLING_WORDS = 4
+UNIT_EVERY = 6
 UNIT_MOST = 32
 
 _UNITS = "doc_id bigint, start int, n_words int, digest bigint"
@@ -89,6 +90,11 @@ def _runs(seed_words: int):
         at = np.flatnonzero(new)
         out = []
         for a, b in zip(at, np.append(at[1:], len(start))):
+            # units of few words recur by chance; the ends of a run are units that do not
+            telling = a + np.flatnonzero(size[a:b] >= TELLING_WORDS)
+            if not len(telling):
+                continue
+            a, b = telling[0], telling[-1] + 1
             if start[b - 1] + size[b - 1] - start[a] < seed_words:
                 continue
             left, right = repeated.iloc[a], repeated.iloc[b - 1]
