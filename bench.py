@@ -23,7 +23,7 @@ HEADLINE = [
     "upsert_merge", "file_checksum", "quarantine_payload", "audit_run", "dim_customers",
     "dim_products", "daily_sales", "product_performance", "store_performance",
     "customer_analytics", "category_insights", "regional_sales", "dq_completeness",
-    "dq_orphan_customers", "remediation_run", "alert_throttle", "gen_mixed", "daily_growth",
+    "dq_orphan_customers", "remediation_run", "alert_throttle", "daily_growth",
     "top_products", "customer_details", "quality_score",
 ]
 

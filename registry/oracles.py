@@ -6,7 +6,6 @@ integer arithmetic, and money leaves as double.
 
 from __future__ import annotations
 
-from sluicebox.sources import generate as G
 
 NOW = "TIMESTAMP '2002-01-01 00:00:00'"
 QUALITY_AS_OF = "TIMESTAMP '2001-11-04 12:00:00'"
@@ -290,10 +289,10 @@ add("describe", """SELECT column_name, CASE column_type WHEN 'BIGINT' THEN 'bigi
 add("bronze_by_category", "SELECT category, count(*) AS cnt, CAST(sum(net_amount) AS DOUBLE) AS total FROM bronze GROUP BY 1", "bronze")
 add("bronze_daily_revenue", "SELECT sale_date, CAST(sum(net_amount) AS DOUBLE) AS daily_revenue FROM bronze GROUP BY 1", "bronze")
 add("bronze_by_date", f"SELECT {shown(SALES_COLUMNS)} FROM bronze WHERE sale_date = DATE '1998-10-03'", "bronze")
-_values = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in SALES_COLUMNS)
+_values = " || ".join(f"coalesce(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), 'N')" for c in SALES_COLUMNS)
 _word = lambda start: f"CAST(sum(CAST('0x' || substr(h, {start}, 8) AS BIGINT)) AS VARCHAR)"
 add("file_checksum", f"""SELECT source_file, count(*) AS record_count, {_word(1)} || '-' || {_word(9)} AS checksum
-  FROM (SELECT source_file, md5(concat_ws('|', {_values})) AS h FROM bronze) GROUP BY source_file""", "bronze")
+  FROM (SELECT source_file, md5({_values}) AS h FROM bronze) GROUP BY source_file""", "bronze")
 add("max_watermark", "SELECT max(processed_at) AS max_value, count(*) AS row_count FROM silver", "silver")
 
 TABLES = ["benchmark", "conversations", "customer", "documents", "embeddings", "events", "labels", "lineitem",
@@ -311,89 +310,6 @@ add("schema_drift", """SELECT file_name, TRUE AS has_drift, missing_columns, ext
     extra=f"expected(c) AS (VALUES {_expected}), given AS ({_given})")
 
 
-# --- generator ----------------------------------------------------------------------------------
-
-def mix(salt: int, row: str = "i") -> str:
-    a, b, p = 48271 + 2 * salt, 1013904223 + 7919 * salt, G.PRIME
-    x = f"((({row} % {p}) * {a} + {b}) % {p})"
-    return f"(({x} * {x} + {b} + {row} % {p}) % {p})"
-
-
-def pick(values, salt: int) -> str:
-    return "CASE " + f"{mix(salt)} % {len(values)} " + " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(values)) + " END"
-
-
-def weighted(values, weights, salt: int) -> str:
-    cases, bound = [], 0
-    for v, w in zip(values, weights):
-        bound += w
-        cases.append(f"WHEN {mix(salt)} % {sum(weights)} < {bound} THEN '{v}'")
-    return "CASE " + " ".join(cases) + " END"
-
-
-def two_decimals(salt: int, low: int, high: int) -> str:
-    return f"CAST({mix(salt)} % {high - low + 1} + {low} AS BIGINT)"
-
-
-def place(salt: int) -> str:
-    step = G.STEPS[salt % len(G.STEPS)]
-    return f"CAST((CAST(i AS HUGEINT) * {step} + {salt * 31}) % n AS BIGINT)"
-
-
-def txn(number: str) -> str:
-    return f"'TXN' || CASE WHEN length(CAST({number} AS VARCHAR)) < 8 THEN lpad(CAST({number} AS VARCHAR), 8, '0') ELSE CAST({number} AS VARCHAR) END"
-
-
-S = 42
-GENERATED = f"""numbered AS (SELECT i, (SELECT count(*) FROM lineitem) AS n FROM (SELECT row_number() OVER () AS i FROM lineitem)),
-drawn AS (SELECT i, n, {txn('i')} AS transaction_id, CAST(DATE '2024-01-01' + CAST({mix(S)} % 366 AS INTEGER) AS DATE) AS sale_date,
-  {mix(S + 1)} % 24 AS sale_hour, 'CUST' || ({mix(S + 2)} % 9000 + 1000) AS customer_id,
-  {pick(G.FIRST_NAMES, S + 3)} || ' ' || {pick(G.LAST_NAMES, S + 4)} AS customer_name,
-  'PROD' || ({mix(S + 5)} % 900 + 100) AS product_id,
-  {pick(G.PRODUCTS, S + 6)} || ' ' || {pick(G.EDITIONS, S + 7)} AS product_name,
-  {weighted(G.CATEGORIES, G.CATEGORY_WEIGHTS, S + 8)} AS category, {pick(G.SUB_CATEGORIES, S + 9)} AS sub_category,
-  {mix(S + 10)} % 9 + 1 AS quantity, {two_decimals(S + 11, 999, 199999)} AS price, {two_decimals(S + 12, 0, 2500)} AS share,
-  {two_decimals(S + 13, 500, 3000)} AS margin, {weighted(G.PAYMENTS, G.PAYMENT_WEIGHTS, S + 14)} AS payment_method,
-  {pick(G.STORES, S + 15)} AS store_location, {pick(G.REGIONS, S + 16)} AS region FROM numbered),
-made AS (SELECT *, (2 * price * share + 10000) // 20000 AS off, price * quantity AS gross FROM drawn),
-sales AS (SELECT i, n, transaction_id, sale_date, CAST(sale_hour AS BIGINT) AS sale_hour, customer_id, customer_name, product_id, product_name, category, sub_category,
-  CAST(quantity AS BIGINT) AS quantity, price / 100.0 AS unit_price, share / 100.0 AS discount_percentage,
-  off / 100.0 AS discount_amount, gross / 100.0 AS gross_amount, (gross - off) / 100.0 AS net_amount, margin / 100.0 AS profit_margin,
-  payment_method, CASE WHEN payment_method IN ('Credit Card', 'Debit Card', 'Digital Wallet') THEN 'Online' ELSE 'Offline' END AS payment_category,
-  store_location, region, CAST(isodow(sale_date) >= 6 AS BIGINT) AS is_weekend, CAST(0 AS BIGINT) AS is_holiday FROM made)"""
-GEN_COLUMNS = [c for c in SALES_COLUMNS if c != "ingest_date"]
-
-
-def gen(name: str, columns=None, **changes: str) -> None:
-    """Generated sales with some columns replaced."""
-    listed = [f"{changes[c]} AS {c}" if c in changes else (
-        f"CAST({c} AS DOUBLE) AS {c}" if c in MONEY else c) for c in (columns or GEN_COLUMNS)]
-    ORACLES[name] = f"WITH {GENERATED} SELECT {', '.join(listed)} FROM sales"
-
-
-gen("gen_clean")
-gen("gen_duplicates", transaction_id=f"CASE WHEN {place(1)} < least(n // 4, 250) THEN {txn(f'({mix(S + 20)} % n + 1)')} ELSE transaction_id END")
-# seed 42 spoils the third and fourth of the four columns
-gen("gen_dirty",
-    quantity=f"CASE WHEN {place(4)} < least(n, 50) THEN -999 WHEN {place(2)} >= least(n // 5, 200) THEN quantity END",
-    unit_price=f"CASE WHEN {place(3)} >= least(n // 5, 200) THEN CAST(unit_price AS DOUBLE) END")
-gen("gen_edge_cases", quantity="CASE WHEN i = 1 THEN 999999 ELSE quantity END",
-    unit_price="CASE WHEN i = 2 THEN -1.0 ELSE CAST(unit_price AS DOUBLE) END",
-    discount_percentage="CASE WHEN i = 3 THEN 150.0 ELSE CAST(discount_percentage AS DOUBLE) END",
-    customer_name="CASE WHEN i = 4 THEN 'Robert''); DROP TABLE sales;--' ELSE customer_name END",
-    product_name="CASE WHEN i = 5 THEN 'Test' || chr(0) || 'Null' ELSE product_name END")
-gen("gen_mixed", customer_id=f"CASE WHEN {place(5)} >= n // 5 THEN customer_id END",
-    quantity=f"CASE WHEN {place(5)} < least(n // 5, 100) THEN -5 ELSE quantity END")
-gen("gen_invalid_missing_required_columns", ["transaction_id", "sale_date", "quantity", "unit_price"])
-gen("gen_invalid_missing_entire_column", ["transaction_id", "customer_id", "product_id"])
-gen("gen_invalid_extra_unknown_columns", [*GEN_COLUMNS, "unknown_field_1", "unknown_field_2", "unknown_field_3"],
-    unknown_field_1="'unknown'", unknown_field_2=f"CAST({mix(S + 30)} % 99 + 1 AS BIGINT)", unknown_field_3="i % 2 = 1")
-gen("gen_invalid_wrong_column_types", transaction_id="CAST(i + 10000000 AS BIGINT)", sale_date="strftime(sale_date, '%Y-%m-%d')",
-    sale_hour="CAST(sale_hour AS VARCHAR)", quantity=pick(["1", "2", "three", "five"], S + 31),
-    unit_price=f"nullif({pick(['10.0', 'ten', ''], S + 32)}, '')", is_weekend=pick(["0", "1", "yes", "True"], S + 33),
-    is_holiday=pick(["0", "1", "no"], S + 34))
-
-
 # --- validation ---------------------------------------------------------------------------------
 
 REQUIRED = ["transaction_id", "sale_date", "customer_id", "product_id", "quantity", "unit_price", "net_amount"]
@@ -543,9 +459,9 @@ add("regional_sales", """SELECT region, store_location, count(*) AS total_transa
 _dims = """silver_customers AS (SELECT customer_id, max(customer_name) AS customer_name FROM silver GROUP BY 1),
 silver_products AS (SELECT product_id, max(product_name) AS product_name, max(category) AS category FROM silver GROUP BY 1),
 orphan_customers AS (SELECT count(DISTINCT customer_id) AS orphan_count FROM silver WHERE customer_id NOT IN
-  (SELECT 'CUST' || c_custkey FROM customer WHERE c_custkey % 50 <> 7)),
+  (SELECT CASE WHEN c_custkey % 50 = 7 THEN 'FORMER-CUST' ELSE 'CUST' END || c_custkey FROM customer)),
 orphan_products AS (SELECT count(DISTINCT product_id) AS orphan_count FROM silver WHERE product_id NOT IN
-  (SELECT 'PROD' || p_partkey FROM part WHERE p_partkey % 40 <> 3)),
+  (SELECT CASE WHEN p_partkey % 40 = 3 THEN 'FORMER-PROD' ELSE 'PROD' END || p_partkey FROM part)),
 profiled AS (SELECT 'sales' AS table_name, count(*) AS row_count FROM silver
   UNION ALL SELECT 'customers', count(*) FROM silver_customers UNION ALL SELECT 'products', count(*) FROM silver_products),
 baseline AS (SELECT count(*) AS b FROM silver WHERE ingest_date = (SELECT max(ingest_date) FROM silver
@@ -640,7 +556,7 @@ add("stream_file_gate", " UNION ALL ".join(f"SELECT '{t}.parquet' AS file_name,
 add("stream_dedup", "SELECT DISTINCT user_id || '-' || event_type AS key FROM events")
 add("stream_daily", """SELECT CAST(ts AS DATE) AS event_date, count(*) AS events,
   CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_value FROM events GROUP BY 1""")
-ORACLES["stream_throttle"] = ORACLES["alert_throttle"]
+ORACLES["stream_throttle"] = ORACLES["throttle_in_batches"] = ORACLES["alert_throttle"]
 
 
 # --- dashboards ---------------------------------------------------------------------------------
@@ -689,7 +605,7 @@ add("quality_score", f"""SELECT {pct('s', '(s + q)')} AS quality_score FROM (SEL
   (SELECT count(*) FROM failed) AS q)""", "silver", "failed")
 add("records_processed", "SELECT count(*) AS total FROM silver UNION ALL SELECT count(*) FROM failed", "silver", "failed")
 add("pending_remediation", "SELECT count(*) AS pending FROM quarantine WHERE replayed = FALSE", "quarantine")
-add("errors_by_type", "SELECT left(error_reason, 50) AS error_type, count(*) AS count FROM failed GROUP BY 1", "failed")
+add("errors_by_type", "SELECT left(error_reason, 50) AS error_type, count(*) AS count FROM failed GROUP BY error_reason", "failed")
 add("failed_trend", "SELECT CAST(failed_at AS DATE) AS date, count(*) AS failed_count FROM failed GROUP BY 1", "failed")
 add("errors_by_file", "SELECT source_file, count(*) AS failed_count FROM failed GROUP BY 1", "failed")
 add("recent_failures", """SELECT id, error_reason, failed_at, source_file, corrected_by, corrected_at, replayed, replayed_at FROM quarantine

@@ -12,7 +12,7 @@ from sluicebox.operators import (
     alerts, checks, dashboards, files, gold, quality, quarantine, remediation, silver, upsert, validation,
 )
 from sluicebox.plans import ingest as ingest_plan
-from sluicebox.sources import adhoc, bronze, generate, orders
+from sluicebox.sources import adhoc, bronze, orders
 from sluicebox.streaming import events, ingest as ingest_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -135,25 +135,6 @@ def max_watermark(spark, sf_dir):
     return files.max_value(R.table(spark, sf_dir, SILVER), "processed_at")
 
 
-def _generated(mode: str) -> Query:
-    # as many sales as there are order lines
-    return lambda spark, sf_dir: generate.sales(spark, orders.table(spark, sf_dir, "lineitem").count(), mode)
-
-
-def _invalid(variant: str) -> Query:
-    return lambda spark, sf_dir: generate.invalid_sales(
-        spark, orders.table(spark, sf_dir, "lineitem").count(), variant
-    )
-
-
-for _mode in generate.MODES:
-    register(f"gen_{_mode}")(_generated(_mode))
-for _variant in generate.INVALID_VARIANTS:
-    register(f"gen_invalid_{_variant}")(_invalid(_variant))
-
-
-# --- validation ---------------------------------------------------------------------------------
-
 @register("schema_drift")
 def schema_drift(spark, sf_dir):
     drifted = validation.schema_drift(bronze.footers(bronze.list_files(spark, sf_dir)), specs.SALES)
@@ -388,12 +369,13 @@ def _quality_time():
 
 
 def _masters(spark, sf_dir) -> dict[str, DataFrame]:
-    """Customer and part masters with a known gap, so that the integrity checks find orphans."""
-    customers = orders.table(spark, sf_dir, "customer").where("c_custkey % 50 <> 7")
-    parts = orders.table(spark, sf_dir, "part").where("p_partkey % 40 <> 3")
+    """Customer and part masters in which some ids were renamed, so that the integrity checks find
+    orphans."""
+    former = lambda test, name: F.when(F.expr(test), F.lit(f"FORMER-{name}")).otherwise(F.lit(name))
+    customers, parts = orders.table(spark, sf_dir, "customer"), orders.table(spark, sf_dir, "part")
     return {
-        "customer_id": customers.select(F.concat(F.lit("CUST"), "c_custkey").alias("customer_id")),
-        "product_id": parts.select(F.concat(F.lit("PROD"), "p_partkey").alias("product_id")),
+        "customer_id": customers.select(F.concat(former("c_custkey % 50 = 7", "CUST"), "c_custkey").alias("customer_id")),
+        "product_id": parts.select(F.concat(former("p_partkey % 40 = 3", "PROD"), "p_partkey").alias("product_id")),
     }
 
 
@@ -542,7 +524,7 @@ def _collected(spark, sf_dir, name: str, stream: DataFrame, mode: str) -> DataFr
     store = R.store(spark, sf_dir)
 
     def keep(batch: DataFrame, number: int) -> None:
-        store.append(f"stream.{name}", batch.withColumn("batch", F.lit(number)))
+        store.append(f"stream.{name}", batch.withColumn("batch", F.lit(number)), number)
 
     events.drain(stream, _checkpoint(spark, sf_dir, name), keep, mode)
     return store.read(f"stream.{name}")
@@ -573,12 +555,28 @@ def stream_daily(spark, sf_dir):
     return latest.select("event_date", "events", "total_value")
 
 
+@register("throttle_in_batches")
+def throttle_in_batches(spark, sf_dir):
+    """Four stretches of the events' days, each continuing from what the ones before sent."""
+    store, found, state = R.store(spark, sf_dir), _alerts(orders.table(spark, sf_dir, "events")), None
+    stretch = F.least(F.floor((F.dayofmonth("ts") - 1) / 8), F.lit(3)) + F.lit(4) * (F.year("ts") * 12 + F.month("ts"))
+    found = found.withColumn("stretch", stretch)
+    numbers = sorted(r[0] for r in found.select("stretch").distinct().collect())
+    out = None
+    for n in numbers:
+        decided = store.write(f"alerts.stretch.{n}", alerts.throttle(found.where(F.col("stretch") == n).drop("stretch"), state))
+        sent = decided.where("decision = 'sent'").select("alert_key", F.unix_seconds(F.col("ts").cast("timestamp")).alias("second"))
+        state = store.write(f"alerts.sent.{n}", (sent if state is None else state.unionByName(sent)).groupBy("alert_key").agg(F.max("second").alias("second")))
+        out = decided if out is None else out.unionByName(decided)
+    return out
+
+
 @register("stream_throttle")
 def stream_throttle(spark, sf_dir):
     store = R.store(spark, sf_dir)
     stream = _alerts(_events_stream(spark, sf_dir))
     events.throttle_stream(stream, store, _checkpoint(spark, sf_dir, "throttle"))
-    return store.read("alerts.decided.0").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    return store.read("alerts.decided").drop("batch").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
 # --- dashboards ---------------------------------------------------------------------------------

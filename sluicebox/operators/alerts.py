@@ -33,14 +33,15 @@ def sent_seconds(alerts: DataFrame, last_sent: DataFrame | None = None) -> DataF
     then reads its partition in key and time order, batch by batch, and keeps one number per key.
 
     `alerts` has `alert_key`, `severity`, `ts`; `last_sent` (`alert_key`, `second`) continues an
-    earlier run.
+    earlier run: it is where a key's fold starts, so alerts of the same second and late ones wait
+    like any other.
     """
     seconds = _timed(alerts).groupBy("alert_key", "second").agg(F.min("wait").alias("wait"))
-    seconds = seconds.withColumn("known", F.lit(False))
-    if last_sent is not None:
-        seconds = seconds.unionByName(last_sent.select(
-            "alert_key", "second", F.lit(ALWAYS).cast("bigint").alias("wait"), F.lit(True).alias("known")
-        ))
+    if last_sent is None:
+        seconds = seconds.withColumn("since", F.lit(None).cast("bigint"))
+    else:
+        since = last_sent.groupBy("alert_key").agg(F.max("second").alias("since"))
+        seconds = seconds.join(since, "alert_key", "left")
 
     def fold(batches):
         import numpy as np
@@ -49,12 +50,12 @@ def sent_seconds(alerts: DataFrame, last_sent: DataFrame | None = None) -> DataF
         key = last = None
         for batch in batches:
             keys, at = batch["alert_key"].to_numpy(), batch["second"].to_numpy()
-            wait, known = batch["wait"].to_numpy(), batch["known"].to_numpy()
+            wait, since = batch["wait"].to_numpy(), batch["since"]
             sent = np.zeros(len(batch), dtype=bool)
             starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(batch) else []
             for start, end in zip(starts, [*starts[1:], len(batch)]):
                 if keys[start] != key:
-                    key, last = keys[start], None
+                    key, last = keys[start], None if pd.isna(since.iloc[start]) else int(since.iloc[start])
                 i = start
                 one_wait = wait[start:end].min() == wait[start:end].max()
                 while i < end:
@@ -66,8 +67,7 @@ def sent_seconds(alerts: DataFrame, last_sent: DataFrame | None = None) -> DataF
                         i = start + int(np.searchsorted(at[start:end], last + wait[i], "right"))
                     else:
                         i += 1
-            keep = sent & ~known
-            yield pd.DataFrame({"alert_key": keys[keep], "second": at[keep], "wait": wait[keep]})
+            yield pd.DataFrame({"alert_key": keys[sent], "second": at[sent], "wait": wait[sent]})
 
     ordered = seconds.repartition("alert_key").sortWithinPartitions("alert_key", "second")
     return ordered.mapInPandas(fold, SENT_SCHEMA)

@@ -122,11 +122,12 @@ def pending_remediation(tables: Tables) -> DataFrame:
     return tables[QUARANTINE].where(~F.col("replayed")).agg(F.count(F.lit(1)).alias("pending"))
 
 
-def errors_by_type(tables: Tables) -> DataFrame:
-    """By the first fifty characters of the reason, which is what the chart shows."""
+def errors_by_type(tables: Tables, label_length: int = 50) -> DataFrame:
+    """By the whole reason; the label shows as much of it as the chart does."""
     return (
-        tables[QUARANTINE].groupBy(F.substring("error_reason", 1, 50).alias("error_type"))
-        .agg(F.count(F.lit(1)).alias("count")).orderBy(F.desc("count"), "error_type")
+        tables[QUARANTINE].groupBy("error_reason").agg(F.count(F.lit(1)).alias("count"))
+        .select(F.substring("error_reason", 1, label_length).alias("error_type"), "count")
+        .orderBy(F.desc("count"), "error_type")
     )
 
 

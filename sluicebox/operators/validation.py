@@ -14,9 +14,9 @@ from sluicebox.specs import DatasetSpec
 # another type is held back as a whole.
 TYPE_FAMILIES = {
     "string": ("string", "large_string"),
-    "date": ("date32", "timestamp"),
-    "int": ("int8", "int16", "int32", "int64", "uint8", "uint16", "uint32", "bool", "float", "double"),
-    "decimal": ("int8", "int16", "int32", "int64", "uint8", "uint16", "uint32", "float", "double", "decimal128"),
+    "date": ("date32", "date64", "timestamp"),
+    "int": ("int8", "int16", "int32", "int64", "uint8", "uint16", "uint32", "uint64", "bool", "float", "double"),
+    "decimal": ("int8", "int16", "int32", "int64", "uint8", "uint16", "uint32", "uint64", "float", "double", "decimal128"),
 }
 
 
@@ -28,8 +28,9 @@ def type_family(data_type: T.DataType) -> str:
     return data_type.simpleString()
 
 
-def schema_drift(footers: DataFrame, spec: DatasetSpec) -> DataFrame:
-    """Per file: missing and extra columns and columns of an unusable type.
+def schema_drift(footers: DataFrame, spec: DatasetSpec, *more: Column) -> DataFrame:
+    """Per file: missing and extra columns and columns of an unusable type; `more` aggregates of its
+    footer rows come along.
 
     `footers` has one row per file and column (`file_path`, `column_name`, `column_type`), so a
     group holds no more than one file's columns.
@@ -44,6 +45,7 @@ def schema_drift(footers: DataFrame, spec: DatasetSpec) -> DataFrame:
     per_file = footers.groupBy("file_path").agg(
         F.collect_set("column_name").alias("found"),
         F.collect_set(F.when(wrong_type, F.col("column_name"))).alias("found_types"),
+        *more,
     )
     actual = F.filter("found", lambda c: ~c.isin(*spec.path_columns))
     missing = F.array_sort(F.array_except(expected, actual))
@@ -53,6 +55,7 @@ def schema_drift(footers: DataFrame, spec: DatasetSpec) -> DataFrame:
         missing.alias("missing_columns"),
         extra.alias("extra_columns"),
         F.array_sort("found_types").alias("type_mismatches"),
+        *[c for c in per_file.columns if c not in ("file_path", "found", "found_types")],
     )
     return named.withColumns({
         "has_drift": (F.size("missing_columns") > 0) | (F.size("extra_columns") > 0),

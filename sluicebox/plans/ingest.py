@@ -2,35 +2,37 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+import time
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sluicebox import schemas, specs
 from sluicebox.operators import files, quarantine, silver, validation
 from sluicebox.operators.shaping import conform
+from sluicebox.operators.upsert import latest_per_key
 from sluicebox.plans.layers import AUDIT, LEDGER, QUARANTINE, Layers
 from sluicebox.sources import bronze
 
 # What a merge overwrites in a sale silver already holds. `source_file` and
 # `processed_at` are set from the run as well.
+FILES_PER_TASK = 50
 UPDATES = [c for c in schemas.SILVER_SALES.names if c != "transaction_id"]
 
 
 def gate(footers: DataFrame) -> DataFrame:
-    """Per file: state, message, row count and type signature, from its footer alone."""
-    rows = bronze.signatures(footers)
-    drifted = validation.schema_drift(footers.where(F.col("column_name").isNotNull()), specs.SALES)
-    joined = rows.join(drifted, "file_path", "left")
+    """Per file: state, message, row count and type signature, from its footer alone, in one
+    aggregation, so that each footer is read once."""
+    rows = validation.schema_drift(footers, specs.SALES, F.max("row_count").alias("row_count"), bronze.signature())
     unreadable = F.when(F.col("row_count").isNull(), F.lit("Unreadable file")).when(
         F.col("row_count") == 0, F.lit("No data found")
     )
     wrong_types = F.size("type_mismatches") > 0
-    drift = F.coalesce(F.col("has_drift") | wrong_types, F.lit(False))
+    drift = F.col("row_count").isNotNull() & F.coalesce(F.col("has_drift") | wrong_types, F.lit(False))
     details = F.concat_ws(" ", F.nullif(F.col("drift_details"), F.lit("")), F.when(
         wrong_types, F.concat(F.lit("Unusable types: "), F.array_join("type_mismatches", ", "), F.lit("."))
     ))
-    return joined.select(
+    return rows.select(
         "file_path", F.coalesce("row_count", F.lit(0)).alias("row_count"), "signature",
         files.outcome(drift, F.coalesce("row_count", F.lit(0)), unreadable).alias("status"),
         F.coalesce(unreadable, F.when(drift, F.concat(F.lit("Schema drift: "), details))).alias("error_message"),
@@ -59,7 +61,10 @@ def ingest_files(
     """
     store, at = layers.store, F.lit(now).cast("timestamp_ntz")
     staging = f"staging.{run_id}"
-    gated = store.write(f"{staging}.files", gate(bronze.footers(listed.select("file_path"))))
+    paths = listed.select("file_path")
+    # paths are tiny: left to their size, all footers would be read one after another in one task
+    tasks = -(-paths.count() // FILES_PER_TASK) or 1
+    gated = store.write(f"{staging}.files", gate(bronze.footers(paths.repartition(tasks, "file_path"))))
 
     # file names of one list, whose length the caller bounds
     groups: dict[str, list[str]] = {}
@@ -85,19 +90,19 @@ def ingest_files(
         layers.append(QUARANTINE, failed.join(known, ["source_file", "id"], "left_anti"))
         shaped = silver.shape_silver(good, F.lit(now.date()), at)
         layers.sales.merge(shaped, ["transaction_id"], UPDATES, "arrival")
-        counts = files.file_counts(staged, F.col("outcome") == "bad")
+        marks = bronze.fingerprint(staged, specs.SALES.columns.names).select("source_file", "checksum")
+        counts = files.file_counts(staged, F.col("outcome") == "bad").join(marks, "source_file")
 
     outcomes = gated.withColumnRenamed("row_count", "rows_read")
     if counts is None:
-        outcomes = outcomes.withColumns({"good_rows": F.lit(0).cast("bigint"), "bad_rows": F.lit(0).cast("bigint")})
+        none = F.lit(0).cast("bigint")
+        outcomes = outcomes.withColumns({"good_rows": none, "bad_rows": none, "checksum": F.lit(None).cast("string")})
     else:
         outcomes = outcomes.join(
-            counts.select(F.col("source_file").alias("file_path"), "good_rows", "bad_rows"), "file_path", "left"
+            counts.select(F.col("source_file").alias("file_path"), "good_rows", "bad_rows", "checksum"), "file_path", "left"
         ).fillna(0, ["good_rows", "bad_rows"])
     outcomes = store.write(f"{staging}.outcomes", outcomes.withColumns({
-        "record_count": F.col("good_rows"), "checksum": F.lit(None).cast("string"),
-        # a held-back file's rows were not read
-        "rows_read": F.when(F.col("status") == "PROCESSED", F.col("rows_read")).otherwise(F.lit(0)),
+        "record_count": F.col("good_rows"),
     }))
     layers.replace(LEDGER, files.ledger_upsert(layers.read(LEDGER), ledger_rows(outcomes, run_id, now)))
     return files.audit_run(outcomes.withColumns({
@@ -105,7 +110,7 @@ def ingest_files(
     }))
 
 
-def record_audit(layers: Layers, audit: DataFrame, started: datetime, finished: datetime) -> None:
+def record_audit(layers: Layers, audit: DataFrame, started: datetime, finished: datetime | None) -> None:
     layers.append(AUDIT, audit.withColumns({
         "started_at": F.lit(started).cast("timestamp_ntz"),
         "finished_at": F.lit(finished).cast("timestamp_ntz"),
@@ -113,24 +118,50 @@ def record_audit(layers: Layers, audit: DataFrame, started: datetime, finished:
     }))
 
 
+def record_start(layers: Layers, run_id: str, started: datetime) -> None:
+    """A RUNNING row, which the run's final row follows; a run that dies leaves it as its last."""
+    none = F.lit(0).cast("bigint")
+    row = layers.store.spark.range(1).select(
+        F.lit(run_id).alias("ingestion_run_id"), F.lit("RUNNING").alias("status"),
+        F.expr("cast(array() as array<string>)").alias("files_scanned"),
+        *[none.alias(c) for c in ("rows_read", "rows_written_silver", "rows_quarantined", "drifted_files", "failed_files")],
+    )
+    record_audit(layers, row, started, None)
+
+
+def latest_audit(audit: DataFrame) -> DataFrame:
+    """One row a run: its final row, or RUNNING."""
+    return latest_per_key(audit, ["ingestion_run_id"], [F.col("finished_at").desc_nulls_last()])
+
+
+def run_wave(spark: SparkSession, layers: Layers, listed: DataFrame, run_id: str, now: datetime) -> None:
+    """Process one list of files between its two audit rows. `now` is the time of the run, to which
+    the time that the work took is added."""
+    began = time.monotonic()
+    record_start(layers, run_id, now)
+    audit = ingest_files(spark, layers, listed, run_id, now)
+    record_audit(layers, audit, now, now + timedelta(seconds=time.monotonic() - began))
+
+
 def ingest(
     spark: SparkSession, layers: Layers, bronze_root: str, run_id: str, now: datetime,
     files_per_wave: int = 100_000,
 ) -> int:
     """Ingest every pending file below the root, a wave of files at a time; returns the waves run.
 
-    A wave bounds what the driver holds (file names); a backfill of 100 TB in 128 MB files takes
-    eight. No file is left out: the loop ends when nothing is pending.
+    The root is listed once. A wave bounds what the driver holds of it (file names); a backfill of
+    100 TB in 128 MB files takes eight. No file is left out: the loop ends when nothing is pending.
     """
-    waves = 0
+    listed = bronze.list_files(spark, bronze_root, prefix=f"{specs.SALES.name}/")
+    pending = files.pending_files(listed, layers.read(LEDGER), specs.SALES.name).select("file_path")
+    pending = layers.store.write(f"staging.{run_id}.pending", pending)
+    waves, last = 0, ""
     while True:
-        listed = bronze.list_files(spark, bronze_root, prefix=f"{specs.SALES.name}/")
-        pending = files.pending_files(listed, layers.read(LEDGER), specs.SALES.name)
-        wave = pending.select("file_path").orderBy("file_path").limit(files_per_wave)
+        wave = pending.where(F.col("file_path") > last).orderBy("file_path").limit(files_per_wave)
         name = f"{run_id}-{waves:04d}"
         wave = layers.store.write(f"staging.{name}.listed", wave)
-        if wave.isEmpty():
+        last = wave.agg(F.max("file_path")).first()[0]
+        if last is None:
             return waves
-        audit = ingest_files(spark, layers, wave, name, now)
-        record_audit(layers, audit, now, now)
+        run_wave(spark, layers, wave, name, now)
         waves += 1

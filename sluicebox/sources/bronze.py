@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from sluicebox.specs import DatasetSpec
 
@@ -73,7 +73,8 @@ def describe(spark: SparkSession, df: DataFrame) -> DataFrame:
 def footers(files: DataFrame) -> DataFrame:
     """One row per file and column, from the Parquet footers, which executors read in parallel.
 
-    A file whose footer cannot be read gives one row with NULL for its column.
+    A file that is not Parquet gives one row with NULL for its column. A file that cannot be reached
+    fails the task, which Spark runs again: a store's refusal says nothing about the file.
     """
 
     def read_footers(batches):
@@ -94,23 +95,21 @@ def footers(files: DataFrame) -> DataFrame:
                         footer = pq.ParquetFile(handle)
                         count = footer.metadata.num_rows
                         for f in footer.schema_arrow:
-                            kind = "decimal128" if pa.types.is_decimal(f.type) else str(f.type)
+                            # how values are encoded is not a type of its own
+                            stored = f.type.value_type if pa.types.is_dictionary(f.type) else f.type
+                            kind = "decimal128" if pa.types.is_decimal(stored) else str(stored)
                             rows.append((path, count, f.name, kind.split("[")[0]))
-                except (OSError, pa.ArrowInvalid):
+                except pa.ArrowInvalid:
                     rows.append((path, None, None, None))
             yield pd.DataFrame(rows, columns=["file_path", "row_count", "column_name", "column_type"])
 
     return files.select("file_path").mapInPandas(read_footers, FOOTER_SCHEMA)
 
 
-def signatures(footer_rows: DataFrame) -> DataFrame:
-    """Per file its row count and a text of its column types; equal texts can be scanned at once."""
-    return footer_rows.groupBy("file_path").agg(
-        F.max("row_count").alias("row_count"),
-        F.array_join(F.array_sort(F.collect_set(
-            F.concat_ws(" ", "column_name", "column_type")
-        )), ",").alias("signature"),
-    )
+def signature():
+    """Aggregate of a file's footer rows: a text of its column types. Files with equal texts can be
+    scanned at once."""
+    return F.array_join(F.array_sort(F.collect_set(F.concat_ws(" ", "column_name", "column_type"))), ",").alias("signature")
 
 
 def read_group(spark: SparkSession, paths: Iterable[str], spec: DatasetSpec) -> DataFrame:
@@ -132,8 +131,13 @@ def read_group(spark: SparkSession, paths: Iterable[str], spec: DatasetSpec) ->
         if df.schema[f.name].dataType.typeName() in ("double", "float"):
             raw = F.when(~F.isnan(raw), raw)
         value = raw.try_cast(f.dataType)
+        failed = raw.isNotNull() & value.isNull()
+        if isinstance(f.dataType, T.IntegralType) and isinstance(df.schema[f.name].dataType, T.FractionalType):
+            # a whole number may come as 2.0, but 2.7 is not cut to 2
+            value = F.when(value == raw, value)
+            failed = raw.isNotNull() & value.isNull()
         columns.append(value.alias(f.name))
-        failures.append(F.when(raw.isNotNull() & value.isNull(), F.lit(f.name)))
+        failures.append(F.when(failed, F.lit(f.name)))
     return df.select(
         *columns, "source_file", "record_id",
         F.struct("source_file", "record_id").alias("arrival"),
@@ -166,8 +170,10 @@ def fingerprint(df: DataFrame, columns: Sequence[str], by: str = "source_file")
     Each row gives two 32-bit words of an MD5 over its values; their sums combine before the
     shuffle, and a bigint holds them for two billion rows of a file.
     """
-    values = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]
-    hashed = df.select(by, F.md5(F.concat_ws("|", *values).cast("binary")).alias("_hash"))
+    # each value with its length in front, so that neither NULLs nor separators can be mistaken
+    text = lambda c: F.col(c).cast("string")
+    values = [F.coalesce(F.concat(F.length(text(c)).cast("string"), F.lit(":"), text(c)), F.lit("N")) for c in columns]
+    hashed = df.select(by, F.md5(F.concat(*values).cast("binary")).alias("_hash"))
     word = lambda start: F.sum(F.conv(F.substring("_hash", start, 8), 16, 10).cast("bigint"))
     return hashed.groupBy(by).agg(
         F.count(F.lit(1)).alias("record_count"),

@@ -13,10 +13,11 @@ from sluicebox.operators.upsert import collapse_batch, merge_upsert
 
 
 class TableStore:
-    """Parquet tables under one root, as `root/<table>/v=<number>`.
+    """Parquet tables under one root, as `root/<table>/v=<number>`, and rows added to a version as
+    `a=<number>` with a higher number.
 
     A job that dies leaves a folder without Spark's `_SUCCESS` marker, which readers pass over;
-    the folder being read is never written to.
+    a folder that readers may see is never written to.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -28,44 +29,51 @@ class TableStore:
         path = jvm.org.apache.hadoop.fs.Path(location)
         return path, path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
+    def _folders(self, name: str, kind: str) -> dict[int, bool]:
+        """Numbers of a table's folders of one kind, and whether they are complete."""
+        folder, fs = self._path(f"{self.root}/{name}")
+        found = {}
+        for entry in fs.listStatus(folder) if fs.exists(folder) else ():
+            match = re.fullmatch(rf"{kind}=(\d+)", entry.getPath().getName())
+            if match:
+                found[int(match.group(1))] = fs.exists(self._path(f"{entry.getPath().toString()}/_SUCCESS")[0])
+        return found
+
     def versions(self, name: str) -> list[int]:
         """Numbers of the complete versions, oldest first."""
-        folder, fs = self._path(f"{self.root}/{name}")
-        if not fs.exists(folder):
-            return []
-        found = []
-        for entry in fs.listStatus(folder):
-            match = re.fullmatch(r"v=(\d+)", entry.getPath().getName())
-            if match and fs.exists(self._path(f"{entry.getPath().toString()}/_SUCCESS")[0]):
-                found.append(int(match.group(1)))
-        return sorted(found)
+        return sorted(n for n, complete in self._folders(name, "v").items() if complete)
+
+    def additions(self, name: str) -> list[int]:
+        """Numbers of the complete additions to the newest version."""
+        newest = max(self.versions(name), default=0)
+        return sorted(n for n, complete in self._folders(name, "a").items() if complete and n > newest)
 
     def _next(self, name: str) -> int:
-        folder, fs = self._path(f"{self.root}/{name}")
-        taken = [0]
-        if fs.exists(folder):
-            for entry in fs.listStatus(folder):
-                match = re.fullmatch(r"v=(\d+)", entry.getPath().getName())
-                taken.append(int(match.group(1)) if match else 0)
-        return max(taken) + 1
+        return max([0, *self._folders(name, "v"), *self._folders(name, "a")]) + 1
 
-    def location(self, name: str, version: int) -> str:
-        return f"{self.root}/{name}/v={version:06d}"
+    def location(self, name: str, version: int, kind: str = "v") -> str:
+        return f"{self.root}/{name}/{kind}={version:06d}"
 
     def exists(self, name: str) -> bool:
-        return bool(self.versions(name))
+        return bool(self.versions(name) or self.additions(name))
 
     def read(self, name: str, schema: T.StructType | None = None) -> DataFrame:
         """Newest complete version; an empty frame of `schema` for a table not yet written."""
-        versions = self.versions(name)
-        if not versions:
+        paths = [self.location(name, n) for n in self.versions(name)[-1:]]
+        paths += [self.location(name, n, "a") for n in self.additions(name)]
+        if not paths:
             if schema is None:
                 raise LookupError(f"table {name} has not been written under {self.root}")
             return self.spark.createDataFrame([], schema)
         reader = self.spark.read
-        return (reader.schema(schema) if schema is not None else reader).parquet(
-            self.location(name, versions[-1])
-        )
+        if schema is not None:
+            return reader.schema(schema).parquet(*paths)
+        # a version may be partitioned: each folder is read by itself
+        out = None
+        for path in paths:
+            found = reader.parquet(path)
+            out = found if out is None else out.unionByName(found)
+        return out
 
     def write(self, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
         """Write a new version and read it back."""
@@ -75,15 +83,26 @@ class TableStore:
         writer.parquet(self.location(name, self._next(name)))
         return self.read(name, None if partition_by else df.schema)
 
-    def append(self, name: str, df: DataFrame) -> None:
-        """Add rows to the newest version, for tables that only grow."""
+    def append(self, name: str, df: DataFrame, number: int | None = None) -> None:
+        """Add rows in a folder of their own, which readers see once it is complete. An addition with
+        the number of an earlier one, as of a batch that is delivered again, replaces it."""
+        target = self._next(name) if number is None else number + 1
+        df.write.mode("errorifexists" if number is None else "overwrite").option("compression", "snappy").parquet(
+            self.location(name, target, "a")
+        )
+
+    def vacuum(self, name: str, keep: int = 1) -> list[str]:
+        """Delete folders that no reader needs: versions before the newest `keep`, with the additions
+        to them, and whatever a dead job left below the newest version. Returns the deleted folders."""
         versions = self.versions(name)
-        if not versions:
-            self.write(name, df)
-        else:
-            df.write.mode("append").option("compression", "snappy").parquet(
-                self.location(name, versions[-1])
-            )
+        oldest = versions[-keep] if len(versions) >= keep else 0
+        gone = []
+        for kind in ("v", "a"):
+            for number in sorted(n for n in self._folders(name, kind) if n < oldest):
+                path, fs = self._path(self.location(name, number, kind))
+                if fs.delete(path, True):
+                    gone.append(path.toString())
+        return gone
 
     def truncate(self, name: str, schema: T.StructType) -> DataFrame:
         return self.write(name, self.spark.createDataFrame([], schema))

@@ -54,13 +54,15 @@ def drain(
 def throttle_stream(stream: DataFrame, store: TableStore, checkpoint: str) -> StreamingQuery:
     """Throttle alerts batch by batch; the last sent second per key carries over in a table.
 
-    A redelivered batch starts from the state its first delivery started from, because the state
-    is stored under the batch number.
+    `alerts.decided` holds the decisions of all batches. A redelivered batch starts from the state
+    its first delivery started from, and replaces its decisions, because both are stored under the
+    batch number.
     """
 
     def body(batch: DataFrame, number: int) -> None:
         before = store.read(f"alerts.state.{number - 1}", STATE)
-        decided = store.write(f"alerts.decided.{number}", alerts.throttle(batch, before))
+        store.append("alerts.decided", alerts.throttle(batch, before).withColumn("batch", F.lit(number)), number)
+        decided = store.read("alerts.decided").where(F.col("batch") == number)
         sent = decided.where("decision = 'sent'").select(
             "alert_key", F.unix_seconds(F.col("ts").cast("timestamp")).alias("second")
         )

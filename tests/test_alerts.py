@@ -55,3 +55,26 @@ def test_earlier_state_counts(spark):
     rows = [(1, "k", "warning", START + timedelta(seconds=100)), (2, "k", "warning", START + timedelta(seconds=4000))]
     before = spark.createDataFrame([("k", int((START - datetime(1970, 1, 1)).total_seconds()))], "alert_key string, second long")
     assert decisions(alerts.throttle(spark.createDataFrame(rows, SCHEMA), before)) == {1: "throttled", 2: "sent"}
+
+
+def seconds_since_1970(ts):
+    return int((ts - datetime(1970, 1, 1)).total_seconds())
+
+
+def test_same_second_and_late_alerts_wait_too(spark):
+    before = spark.createDataFrame([(f"k{n}", seconds_since_1970(START)) for n in range(50)], "alert_key string, second long")
+    rows = [(n, f"k{n}", "warning", START) for n in range(50)] + [(50 + n, f"k{n}", "info", START - timedelta(hours=n + 1)) for n in range(50)]
+    assert set(decisions(alerts.throttle(spark.createDataFrame(rows, SCHEMA), before)).values()) == {"throttled"}
+
+
+def test_batches_decide_as_one_pass(spark):
+    rows = sorted(make(4, 400, ["critical", "warning", "info"]), key=lambda r: r[3])
+    state, found = None, {}
+    for first in range(0, len(rows), 100):
+        # a second is not split
+        part = spark.createDataFrame(rows[first : first + 100], SCHEMA)
+        got = decisions(alerts.throttle(part, state))
+        found.update(got)
+        sent = [(key, seconds_since_1970(ts)) for id, key, _, ts in rows if found.get(id) == "sent"]
+        state = spark.createDataFrame(sent, "alert_key string, second long")
+    assert found == brute_force(rows)

@@ -5,14 +5,15 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+import sales_maker
 from helpers import NOW
 from sluicebox.operators import dashboards
 from sluicebox.plans.gold import build_gold
-from sluicebox.plans.ingest import ingest
+from sluicebox.plans.ingest import ingest, latest_audit
 from sluicebox.plans.layers import AUDIT, LEDGER, QUARANTINE, SALES, SCHEMAS
 from sluicebox.plans.quality import check_quality
 from sluicebox.plans.remediation import remediate
-from sluicebox.sources import bronze, generate
+from sluicebox.sources import bronze
 from sluicebox.sources.tables import DayTable, TableStore
 from sluicebox.streaming import ingest as stream_ingest
 
@@ -33,12 +34,12 @@ def put(root, name, df, day="2024-05-02", change=None):
 @pytest.fixture
 def landed(spark, tmp_path):
     root = tmp_path / "bronze"
-    put(root, "a_clean", generate.sales(spark, 200))
-    put(root, "b_mixed", generate.sales(spark, 200, "mixed", seed=7), change=lambda p: p.assign(
+    put(root, "a_clean", sales_maker.sales(spark, 200))
+    put(root, "b_mixed", sales_maker.sales(spark, 200, "mixed", seed=7), change=lambda p: p.assign(
         quantity=p["quantity"].astype(float)))
-    put(root, "c_missing", generate.invalid_sales(spark, 20, "missing_required_columns"))
-    put(root, "d_types", generate.invalid_sales(spark, 20, "wrong_column_types"))
-    put(root, "e_empty", generate.sales(spark, 0))
+    put(root, "c_missing", sales_maker.invalid_sales(spark, 20, "missing_required_columns"))
+    put(root, "d_types", sales_maker.invalid_sales(spark, 20, "wrong_column_types"))
+    put(root, "e_empty", sales_maker.sales(spark, 0))
     (root / "sales" / "ingest_date=2024-05-02" / "f_broken.parquet").write_bytes(b"not parquet")
     (root / "other").mkdir()
     return root
@@ -60,9 +61,13 @@ def check_ingested(layers):
     assert sales.where(F.col("source_file").endswith("b_mixed.parquet")).count() == 160
     assert failed.groupBy("error_reason").count().count() == 1
     assert failed.where("error_reason = 'null:customer_id;range:quantity'").count() == 40
-    audit = layers.read(AUDIT).first()
+    assert layers.read(AUDIT).where("status = 'RUNNING' and finished_at is null").count() == 1
+    audit = latest_audit(layers.read(AUDIT)).first()
     assert (audit["rows_read"], audit["rows_written_silver"], audit["rows_quarantined"], audit["status"]) == (
-        400, 360, 40, "COMPLETED_WITH_ERRORS")
+        440, 360, 40, "COMPLETED_WITH_ERRORS")
+    assert audit["finished_at"] > audit["started_at"]
+    marks = {r["file_path"].split("/")[-1][0]: r["checksum"] for r in layers.read(LEDGER).collect()}
+    assert marks["a"] and marks["b"] and marks["a"] != marks["b"] and marks["c"] is None
     assert len(audit["files_scanned"]) == 6
 
 
@@ -71,7 +76,7 @@ def test_ingest_gates_files_and_splits_rows(spark, layers, landed):
     check_ingested(layers)
     # nothing is pending any more
     assert ingest(spark, layers, str(landed), "run2", NOW) == 0
-    put(landed, "g_more", generate.sales(spark, 250), day="2024-05-03")
+    put(landed, "g_more", sales_maker.sales(spark, 250), day="2024-05-03")
     assert ingest(spark, layers, str(landed), "run3", NOW + timedelta(hours=6)) == 1
     assert layers.read(SALES).count() == 250
     assert layers.read(LEDGER).count() == 7
@@ -87,10 +92,10 @@ def test_stream_ingest_sees_only_new_files(spark, layers, landed, tmp_path):
     checkpoint = str(tmp_path / "checkpoint")
     stream_ingest.start(spark, layers, str(landed), checkpoint, "s1", NOW).awaitTermination()
     check_ingested(layers)
-    put(landed, "g_more", generate.sales(spark, 250), day="2024-05-03")
+    put(landed, "g_more", sales_maker.sales(spark, 250), day="2024-05-03")
     stream_ingest.start(spark, layers, str(landed), checkpoint, "s2", NOW).awaitTermination()
     assert layers.read(SALES).count() == 250
-    assert layers.read(AUDIT).orderBy("rows_read").first()["rows_read"] == 250
+    assert latest_audit(layers.read(AUDIT)).orderBy("rows_read").first()["rows_read"] == 250
 
 
 def test_merge_rewrites_only_the_days_it_touches(spark, tmp_path):
@@ -153,7 +158,7 @@ def test_store_skips_incomplete_versions(spark, tmp_path):
 
 
 def test_hive_layout_round_trip(spark, tmp_path):
-    df = generate.sales(spark, 100).withColumn("ingest_date", F.when(F.col("quantity") > 5, "2024-01-02").otherwise("2024-01-01"))
+    df = sales_maker.sales(spark, 100).withColumn("ingest_date", F.when(F.col("quantity") > 5, "2024-01-02").otherwise("2024-01-01"))
     bronze.write_partitioned(df, str(tmp_path / "sales"))
     listed = bronze.list_files(spark, str(tmp_path), ingest_date="2024-01-02")
     assert listed.count() >= 1
@@ -165,7 +170,7 @@ def test_hive_layout_round_trip(spark, tmp_path):
 
 
 def test_fingerprint_ignores_order_but_not_values(spark):
-    df = generate.sales(spark, 50).withColumn("source_file", F.lit("f"))
+    df = sales_maker.sales(spark, 50).withColumn("source_file", F.lit("f"))
     mark = lambda d: bronze.fingerprint(d, df.columns).first()["checksum"]
     assert mark(df) == mark(df.orderBy(F.desc("quantity")))
     assert mark(df) != mark(df.withColumn("quantity", F.col("quantity") + 1))
