@@ -556,6 +556,25 @@ add("stream_file_gate", " UNION ALL ".join(f"SELECT '{t}.parquet' AS file_name,
 add("stream_dedup", "SELECT DISTINCT user_id || '-' || event_type AS key FROM events")
 add("stream_daily", """SELECT CAST(ts AS DATE) AS event_date, count(*) AS events,
   CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_value FROM events GROUP BY 1""")
+_landed = """landed AS (SELECT *, 'set=' || kind || '/ingest_date=' || strftime(date_trunc('month', ingest_date), '%Y-%m-%d') AS folder,
+  kind = 'clean' AS is_clean FROM (SELECT *, CASE month(ingest_date) WHEN 10 THEN 'missing' WHEN 11 THEN 'types' WHEN 12 THEN 'extra'
+  ELSE 'clean' END AS kind FROM tagged)),
+stored AS (SELECT * FROM landed WHERE is_clean AND error_reason IS NULL QUALIFY row_number() OVER (""" + LATEST + """) = 1)"""
+add("ingest_silver", f"""SELECT {shown([c for c in SALES_COLUMNS if c != 'ingest_date'], 'BOOLEAN')}, folder, {NOW} AS processed_at
+  FROM stored""", "tagged", extra=_landed)
+add("ingest_quarantine", """SELECT folder, error_reason, 'pending' AS remediation_status, count(*) AS records FROM landed
+  WHERE is_clean AND error_reason IS NOT NULL GROUP BY 1, 2""", "tagged", extra=_landed)
+add("ingest_ledger", f"""SELECT *, 'sales' AS dataset_name, status = 'PROCESSED' AS has_checksum, {NOW} AS processed_at FROM (
+  SELECT folder, CASE WHEN is_clean THEN 'PROCESSED' ELSE 'SCHEMA_DRIFT' END AS status,
+    count(*) FILTER (WHERE is_clean AND error_reason IS NULL) AS record_count,
+    CASE kind WHEN 'missing' THEN 'Schema drift: Missing columns: category, region.' WHEN 'extra' THEN 'Schema drift: Extra columns: note.'
+      WHEN 'types' THEN 'Schema drift: Unusable types: is_weekend, quantity.' END AS error_message
+  FROM landed GROUP BY folder, is_clean, kind
+  UNION ALL VALUES ('set=empty/ingest_date=2001-01-01', 'FAILED', 0, 'No data found'), ('set=broken/ingest_date=2001-01-01', 'FAILED', 0, 'Unreadable file'))""",
+    "tagged", extra=_landed)
+add("ingest_audit", f"""SELECT 'first-0000' AS ingestion_run_id, 'COMPLETED_WITH_ERRORS' AS status, count(DISTINCT folder) + 2 AS files, count(*) AS rows_read,
+  count(*) FILTER (WHERE is_clean AND error_reason IS NULL) AS rows_written_silver,
+  count(*) FILTER (WHERE is_clean AND error_reason IS NOT NULL) AS rows_quarantined, {NOW} AS started_at FROM landed""", "tagged", extra=_landed)
 ORACLES["stream_throttle"] = ORACLES["throttle_in_batches"] = ORACLES["alert_throttle"]
 
 

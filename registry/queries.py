@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from registry import tables as R
+from registry import landing, tables as R
 from sluicebox import specs
 from sluicebox.operators import (
     alerts, checks, dashboards, files, gold, quality, quarantine, remediation, silver, upsert, validation,
 )
 from sluicebox.plans import ingest as ingest_plan
+from sluicebox.plans.layers import AUDIT, LEDGER
 from sluicebox.sources import adhoc, bronze, orders
 from sluicebox.streaming import events, ingest as ingest_stream
 
@@ -530,6 +531,34 @@ def _collected(spark, sf_dir, name: str, stream: DataFrame, mode: str) -> DataFr
     return store.read(f"stream.{name}")
 
 
+@register("ingest_silver")
+def ingest_silver(spark, sf_dir):
+    sales = landing.by_folder(landing.ingested(spark, sf_dir).read(SILVER), "source_file")
+    return sales.select(*[c for c in SALES_COLUMNS if c != "ingest_date"], "folder", "processed_at")
+
+
+@register("ingest_quarantine")
+def ingest_quarantine(spark, sf_dir):
+    failed = landing.by_folder(landing.ingested(spark, sf_dir).read(QUARANTINE), "source_file")
+    return failed.groupBy("folder", "error_reason", "remediation_status").agg(F.count(F.lit(1)).alias("records"))
+
+
+@register("ingest_ledger")
+def ingest_ledger(spark, sf_dir):
+    ledger = landing.by_folder(landing.ingested(spark, sf_dir).read(LEDGER), "file_path")
+    return ledger.select("folder", "dataset_name", "status", "record_count", "error_message",
+                         F.col("checksum").isNotNull().alias("has_checksum"), "processed_at")
+
+
+@register("ingest_audit")
+def ingest_audit(spark, sf_dir):
+    runs = ingest_plan.latest_audit(landing.ingested(spark, sf_dir).read(AUDIT))
+    return runs.select(
+        "ingestion_run_id", "status", F.size("files_scanned").cast("bigint").alias("files"),
+        "rows_read", "rows_written_silver", "rows_quarantined", "started_at",
+    )
+
+
 @register("stream_file_gate")
 def stream_file_gate(spark, sf_dir):
     stream = ingest_stream.new_files(spark, sf_dir, 1000)
