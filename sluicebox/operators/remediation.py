@@ -135,16 +135,19 @@ def examine(
     quarantine: DataFrame, run_date: Column, processed_at: Column, max_retries: int = specs.MAX_RETRIES
 ) -> DataFrame:
     """The records with `verdict` (`replay`, `reject` or `fail`; NULL for closed ones), their
-    `reject_reason` and the `sale` a replay writes."""
-    judged = computed_once(unpacked(quarantine), {"reject_reason": reject_reason()})
+    `reject_reason` and the `sale` a replay writes. Only open records' payloads are parsed, so the
+    work grows with what is pending and not with the history."""
+    is_pending = F.coalesce(is_open(max_retries), F.lit(False))
+    judged = computed_once(unpacked(quarantine.where(is_pending)), {"reject_reason": reject_reason()})
     judged = with_sale(judged, run_date, processed_at)
     verdict = (
-        F.when(~is_open(max_retries), F.lit(None).cast("string"))
-        .when(F.col("reject_reason").isNotNull(), F.lit("reject"))
+        F.when(F.col("reject_reason").isNotNull(), F.lit("reject"))
         .when(F.col("replay_errors").isNotNull(), F.lit("fail"))
         .otherwise(F.lit("replay"))
     )
-    return judged.select(*quarantine.columns, "reject_reason", verdict.alias("verdict"), "sale")
+    judged = judged.select(*quarantine.columns, "reject_reason", verdict.alias("verdict"), "sale")
+    none = {f.name: F.lit(None).cast(f.dataType) for f in judged.schema if f.name in ("reject_reason", "verdict", "sale")}
+    return judged.unionByName(quarantine.where(~is_pending).withColumns(none))
 
 
 def replayed_sales(examined: DataFrame) -> DataFrame:

@@ -31,13 +31,17 @@ def collapse_batch(
         return latest_per_key(batch, keys, [F.col(arrival).desc()]).drop(arrival)
     if not update:
         return latest_per_key(batch, keys, [F.col(arrival).asc()]).drop(arrival)
-    both = batch.groupBy(*keys).agg(
-        F.min_by(F.struct(*kept), F.col(arrival)).alias("_first"),
-        F.max_by(F.struct(*update), F.col(arrival)).alias("_last"),
-    )
+    # two rank filters, which cut a key to a row per task ahead of the shuffle
+    first = latest_per_key(batch.select(*keys, *kept, arrival), keys, [F.col(arrival).asc()]).drop(arrival)
+    last = latest_per_key(batch.select(*keys, *[c for c in values if c in update], arrival), keys, [F.col(arrival).desc()])
+    same = None
+    for k in keys:
+        test = F.col(f"f.{k}").eqNullSafe(F.col(f"l.{k}"))
+        same = test if same is None else same & test
+    both = first.alias("f").join(last.alias("l"), same)
     return both.select(
-        *keys,
-        *[F.col(("_first." if c in kept else "_last.") + c).alias(c) for c in values],
+        *[F.col(f"f.{k}").alias(k) for k in keys],
+        *[F.col(("f." if c in kept else "l.") + c).alias(c) for c in values],
     )
 
 

@@ -45,7 +45,7 @@ def path_date(path: str = "file_path"):
 
 def ingest_dates(files: DataFrame) -> DataFrame:
     """Distinct ingest dates of the listed files, sorted."""
-    found = files.select(path_date().alias("ingest_date")).where("ingest_date is not null")
+    found = files.select("file_path").distinct().select(path_date().alias("ingest_date")).where("ingest_date is not null")
     return found.distinct().orderBy("ingest_date")
 
 
