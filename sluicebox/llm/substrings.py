@@ -14,7 +14,7 @@ import re
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from sluicebox.llm.common import WordHashes, mixed, written
 
@@ -25,10 +25,6 @@ UNIT_EVERY = 6
 UNIT_MOST = 32
 
 _UNITS = "doc_id bigint, start int, n_words int, digest bigint"
-_RUNS = (
-    "doc_id bigint, first int, last int, digests binary, starts binary, "
-    "left_doc bigint, left_at int, right_doc bigint, right_at int"
-)
 _WORD = re.compile("[^\\x20\\x09-\\x0D]+")
 
 
@@ -82,28 +78,30 @@ def _all_units(every: int, most: int):
     return cut
 
 
-def _runs(seed_words: int):
-    def runs(repeated: pd.DataFrame) -> pd.DataFrame:
-        repeated = repeated.drop_duplicates("start").sort_values("start")
-        start, size = repeated["start"].to_numpy(np.int64), repeated["n_words"].to_numpy(np.int64)
-        new = np.concatenate([[True], start[1:] != start[:-1] + size[:-1]])
-        at = np.flatnonzero(new)
-        out = []
-        for a, b in zip(at, np.append(at[1:], len(start))):
-            # units of few words recur by chance; the ends of a run are units that do not
-            telling = a + np.flatnonzero(size[a:b] >= TELLING_WORDS)
-            if not len(telling):
-                continue
-            a, b = telling[0], telling[-1] + 1
-            if start[b - 1] + size[b - 1] - start[a] < seed_words:
-                continue
-            left, right = repeated.iloc[a], repeated.iloc[b - 1]
-            out.append((left["doc_id"], start[a], start[b - 1] + size[b - 1],
-                        repeated["digest"].to_numpy(np.int64)[a:b].tobytes(), start[a:b].tobytes(),
-                        left["kept_doc"], left["kept_start"], right["kept_doc"], right["kept_start"] + right["n_words"]))
-        return pd.DataFrame(out, columns=[c.split()[0] for c in _RUNS.split(", ")])
-
-    return runs
+def _runs(repeated: DataFrame, seed_words: int, min_words: int) -> DataFrame:
+    """Stretches of repeated units that follow one another, from the first to the last unit that does
+    not recur by chance, with the places in the kept documents where they begin and end."""
+    in_doc = Window.partitionBy("doc_id").orderBy("start")
+    end = F.col("start") + F.col("n_words")
+    # rows that repeat a document repeat its units
+    follows = F.lag(end).over(in_doc).eqNullSafe(F.col("start")) | F.lag("start").over(in_doc).eqNullSafe(F.col("start"))
+    stretches = repeated.withColumn("breaks", (~follows).cast("int")).withColumn("stretch", F.sum("breaks").over(in_doc))
+    # units of few words recur by chance
+    telling = F.col("n_words") >= TELLING_WORDS
+    place = lambda at: F.struct("start", F.col("kept_doc").alias("doc"), at.alias("at"))
+    left, right = place(F.col("kept_start")), place(F.col("kept_start") + F.col("n_words"))
+    # a long stretch of such units alone is one all the same
+    either = lambda f, x: F.coalesce(f(F.when(telling, x)), F.when(F.sum("n_words") >= min_words, f(x)))
+    runs = stretches.groupBy("doc_id", "stretch").agg(
+        either(F.min, left).alias("left"), either(F.max, right).alias("right"), either(F.max, end).alias("last"),
+        F.array_sort(F.collect_list(F.struct("start", "digest"))).alias("units"),
+    ).where(F.col("last") - F.col("left.start") >= seed_words)
+    return runs.select(
+        "doc_id", F.col("left.start").alias("first"), "last",
+        F.filter("units", lambda u: (u["start"] >= F.col("left.start")) & (u["start"] < F.col("last"))).alias("units"),
+        F.col("left.doc").alias("left_doc"), F.col("left.at").alias("left_at"),
+        F.col("right.doc").alias("right_doc"), F.col("right.at").alias("right_at"),
+    )
 
 
 def _contexts(reach: int):
@@ -138,8 +136,7 @@ def _kept_spans(text: str, runs: list[dict], hashes: WordHashes, min_words: int,
     parts = []
     for r in runs:
         # a run speaks of the text it was found in; another text under the id stays
-        wanted = zip(np.frombuffer(r["starts"], np.int64).tolist(), np.frombuffer(r["digests"], np.int64).tolist())
-        if any(digest_at.get(s) != d for s, d in wanted):
+        if any(digest_at.get(u["start"]) != u["digest"] for u in r["units"]):
             continue
         before = np.frombuffer(r["before"] or b"", np.uint64)[::-1]
         after = np.frombuffer(r["after"] or b"", np.uint64)
@@ -202,12 +199,12 @@ def remove_repeats(
     found = written(usable.mapInPandas(_all_units(every, most), _UNITS), "units")
     kept = written(
         found.groupBy("digest").agg(
-            F.min(F.struct("doc_id", "start")).alias("kept"), F.max(F.struct("doc_id", "start")).alias("final"),
-        ).where("kept <> final").select("digest", F.col("kept.doc_id").alias("kept_doc"), F.col("kept.start").alias("kept_start")),
+            F.min(F.struct("doc_id", "start")).alias("kept"), F.count(F.lit(1)).alias("often"),
+        ).where("often > 1").select("digest", F.col("kept.doc_id").alias("kept_doc"), F.col("kept.start").alias("kept_start")),
         "kept-units",
     )
     repeated = found.join(kept, "digest").where("doc_id <> kept_doc or start <> kept_start")
-    runs = written(repeated.groupBy("doc_id").applyInPandas(_runs(seed_words), _RUNS), "runs")
+    runs = written(_runs(repeated, seed_words, min_words), "runs")
 
     side = lambda name, n: F.struct(
         F.col(f"{name}_doc").alias("of_doc"), F.col(f"{name}_at").alias("at"), F.lit(n).alias("side"), "doc_id", "first"
@@ -227,9 +224,9 @@ def remove_repeats(
         )
     )
     by_doc = (
-        runs.select("doc_id", "first", "last", "digests", "starts").join(contexts, ["doc_id", "first"], "left")
+        runs.select("doc_id", "first", "last", "units").join(contexts, ["doc_id", "first"], "left")
         .groupBy(F.col("doc_id").alias("of_doc"))
-        .agg(F.collect_list(F.struct("first", "last", "digests", "starts", "before", "after")).alias("runs"))
+        .agg(F.collect_list(F.struct("first", "last", "units", "before", "after")).alias("runs"))
     )
     joined = rows.join(by_doc, rows["doc_id"] == by_doc["of_doc"], "left").drop("of_doc")
     schema = T.StructType([f for f in joined.schema if f.name not in ("text", "runs")]).add("text", "string")
