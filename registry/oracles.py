@@ -299,6 +299,11 @@ TABLES = ["benchmark", "conversations", "customer", "documents", "embeddings", "
           "nation", "orders", "pages", "part", "region", "supplier"]
 _expected = ", ".join(f"('{c}')" for c in SALES_COLUMNS if c != "ingest_date")
 _given = " UNION ALL ".join(f"SELECT '{t}.parquet' AS file_name, column_name FROM (DESCRIBE {t})" for t in TABLES)
+add("list_files", " UNION ALL ".join(f"SELECT '{t}.parquet' AS file_name, count(*) AS row_count, TRUE AS has_bytes FROM {t}" for t in TABLES))
+add("partitioned_write", """SELECT CAST(date_trunc('month', ingest_date) AS DATE) AS ingest_date, count(*) AS row_count,
+  CAST(sum(net_amount) AS DOUBLE) AS total FROM bronze GROUP BY 1""", "bronze")
+add("truncate_table", """SELECT o_orderstatus, count(*) AS row_count, 'written' AS state FROM orders GROUP BY 1
+  UNION ALL SELECT o_orderstatus, count(*), 'appended' FROM orders WHERE o_orderstatus IN ('F', 'O') GROUP BY 1""")
 add("dataset_list", " UNION ALL ".join(f"SELECT '{t}.parquet' AS dataset_name" for t in TABLES))
 add("schema_drift", """SELECT file_name, TRUE AS has_drift, missing_columns, extra_columns,
   'Missing columns: ' || missing_columns || '. Extra columns: ' || extra_columns || '.' AS drift_details

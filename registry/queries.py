@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -84,7 +85,37 @@ def adhoc_sql(spark, sf_dir):
 
 @register("list_files")
 def list_files(spark, sf_dir):
-    return bronze.list_files(spark, sf_dir)
+    """Names and row counts of the data files, the counts from their footers."""
+    files_found = bronze.list_files(spark, sf_dir)
+    rows = bronze.footers(files_found.select("file_path").repartition(8)).groupBy("file_path").agg(F.max("row_count").alias("row_count"))
+    return files_found.join(rows, "file_path").select(
+        F.element_at(F.split("file_path", "/"), -1).alias("file_name"), "row_count", (F.col("file_size") > 0).alias("has_bytes"),
+    )
+
+
+@register("partitioned_write")
+def partitioned_write(spark, sf_dir):
+    """Sales written under folders of their months, and counted by the folders they are read from."""
+    root = f"{R.store(spark, sf_dir).root}/partitioned-{uuid.uuid4().hex}"
+    months = R.bronze(spark, sf_dir).select("transaction_id", "net_amount", F.trunc("ingest_date", "month").alias("ingest_date"))
+    bronze.write_partitioned(months, root)
+    return spark.read.parquet(root).groupBy("ingest_date").agg(
+        F.count(F.lit(1)).alias("row_count"), F.sum("net_amount").alias("total"),
+    )
+
+
+@register("truncate_table")
+def truncate_table(spark, sf_dir):
+    """Rows of a table before and after it is truncated and rows are added again."""
+    store, name = R.store(spark, sf_dir), f"truncated-{uuid.uuid4().hex}"
+    source = orders.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    counts = lambda state, df: df.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("row_count")).withColumn("state", F.lit(state))
+    written = store.write(name, source)
+    before = counts("written", written)
+    after = counts("truncated", store.truncate(name, written.schema))
+    store.append(name, source.where("o_orderstatus = 'F'"))
+    store.append(name, source.where("o_orderstatus = 'O'"))
+    return before.unionByName(after).unionByName(counts("appended", store.read(name)))
 
 
 @register("ingest_dates")
