@@ -580,6 +580,9 @@ add("ingest_ledger", f"""SELECT *, 'sales' AS dataset_name, status = 'PROCESSED'
 add("ingest_audit", f"""SELECT 'first-0000' AS ingestion_run_id, 'COMPLETED_WITH_ERRORS' AS status, count(DISTINCT folder) + 2 AS files, count(*) AS rows_read,
   count(*) FILTER (WHERE is_clean AND error_reason IS NULL) AS rows_written_silver,
   count(*) FILTER (WHERE is_clean AND error_reason IS NOT NULL) AS rows_quarantined, {NOW} AS started_at FROM landed""", "tagged", extra=_landed)
+add("ingest_severity", """SELECT 'first-0000' AS ingestion_run_id, 'SCHEMA DRIFT' AS status_text, 'critical' AS severity,
+  count(*) FILTER (WHERE is_clean AND error_reason IS NOT NULL) / CAST(count(*) AS DOUBLE) * 100.0::DOUBLE AS quarantine_rate FROM landed""",
+    "tagged", extra=_landed)
 ORACLES["stream_throttle"] = ORACLES["throttle_in_batches"] = ORACLES["alert_throttle"]
 
 

@@ -13,7 +13,7 @@ from sluicebox.operators import (
     alerts, checks, dashboards, files, gold, quality, quarantine, remediation, silver, upsert, validation,
 )
 from sluicebox.plans import ingest as ingest_plan
-from sluicebox.plans.layers import AUDIT, LEDGER
+from sluicebox.plans.layers import AUDIT, LEDGER, SEVERITY
 from sluicebox.sources import adhoc, bronze, orders
 from sluicebox.streaming import events, ingest as ingest_stream
 
@@ -590,6 +590,11 @@ def ingest_audit(spark, sf_dir):
     )
 
 
+@register("ingest_severity")
+def ingest_severity(spark, sf_dir):
+    return landing.ingested(spark, sf_dir).read(SEVERITY).select("ingestion_run_id", "status_text", "severity", "quarantine_rate")
+
+
 @register("stream_file_gate")
 def stream_file_gate(spark, sf_dir):
     stream = ingest_stream.new_files(spark, sf_dir, 1000)

@@ -11,7 +11,7 @@ from sluicebox import schemas, specs
 from sluicebox.operators import files, quarantine, silver, validation
 from sluicebox.operators.shaping import conform
 from sluicebox.operators.upsert import latest_per_key
-from sluicebox.plans.layers import AUDIT, LEDGER, QUARANTINE, Layers
+from sluicebox.plans.layers import AUDIT, LEDGER, QUARANTINE, SEVERITY, Layers
 from sluicebox.sources import bronze
 
 # What a merge overwrites in a sale silver already holds. `source_file` and
@@ -136,11 +136,13 @@ def latest_audit(audit: DataFrame) -> DataFrame:
 
 def run_wave(spark: SparkSession, layers: Layers, listed: DataFrame, run_id: str, now: datetime) -> None:
     """Process one list of files between its two audit rows. `now` is the time of the run, to which
-    the time that the work took is added."""
+    the time that the work took is added. How grave its findings are is kept beside the audit."""
     began = time.monotonic()
     record_start(layers, run_id, now)
-    audit = ingest_files(spark, layers, listed, run_id, now)
-    record_audit(layers, audit, now, now + timedelta(seconds=time.monotonic() - began))
+    audit = layers.store.write(f"staging.{run_id}.audit", ingest_files(spark, layers, listed, run_id, now))
+    finished = now + timedelta(seconds=time.monotonic() - began)
+    record_audit(layers, audit, now, finished)
+    layers.append(SEVERITY, files.run_severity(audit).withColumn("finished_at", F.lit(finished).cast("timestamp_ntz")))
 
 
 def ingest(

@@ -11,6 +11,7 @@ from sluicebox.sources.tables import DayTable, TableStore
 SALES, CUSTOMERS, PRODUCTS = "silver.sales", "silver.customers", "silver.products"
 QUARANTINE, LEDGER = "quarantine.sales_failed", "metadata.ingestion_metadata"
 BASELINES, AUDIT = "metadata.quality_baselines", "audit.ingestion_runs"
+SEVERITY = "audit.run_severity"
 
 SCHEMAS = {
     SALES: schemas.SILVER_SALES,
@@ -25,6 +26,7 @@ SCHEMAS = {
     LEDGER: schemas.LEDGER,
     BASELINES: schemas.QUALITY_BASELINES,
     AUDIT: schemas.AUDIT_RUNS,
+    SEVERITY: schemas.RUN_SEVERITY,
 }
 
 

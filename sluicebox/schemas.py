@@ -94,3 +94,7 @@ AUDIT_RUNS = schema(
     ingestion_run_id=TEXT, started_at=TIME, finished_at=TIME, files_scanned=T.ArrayType(TEXT),
     rows_read=LONG, rows_written_silver=LONG, rows_quarantined=LONG, status=TEXT, operator=TEXT,
 )
+
+RUN_SEVERITY = schema(
+    ingestion_run_id=TEXT, status_text=TEXT, severity=TEXT, quarantine_rate=T.DoubleType(), finished_at=TIME,
+)
