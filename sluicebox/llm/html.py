@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from xxhash import xxh64_intdigest
 
-from sluicebox.llm.common import spread
+from sluicebox.llm.common import spread, written
 
 MIN_PAGES = 5
 MIN_SHARE = 0.1
@@ -307,7 +307,7 @@ def extract_text(
     sums = [F.sum(c).alias(c) for c in ("n", "one", "two", "place")]
     tokens = rows.mapInPandas(_occurrences, schema).groupBy("host", "token", "is_text").agg(F.count(F.lit(1)).alias("pages"), *sums)
     # a token of one page alone is in no class
-    tokens = tokens.where(f"pages >= {min(2, min_pages)} or token = 0")
+    tokens = written(tokens.where(f"pages >= {min(2, min_pages)} or token = 0"), "page-tokens")
     options = (min_pages, min_share, min_tokens, fixed_text_pages)
     templates = _classes(tokens, *options)
     # classes over all pages: at most 1 / min_share times as many tokens as a page has on average
