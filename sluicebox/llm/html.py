@@ -191,11 +191,11 @@ def _occurrences(batches):
         yield pd.DataFrame(rows, columns=["host", "token", "is_text", "n", "one", "two", "place"])
 
 
-def _classes(tokens: DataFrame, min_pages: int, min_share: float, min_tokens: int, fixed_text_pages: int) -> DataFrame:
-    """`host, template`: the tokens of a host's equivalence classes, as (class, token, place)."""
-    pages = tokens.where("token = 0").select("host", F.col("pages").alias("of_host"))
+def _classes(counted: DataFrame, min_pages: int, min_share: float, min_tokens: int, fixed_text_pages: int) -> DataFrame:
+    """`host, template`: the tokens of a host's equivalence classes, as (class, token, place), from
+    its tokens with `of_host`, the number of its pages."""
     vector = F.xxhash64("pages", "n", "one", "two").alias("class")
-    found = tokens.where("token <> 0").join(pages, "host").where(
+    found = counted.where("token <> 0").where(
         (F.col("pages") >= F.greatest(F.lit(min_pages), F.col("of_host") * min_share))
         & (~F.col("is_text") | (F.col("pages") >= fixed_text_pages))
     )
@@ -309,9 +309,12 @@ def extract_text(
     # a token of one page alone is in no class
     tokens = written(tokens.where(f"pages >= {min(2, min_pages)} or token = 0"), "page-tokens")
     options = (min_pages, min_share, min_tokens, fixed_text_pages)
-    templates = _classes(tokens, *options)
+    of_host = tokens.where("token = 0").select("host", F.col("pages").alias("of_host"))
+    templates = _classes(tokens.join(of_host, "host"), *options)
     # classes over all pages: at most 1 / min_share times as many tokens as a page has on average
-    pooled = tokens.withColumn("host", F.lit("")).groupBy("host", "token", "is_text").agg(F.sum("pages").alias("pages"), *sums)
+    pooled = tokens.groupBy("token", "is_text").agg(F.sum("pages").alias("pages"), *sums)
+    n_pages = of_host.agg(F.sum("of_host")).first()[0] or 0
+    pooled = pooled.withColumns({"host": F.lit(""), "of_host": F.lit(n_pages)})
     common = [r["template"] for r in _classes(pooled, *options).collect()]
     common = [{"tokens": list(e["tokens"])} for e in common[0]] if common else []
     shared = pages.sparkSession.sparkContext.broadcast(common)
