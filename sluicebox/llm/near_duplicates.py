@@ -7,10 +7,13 @@ prefix of each node's postings, rarest first: postings of one node alone are ski
 fewer than `matches` shared postings is dropped. Collisions are counted on the packed signatures, and
 pairs that have enough are confirmed on the full sets.
 
-A list of many near copies is not expanded into pairs: first every member is compared with one
-leader per list, and what is confirmed is merged; only members that are not yet in the component of
-their list's leader are compared with the rest of the list. No link between components is lost,
-because two members in different components cannot both be in the leader's.
+A list of many near copies is not expanded into pairs. A shingle that one node alone has is in no
+intersection, so the numbers of such shingles bound the similarity of any pair from above; a node
+with too many is in no pair, and of two nodes with many each the pair is ruled out. Then every
+member is compared with one leader per list, the one with the least share of such shingles first, and
+what is confirmed is merged; only members that are not yet in the component of their list's leader
+are compared with the rest of the list. No link between components is lost, because two members in
+different components cannot both be in the leader's.
 """
 
 from __future__ import annotations
@@ -130,14 +133,68 @@ def _collisions(a: str, b: str) -> Column:
     return total
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) whose full sets have 100 * intersection >= percent * union."""
+def _possible(x: str, y: str, percent: int) -> Column:
+    """Whether shingles of their own leave two sets room for the asked similarity."""
+    own = F.col(f"{x}.own") + F.col(f"{y}.own")
+    common = F.least(F.col(f"{x}.n") - F.col(f"{x}.own"), F.col(f"{y}.n") - F.col(f"{y}.own"))
+    return common * 100 >= (common + own) * percent
+
+
+def _sizes(sets: DataFrame, percent: int) -> DataFrame:
+    """`node, n, own, light` of the sets that can be in a pair: number of shingles, how many no other
+    set has, and whether two such sets can be a pair."""
+    single = (
+        sets.select("node", F.explode("shingles").alias("shingle")).groupBy("shingle")
+        .agg(F.count(F.lit(1)).alias("often"), F.min("node").alias("node")).where("often = 1")
+        .groupBy("node").agg(F.count(F.lit(1)).alias("own"))
+    )
+    sizes = sets.select("node", F.size("shingles").cast("bigint").alias("n")).join(single, "node", "left").select(
+        "node", "n", F.coalesce("own", F.lit(0)).alias("own")
+    )
+    shared = F.col("n") - F.col("own")
+    return sizes.where(shared * 100 >= F.col("n") * percent).withColumn("light", shared * 100 >= (F.col("n") + F.col("own")) * percent)
+
+
+def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) with the size of the intersection of their full sets and the sum of their sizes."""
     a = sets.select(F.col("node").alias("a"), F.col("shingles").alias("of_a"))
     b = sets.select(F.col("node").alias("b"), F.col("shingles").alias("of_b"))
-    common = F.size(F.array_intersect("of_a", "of_b"))
-    whole = F.size("of_a") + F.size("of_b")
-    compared = pairs.join(a, "a").join(b, "b").select("a", "b", common.alias("common"), whole.alias("whole"))
-    return compared.where(F.col("common") * 100 >= (F.col("whole") - F.col("common")) * percent).select("a", "b")
+    common = F.size(F.array_intersect("of_a", "of_b")).cast("bigint")
+    both = (F.size("of_a") + F.size("of_b")).cast("bigint")
+    return pairs.join(a, "a").join(b, "b").select("a", "b", common.alias("common"), both.alias("both"))
+
+
+def _linked(compared: DataFrame, percent: int) -> DataFrame:
+    """Compared pairs with 100 * intersection >= percent * union."""
+    return compared.where(F.col("common") * 100 >= (F.col("both") - F.col("common")) * percent).select("a", "b")
+
+
+def _beside_leader(lists: DataFrame, leaders: DataFrame, compared: DataFrame, percent: int) -> DataFrame:
+    """Adds to each member of a list `shared`, how many shingles it shares with the list's first
+    leader, and `loose`, how many it shares with others but not with the leader; leaves out members
+    that no member of the list can be linked with.
+
+    Of two members the intersection is at most the smaller `shared` plus the smaller `loose`. Near
+    copies whose changes are their own have nothing loose, so those that the leader is not linked
+    with find no partner that is as long as the leader.
+    """
+    with_leader = compared.select(
+        F.inline(F.array(F.struct(F.col("a").alias("leader"), F.col("b").alias("node"), "common"),
+                         F.struct(F.col("b").alias("leader"), F.col("a").alias("node"), "common")))
+    ).distinct()
+    first = leaders.select("posting", F.col("node").alias("leader"))
+    shared = F.when(F.col("node") == F.col("leader"), F.col("n")).otherwise(F.coalesce("common", "n"))
+    known = lists.join(first, "posting").join(with_leader, ["leader", "node"], "left").withColumn("shared", shared)
+    known = written(known.withColumn("loose", F.greatest(F.lit(0), F.col("n") - F.col("shared") - F.col("own"))).drop("leader", "common"), "beside-leaders")
+    bounds = written(known.groupBy("posting").agg(F.min("n").alias("least_n"), F.max("loose").alias("most_loose")), "list-bounds")
+    most = F.col("shared") + F.least("loose", "most_loose")
+    able = most * 100 >= (F.col("n") + F.col("least_n") - most) * percent
+    return written(known.join(bounds, "posting").where(able).drop("least_n", "most_loose"), "open-lists")
+
+
+def _possible_beside_leader(x: str, y: str, percent: int) -> Column:
+    most = F.least(f"{x}.shared", f"{y}.shared") + F.least(f"{x}.loose", f"{y}.loose")
+    return most * 100 >= (F.col(f"{x}.n") + F.col(f"{y}.n") - most) * percent
 
 
 def _labelled(lists: DataFrame, links: DataFrame | None) -> DataFrame:
@@ -150,6 +207,18 @@ def _labelled(lists: DataFrame, links: DataFrame | None) -> DataFrame:
     return known.join(written(mixed_lists.select("posting"), "mixed-lists"), "posting", "left_semi")
 
 
+def _lists(postings: DataFrame) -> DataFrame:
+    """Postings of more than one node."""
+    full = postings.groupBy("posting").agg(F.count(F.lit(1)).alias("often")).where("often > 1").select("posting")
+    return postings.join(full, "posting", "left_semi")
+
+
+def _leading(lists: DataFrame, order: Column, turn: int, columns: list[str]) -> DataFrame:
+    """Of each list its first node by `order`, then by a hash."""
+    first = F.min(F.struct(order.alias("order"), F.xxhash64("node", F.lit(turn)).alias("hash"), "node", "label", *columns))
+    return lists.groupBy("posting").agg(first.alias("l")).select("posting", "l.node", "l.label", *[f"l.{c}" for c in columns])
+
+
 def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
 
@@ -192,37 +261,42 @@ def near_duplicates(
         }).where(F.col("place") <= F.col("shared") - matches + 1).select("posting", "node").distinct()
     )
     prefix = written(prefix, "prefixes")
-    full = prefix.groupBy("posting").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("posting")
-    lists = written(
-        prefix.join(full, "posting", "left_semi").join(posted.select("node", *_packed("postings")), "node"), "lists"
-    )
-    wanted = lists.select("node").distinct()
+    wanted = _lists(prefix).select("node").distinct()
     sets = written(
         rows.join(wanted, rows["doc_id"] == wanted["node"]).select("node", "text")
         .mapInPandas(_sets(words), "node bigint, shingles array<bigint>").dropDuplicates(["node"]), "shingle-sets",
     )
+    able = prefix.join(written(_sizes(sets, percent), "set-sizes"), "node")
+    lists = written(_lists(able).join(posted.select("node", *_packed("postings")), "node"), "lists")
 
-    links = None
-    packed = [f"s{n}" for n in range(_PACKED)]
+    links, beside = None, None
+    least_own = F.expr("own * 1000000 div n")
+    packed = ["n", "own", *(f"s{n}" for n in range(_PACKED))]
     for turn in range(leader_rounds):
         open_lists = _labelled(lists, links)
-        leaders = written(
-            open_lists.groupBy("posting").agg(F.min(F.struct(F.xxhash64("node", F.lit(turn)), "node", "label", *packed)).alias("l"))
-            .select("posting", "l.node", "l.label", *[f"l.{s}" for s in packed]), "leaders",
-        )
+        leaders = written(_leading(open_lists, least_own if turn == 0 else F.lit(turn), turn, packed), "leaders")
         pairs = open_lists.alias("x").join(leaders.alias("y"), F.col("x.posting") == F.col("y.posting")).where(
-            (F.col("x.label") != F.col("y.label")) & (_collisions("x", "y") >= matches)
+            F.col("x.label") != F.col("y.label")
         )
-        found = _confirmed(written(_ordered(pairs), "pairs"), sets, percent)
+        if turn:
+            pairs = pairs.where(_possible("x", "y", percent) & (_collisions("x", "y") >= matches))
+        compared = written(_compared(written(_ordered(pairs), "pairs"), sets), "compared")
+        beside = beside or (leaders, compared)
+        found = _linked(compared, percent)
         links = written(found if links is None else links.unionByName(found), "links")
-    rest = _labelled(lists, links)
-    rest = written(rest, "open-lists")
-    leading = rest.groupBy("posting").agg(F.min(F.struct(F.xxhash64("label"), "label")).alias("l")).select("posting", "l.label")
-    apart = rest.alias("r").join(written(leading, "leading").alias("l"), F.col("r.posting") == F.col("l.posting")).where("r.label <> l.label")
-    pairs = apart.select("r.*").alias("x").join(rest.alias("y"), F.col("x.posting") == F.col("y.posting")).where(
-        (F.col("x.label") != F.col("y.label")) & (_collisions("x", "y") >= matches)
-    )
-    found = _confirmed(written(_ordered(pairs), "pairs"), sets, percent)
+    rest = _beside_leader(_labelled(lists, links), *beside, percent)
+    leading = written(_leading(rest, least_own, 0, []), "leading")
+    apart = rest.alias("r").join(leading.alias("l"), F.col("r.posting") == F.col("l.posting")).where("r.label <> l.label").select("r.*")
+    # one of a pair is light at least
+    pairs = None
+    for x, y in ((apart, rest.where("light")), (apart.where("light"), rest)):
+        found = x.alias("x").join(y.alias("y"), F.col("x.posting") == F.col("y.posting")).where(
+            (F.col("x.label") != F.col("y.label")) & _possible_beside_leader("x", "y", percent)
+            & _possible("x", "y", percent) & (_collisions("x", "y") >= matches)
+        ).select("x.node", F.col("y.node").alias("other"))
+        pairs = found if pairs is None else pairs.unionByName(found)
+    pairs = pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+    found = _linked(_compared(written(pairs, "pairs"), sets), percent)
     labels = components(written(links.unionByName(found), "links"))
 
     labelled = written(
