@@ -286,13 +286,21 @@ def near_duplicates(
         links = written(found if links is None else links.unionByName(found), "links")
     rest = _beside_leader(_labelled(lists, links), *beside, percent)
     leading = written(_leading(rest, least_own, 0, []), "leading")
-    apart = rest.alias("r").join(leading.alias("l"), F.col("r.posting") == F.col("l.posting")).where("r.label <> l.label").select("r.*")
-    # one of a pair is light at least
+    # a pair is taken in the first list that both are in, and one of it is light at least
+    lists_of = rest.groupBy("node").agg(F.collect_set("posting").alias("lists"))
+    labelled = rest.join(leading.select("posting", F.col("label").alias("leading")), "posting").join(lists_of, "node").withColumn(
+        "apart", F.col("label") != F.col("leading")
+    )
+    labelled = written(labelled.drop("leading"), "rest")
     pairs = None
-    for x, y in ((apart, rest.where("light")), (apart.where("light"), rest)):
+    for x, y, once in (
+        (labelled.where("apart"), labelled.where("light"), "not y.apart or not x.light or x.node < y.node"),
+        (labelled.where("apart and light"), labelled.where("not light and not apart"), "true"),
+    ):
         found = x.alias("x").join(y.alias("y"), F.col("x.posting") == F.col("y.posting")).where(
-            (F.col("x.label") != F.col("y.label")) & _possible_beside_leader("x", "y", percent)
+            (F.col("x.label") != F.col("y.label")) & F.expr(once) & _possible_beside_leader("x", "y", percent)
             & _possible("x", "y", percent) & (_collisions("x", "y") >= matches)
+            & (F.array_min(F.array_intersect("x.lists", "y.lists")) == F.col("x.posting"))
         ).select("x.node", F.col("y.node").alias("other"))
         pairs = found if pairs is None else pairs.unionByName(found)
     pairs = pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
