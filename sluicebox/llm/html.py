@@ -5,7 +5,9 @@ between tags. Over the pages of a host each token has an occurrence vector, the
 occurrences on every page; tokens with equal vectors form an equivalence class. Classes of enough
 tokens on enough pages are the host's template. On a page a class is valid if its tokens come in the
 template's order, and if it lies inside one slot of the largest class, in which it is then nested.
-Tokens of valid classes are template; what remains are the texts of the slots. Kept are the slots of
+Tokens of valid classes are template; what remains are the texts of the slots. Texts of a class are
+template only where they recur beside many differing texts: those of a copied page recur beside none
+of its own, so they stay, however often the page is copied. Kept are the slots of
 the article, without those in menus, headers, footers, sidebars, notices, adverts, forms and comments.
 
 Vectors are not stored: a class is recognised by two sums over pages of hash times count, which add up
@@ -30,6 +32,7 @@ MIN_PAGES = 5
 MIN_SHARE = 0.1
 MIN_TOKENS = 3
 FIXED_TEXT_PAGES = 20
+OWN_SHARE = 0.2
 SALTS = 32
 
 # Fixed values of HTML: elements without an end, with raw text, and that end a block of text.
@@ -180,33 +183,106 @@ def _occurrences(batches):
             hashed = xxh64_intdigest(key)
             one, two = hashed >> 33, hashed & 0x7FFFFFFF
             nodes = [n for n in parse(html or "") if n.kind != "text" or n.text.strip()]
-            counts, first, texts = Counter(), {}, set()
+            counts, first, levels = Counter(), {}, {}
             for place, node in enumerate(nodes):
                 counts[node.token] += 1
                 first.setdefault(node.token, place)
                 if node.kind == "text":
-                    texts.add(node.token)
-            rows.append((host, 0, False, 1, one, two, 0))
-            rows.extend((host, t, t in texts, n, n * one, n * two, first[t]) for t, n in counts.items())
-        yield pd.DataFrame(rows, columns=["host", "token", "is_text", "n", "one", "two", "place"])
+                    levels[node.token] = max(_level(node), levels.get(node.token, -1))
+            rows.append((host, 0, False, -1, 1, one, two, 0))
+            rows.extend((host, t, t in levels, levels.get(t, -1), n, n * one, n * two, first[t]) for t, n in counts.items())
+        yield pd.DataFrame(rows, columns=["host", "token", "is_text", "level", "n", "one", "two", "place"])
+
+
+def _level(node: Node) -> int:
+    """`main` of a text that can be kept, -1 of any other token."""
+    return node.main if node.kind == "text" and not node.dropped else -1
 
 
 def _classes(counted: DataFrame, min_pages: int, min_share: float, min_tokens: int, fixed_text_pages: int) -> DataFrame:
-    """`host, template`: the tokens of a host's equivalence classes, as (class, token, place), from
-    its tokens with `of_host`, the number of its pages."""
+    """`host, class, tokens`: the tokens of a host's equivalence classes, as (place, token, level),
+    from its tokens with `of_host`, the number of its pages."""
     vector = F.xxhash64("pages", "n", "one", "two").alias("class")
     found = counted.where("token <> 0").where(
         (F.col("pages") >= F.greatest(F.lit(min_pages), F.col("of_host") * min_share))
         & (~F.col("is_text") | (F.col("pages") >= fixed_text_pages))
     )
-    members = found.select("host", vector, "token", (F.col("place") / F.col("pages")).alias("place"))
+    members = found.select("host", vector, "token", "level", (F.col("place") / F.col("pages")).alias("place"))
     return (
-        members.groupBy("host", "class").agg(F.array_sort(F.collect_list(F.struct("place", "token"))).alias("tokens"))
+        members.groupBy("host", "class").agg(F.array_sort(F.collect_list(F.struct("place", "token", "level"))).alias("tokens"))
         .where(F.size("tokens") >= min_tokens)
-        .groupBy("host").agg(F.collect_list(F.struct(F.col("class"), F.col("tokens.token").alias("tokens"))).alias("template"))
     )
 
 
+def _of_hosts(classes: DataFrame) -> DataFrame:
+    """`host, template`: all classes of a host in a row."""
+    fields = F.struct("class", F.col("tokens.token").alias("tokens"), F.col("tokens.level").alias("levels"))
+    return classes.groupBy("host").agg(F.collect_list(fields).alias("template"))
+
+
+def _texts(batches):
+    """The texts of each page that can be kept: tokens, numbers of characters, levels."""
+    for batch in batches:
+        rows = []
+        for url, html in zip(batch["url"], batch["html"]):
+            found = [n for n in parse(html or "") if _level(n) >= 0 and n.text.strip()]
+            rows.append((host_of(url), [n.token for n in found], [len(n.text.strip()) for n in found], [n.main for n in found]))
+        yield pd.DataFrame(rows, columns=["host", "tokens", "chars", "levels"])
+
+
+def beside(texts: list[tuple[int, int, int]], template) -> list[tuple[int, int, int, int, int]]:
+    """For each class and level that has texts on a page: a hash of the page's own texts of that level
+    or above, which are in no class, their characters, and those of the class. `texts` are the page's
+    tokens, characters and levels."""
+    classes = [(e["class"], {int(t) for t, level in zip(e["tokens"], e["levels"]) if level >= 0}) for e in template]
+    fixed = set().union(*(tokens for _, tokens in classes))
+    out = []
+    for level in {level for token, _, level in texts if token in fixed}:
+        above = [(t, n) for t, n, at in texts if at >= level]
+        own = [t for t, _ in above if t not in fixed]
+        hashed = xxh64_intdigest(",".join(map(str, own)).encode()) >> 1
+        own_chars = sum(n for t, n in above if t not in fixed)
+        here = {t for t, _, at in texts if at == level}
+        out.extend(
+            (name, level, hashed, own_chars, sum(n for t, n in above if t in tokens))
+            for name, tokens in classes if own and not tokens.isdisjoint(here)
+        )
+    return out
+
+
+def _beside(shared):
+    def compare(batches):
+        common = shared.value
+        for batch in batches:
+            rows = []
+            for host, tokens, chars, levels, template in zip(*(batch[c] for c in ("host", "tokens", "chars", "levels", "template"))):
+                texts = list(zip(map(int, tokens), map(int, chars), map(int, levels)))
+                rows.extend((None, *found) for found in beside(texts, common))
+                if template is not None:
+                    rows.extend((host, *found) for found in beside(texts, template))
+            yield pd.DataFrame(rows, columns=["host", "class", "level", "own", "own_chars", "class_chars"])
+
+    return compare
+
+
+def _recurring(compared: DataFrame, fixed_text_pages: int, own_share: float) -> DataFrame:
+    """`host, class, fixed_levels`: where texts of a class stand beside enough differing texts. Pages of
+    equal texts of their own count once."""
+    once = compared.groupBy("host", "class", "level", "own").agg(F.max("own_chars").alias("own_chars"), F.max("class_chars").alias("class_chars"))
+    sums = once.groupBy("host", "class", "level").agg(
+        F.count(F.lit(1)).alias("contents"), F.sum("own_chars").alias("own_chars"), F.sum("class_chars").alias("class_chars")
+    )
+    enough = (F.col("contents") >= fixed_text_pages) & (F.col("own_chars") >= F.col("class_chars") * own_share)
+    return sums.where(enough).groupBy("host", "class").agg(F.collect_set("level").alias("fixed_levels"))
+
+
+def _with_recurring(classes: DataFrame, recurring: DataFrame, on: list[str]) -> DataFrame:
+    """Classes without the texts that are not template."""
+    held = lambda t: (t["level"] < 0) | F.array_contains("fixed_levels", t["level"])
+    joined = classes.join(recurring, on, "left").withColumn("fixed_levels", F.coalesce("fixed_levels", F.array().cast("array<int>")))
+    return joined.withColumn("tokens", F.filter("tokens", held)).where(F.size("tokens") > 0).drop("fixed_levels")
+
+
 def template_tokens(nodes: list[Node], template) -> set[int]:
     """Tokens of the classes that are valid on this page."""
     places = defaultdict(list)
@@ -221,9 +297,10 @@ def template_tokens(nodes: list[Node], template) -> set[int]:
             valid.append(tokens)
     if not valid:
         return set()
-    # the largest class with one occurrence a page is the frame that the others are nested in
+    # the class of most tags, with one occurrence a page, is the frame that the others are nested in
     single = [v for v in valid if len(places[v[0]]) == 1]
-    frame = max(single, key=lambda v: (len(v), -places[v[0]][0]), default=[])
+    tags = lambda v: sum(nodes[places[t][0]].kind != "text" for t in v)
+    frame = max((v for v in single if tags(v)), key=lambda v: (tags(v), len(v), -places[v[0]][0]), default=[])
     edges = sorted(places[t][0] for t in frame)
     out = set(frame)
     for tokens in valid:
@@ -288,13 +365,14 @@ def _extracted(shared):
 def extract_text(
     pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
     min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE, min_tokens: int = MIN_TOKENS,
-    fixed_text_pages: int = FIXED_TEXT_PAGES, salts: int = SALTS,
+    fixed_text_pages: int = FIXED_TEXT_PAGES, salts: int = SALTS, own_share: float = OWN_SHARE,
 ) -> DataFrame:
     """`page_id, url, text, n_chars` for each row of `pages`.
 
     A host's pages never meet in one task: their tokens are summed before the shuffle, and the
     template, a row a host, is joined back to salted pages. A text that stands on every page of a
-    template is itself template if there are at least `fixed_text_pages` of them. Defined results: a
+    template is itself template if there are at least `fixed_text_pages` of them with differing other
+    texts, which have `own_share` of the characters of the template's texts. Defined results: a
     null or empty html gives an empty text; a null id or URL stays null, and the pages without a host
     are one host; repeated rows are a page each; an empty table gives no rows; other columns are not
     read.
@@ -303,25 +381,41 @@ def extract_text(
         F.col(id_col).cast("bigint").alias("page_id"), F.col(url_col).cast("string").alias("url"),
         F.col(html_col).cast("string").alias("html"),
     )
-    schema = "host string, token bigint, is_text boolean, n bigint, one bigint, two bigint, place bigint"
-    sums = [F.sum(c).alias(c) for c in ("n", "one", "two", "place")]
+    schema = "host string, token bigint, is_text boolean, level int, n bigint, one bigint, two bigint, place bigint"
+    sums = [F.sum(c).alias(c) for c in ("n", "one", "two", "place")] + [F.max("level").alias("level")]
     tokens = rows.mapInPandas(_occurrences, schema).groupBy("host", "token", "is_text").agg(F.count(F.lit(1)).alias("pages"), *sums)
     # a token of one page alone is in no class
     tokens = written(tokens.where(f"pages >= {min(2, min_pages)} or token = 0"), "page-tokens")
     options = (min_pages, min_share, min_tokens, fixed_text_pages)
     of_host = tokens.where("token = 0").select("host", F.col("pages").alias("of_host"))
-    templates = _classes(tokens.join(of_host, "host"), *options)
+    classes = written(_classes(tokens.join(of_host, "host"), *options), "page-classes")
     # classes over all pages: at most 1 / min_share times as many tokens as a page has on average
     pooled = tokens.groupBy("token", "is_text").agg(F.sum("pages").alias("pages"), *sums)
     n_pages = of_host.agg(F.sum("of_host")).first()[0] or 0
     pooled = pooled.withColumns({"host": F.lit(""), "of_host": F.lit(n_pages)})
-    common = [r["template"] for r in _classes(pooled, *options).collect()]
-    common = [{"tokens": list(e["tokens"])} for e in common[0]] if common else []
-    shared = pages.sparkSession.sparkContext.broadcast(common)
+    pooled_classes = written(_classes(pooled, *options), "pooled-classes")
+    spark = pages.sparkSession
+
+    def broadcast(found: DataFrame):
+        common = [r["template"] for r in _of_hosts(found).collect()]
+        return spark.sparkContext.broadcast([e.asDict() for e in common[0]] if common else [])
+
+    def with_template(df: DataFrame, templates: DataFrame, *key: str) -> DataFrame:
+        spread_templates = templates.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        return df.withColumn("salt", spread(*key, over=salts)).join(spread_templates, ["host", "salt"], "left")
+
+    # texts are compared where a class has any that can be kept
+    texts = rows.mapInPandas(_texts, "host string, tokens array<bigint>, chars array<int>, levels array<int>")
+    of_texts = _of_hosts(classes.where(F.exists("tokens", lambda t: t["level"] >= 0)))
+    recurring = written(_recurring(
+        with_template(texts, of_texts, "tokens").mapInPandas(
+            _beside(broadcast(pooled_classes)), "host string, class bigint, level int, own bigint, own_chars bigint, class_chars bigint"
+        ), fixed_text_pages, own_share,
+    ), "page-recurring")
+    templates = _of_hosts(_with_recurring(classes, recurring.where("host is not null"), ["host", "class"]))
+    shared = broadcast(_with_recurring(pooled_classes, recurring.where("host is null").drop("host"), ["class"]))
     packed = rows.mapInPandas(_packed, "page_id bigint, url string, host string, packed binary")
-    salted = packed.withColumn("salt", spread("page_id", "url", over=salts))
-    spread_templates = templates.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    joined = salted.join(spread_templates, ["host", "salt"], "left").select("page_id", "url", "packed", "template")
+    joined = with_template(packed, templates, "page_id", "url").select("page_id", "url", "packed", "template")
     return joined.mapInPandas(_extracted(shared), "page_id bigint, url string, text string").withColumn(
         "n_chars", F.length("text").cast("bigint")
     )

@@ -59,3 +59,27 @@ def test_classes_out_of_order_are_not_valid():
 
 def test_hosts():
     assert html.host_of("https://u:p@A.b:80/x") == "a.b" and html.host_of("nothing") == html.host_of(None) == ""
+
+
+def article(n, heading, paragraphs, extra=""):
+    return (
+        f"<html><body><div><a href='/'>home</a><p>Menu of the site</p></div><article><h1>{heading}</h1>{extra}"
+        + "".join(f"<p>{p}</p>" for p in paragraphs) + f"</article><div><p>All rights reserved</p><i>{n}</i></div></body></html>"
+    )
+
+
+@pytest.mark.parametrize("marked", [True, False])
+@pytest.mark.parametrize("dated", [True, False])
+def test_texts_of_copied_pages_are_kept(spark, marked, dated):
+    own = [[f"Paragraph {k} of the article {n}" for k in range(6)] for n in range(60)]
+    copied = [f"Copied paragraph {k} that stands on thirty pages" for k in range(40)]
+    date = lambda n: f"<p>Copy of day {n}</p>" if dated else ""
+    rows = [(n, f"http://a/{n}", article("-", f"Heading {n}", own[n])) for n in range(60)]
+    rows += [(n, f"http://a/{n}", article("-", "Copied", copied, date(n))) for n in range(60, 90)]
+    if not marked:
+        rows = [(n, url, page.replace("article>", "section>")) for n, url, page in rows]
+    found = {r.page_id: r.text for r in html.extract_text(frame(spark, rows)).collect()}
+    for n in range(60):
+        assert found[n] == "\n\n".join([f"Heading {n}", *own[n]])
+    for n in range(60, 90):
+        assert found[n] == "\n\n".join(["Copied", *[f"Copy of day {n}"] * dated, *copied])
