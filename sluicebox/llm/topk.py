@@ -102,7 +102,9 @@ class Block:
         taken = np.zeros(len(query), np.int64)
         segments = self.filled.sum(1)
         per_dim = -np.sort(-np.where(self.filled, impact, -1), axis=1)
-        keep = None
+        # rows of the query's own id are no candidates, however many there are, and prove nothing
+        others = np.nonzero(self.ids != own)[0]
+        keep = others
         for first in range(0, len(dims), max(1, len(dims) // ROUNDS)):
             last = min(len(dims), first + max(1, len(dims) // ROUNDS))
             for d, n, value in zip(dims[first:last].tolist(), levels[first:last].tolist(), impacts[first:last].tolist()):
@@ -114,14 +116,12 @@ class Block:
             gain = float(upcoming.sum()) + error
             # sums of floats may be off by their rounding
             slack = 1.0 + 1e-9 * (np.abs(known).max(initial=0) + abs(float(base.sum())) + gain)
-            others = known if len(known) <= k + 1 else np.partition(known, len(known) - k - 1)[-k - 1 :]
-            # one of the k + 1 best may be the query itself
-            bound = float(others.min()) if len(known) > k else -np.inf
+            reached = known[others]
+            bound = float(np.partition(reached, len(reached) - k)[-k]) if len(reached) >= k > 0 else -np.inf
             bound = max(bound, least - float(base.sum()))
-            keep = np.nonzero(known + gain + slack >= bound - slack)[0]
+            keep = others[reached + gain + slack >= bound - slack]
             if len(keep) <= 4 * k:
                 break
-        keep = keep[self.ids[keep] != own] if keep is not None else np.arange(0)
         scores = query @ self.z[:, keep]
         best = np.lexsort((self.ids[keep], -scores))[:k]
         return self.ids[keep][best], scores[best]

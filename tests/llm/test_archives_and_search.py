@@ -2,6 +2,7 @@ import hashlib
 from collections import Counter
 
 import numpy as np
+import pytest
 
 from sluicebox.llm import topk, warc
 from sluicebox.llm.common import fresh_path
@@ -105,3 +106,16 @@ def test_search_stops_on_proof_only():
         ids, scores = block.search(query, -1, 7, -np.inf)
         exact = z @ query
         assert scores.tolist() == sorted(exact, reverse=True)[:7] and (exact[ids] == scores).all()
+
+
+@pytest.mark.parametrize("copies", [2, 20])
+def test_top_k_of_repeated_query_ids(spark, copies):
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.standard_normal(4).tolist()) for i in range(400)]
+    rows += [(i, (np.array(rows[i][1]) * (1 + n % 3)).tolist()) for i in (7, 9, 30) for n in range(copies - 1)]
+    df = vectors(spark, rows)
+    # `brute` asks the last row of an id
+    asked = vectors(spark, [(i, dict(rows)[i]) for i in (7, 9, 30)])
+    for block in (64, 10_000):
+        found = topk.top_k(df, asked, k=10, block_rows=block).collect()
+        assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in found) == brute(rows, {7, 9, 30}, 10)
