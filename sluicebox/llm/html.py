@@ -102,16 +102,25 @@ def _labels(attributes: str) -> tuple[str, set[str], str]:
 
 def parse(html: str) -> list[Node]:
     """Tokens of a page in order. `main` tells how sure it is that a token stands in the article: 3 in
-    an article element, 2 in a main one, 1 in one named like it, 0 elsewhere."""
+    an article element, 2 in a main one, 1 in one named like it, 0 elsewhere. An element is dropped for
+    its name unless it holds the page's article."""
     nodes: list[Node] = []
-    # of each open element: name, path, whether its text is dropped, and `main`
-    stack: list[tuple[str, str, bool, int]] = [("", "", False, 0)]
-    at = 0
+    # of each open element: name, path, whether its text is dropped, `main`, the elements around that
+    # are dropped for their names, and the article and main elements around
+    stack: list[tuple[str, str, bool, int, tuple, tuple]] = [("", "", False, 0, (), ())]
+    # of each article or main element: its path, and the elements around that are dropped for their names
+    articles: list[tuple[str, tuple]] = []
+    # of each node: the elements around that are dropped for their names, and the articles around
+    around: list[tuple[tuple, tuple]] = []
+    at = n_named = 0
+
+    def add(kind: str, name: str, path: str, text: str, dropped: bool, main: int, named: tuple, inside: tuple) -> None:
+        nodes.append(Node(kind, name, path, text, dropped, main))
+        around.append((named, inside))
 
     def text(until: int) -> None:
         if until > at and (data := html[at:until]):
-            _, path, dropped, main = stack[-1]
-            nodes.append(Node("text", "", path, entities.unescape(data), dropped, main))
+            add("text", "", stack[-1][1], entities.unescape(data), *stack[-1][2:])
 
     while found := _TAG.search(html, at):
         text(found.start())
@@ -125,27 +134,33 @@ def parse(html: str) -> list[Node]:
             if name in CLOSES:
                 _end(stack, CLOSES[name] | {"p"})
             label, words, role = _labels(attributes)
-            _, path, dropped, main = stack[-1]
+            _, path, dropped, main, named, inside = stack[-1]
             shown = f"{name}[{label}]" if label else name
             in_article = main == 3
             dropped = (
-                dropped or name in DROPPED or role in ROLES or bool(words & NAMES) and name not in ("html", "body")
+                dropped or name in DROPPED or role in ROLES
                 or name == "header" and not in_article or "hidden" in attributes.lower().split()
             )
+            is_main = name in ("article", "main") or role == "main"
+            if words & NAMES and not is_main and name not in ("html", "body"):
+                named, n_named = (*named, n_named), n_named + 1
+            if is_main and not dropped:
+                articles.append((f"{path}/{shown}", named))
+                inside = (*inside, len(articles) - 1)
             if not dropped:
                 own = 3 if name == "article" else 2 if name == "main" or role == "main" else 1 if words & MAIN_NAMES and name not in ("html", "body") else 0
                 main = max(main, own)
             inner = f"{path}/{shown}"
-            nodes.append(Node("open", shown, path, "", dropped, main))
+            add("open", shown, path, "", dropped, main, named, inside)
             if name in RAW:
                 close = re.compile(f"</{re.escape(name)}(?=[\\s/>]|\\Z)[^>]*(?:>|\\Z)", re.I).search(html, at)
                 at = close.end() if close else len(html)
-                nodes.append(Node("close", shown, path, "", True, main))
+                add("close", shown, path, "", True, main, named, inside)
             elif name not in VOID and not attributes.endswith("/"):
-                stack.append((name, inner, dropped, main))
+                stack.append((name, inner, dropped, main, named, inside))
         elif end:
             if end in VOID:
-                nodes.append(Node("open", end, stack[-1][1], "", stack[-1][2], stack[-1][3]))
+                add("open", end, stack[-1][1], "", *stack[-1][2:])
                 continue
             depth = len(stack) - 1
             while depth and stack[depth][0] != end:
@@ -156,13 +171,39 @@ def parse(html: str) -> list[Node]:
                 depth -= 1
             if depth:
                 del stack[depth:]
-            _, path, dropped, main = stack[-1]
-            nodes.append(Node("close", end, path, "", dropped, main))
+            add("close", end, stack[-1][1], "", *stack[-1][2:])
     text(len(html))
+    if n_named:
+        _drop_named(nodes, around, articles)
     return nodes
 
 
-def _end(stack: list[tuple[str, str, bool, int]], names: set[str]) -> None:
+def _drop_named(nodes: list[Node], around: list[tuple[tuple, tuple]], articles: list[tuple[str, tuple]]) -> None:
+    """Drop what stands in an element dropped for its name, unless that element holds the page's
+    article: the article or main elements of a path with the most text. If it has less text than stands
+    outside and nothing there is marked, neither is known to be the article, and both are kept."""
+    held: frozenset = frozenset()
+    if any(named for _, named in articles):
+        sizes, marked, plain = Counter(), 0, 0
+        for node, (named, inside) in zip(nodes, around):
+            if node.kind != "text" or node.dropped or not (n := len(node.text.strip())):
+                continue
+            for path in {articles[k][0] for k in inside if articles[k][1] == named}:
+                sizes[path] += n
+            if not named:
+                marked, plain = marked + n * (node.main > 0), plain + n * (node.main == 0)
+        within = {path for path, named in articles if named}
+        best = max(within, key=lambda path: (sizes[path], path))
+        if sizes[best] > marked:
+            held = frozenset(k for path, named in articles if path == best for k in named)
+            if not marked and plain > sizes[best]:
+                for node in nodes:
+                    node.main = 0
+    for node, (named, _) in zip(nodes, around):
+        node.dropped = node.dropped or any(k not in held for k in named)
+
+
+def _end(stack: list[tuple], names: set[str]) -> None:
     """Close the innermost open element of these names, unless a container lies in between."""
     for depth in range(len(stack) - 1, 0, -1):
         if stack[depth][0] in names:
@@ -317,7 +358,12 @@ def main_text(html: str | None, template=None) -> str:
     nodes = parse(html or "")
     fixed = template_tokens([n for n in nodes if n.kind != "text" or n.text.strip()], template)
     slot = lambda n: n.kind == "text" and not n.dropped and n.token not in fixed and n.text.strip() != ""
-    best = max((n.main for n in nodes if slot(n)), default=0)
+    # an article in little of the marked text is not the page's own
+    sizes = Counter()
+    for n in nodes:
+        if slot(n):
+            sizes[n.main] += len(n.text.strip())
+    best = max((m for m in sizes if m), key=lambda m: (sizes[m], m), default=0)
     blocks: list[str] = []
     # texts of the current block, and whether each is template
     words: list[tuple[str, bool]] = []

@@ -83,3 +83,20 @@ def test_texts_of_copied_pages_are_kept(spark, marked, dated):
         assert found[n] == "\n\n".join([f"Heading {n}", *own[n]])
     for n in range(60, 90):
         assert found[n] == "\n\n".join(["Copied", *[f"Copy of day {n}"] * dated, *copied])
+
+
+@pytest.mark.parametrize("page,text", [
+    ("<div class='layout sidebar-right'><article><p>the text</article><div>x</div></div><div class=sidebar>no</div>", "the text"),
+    ("<main class='has-sidebar'><p>the text</p><div class='share'>no</div></main>", "the text"),
+    ("<article class='post share-enabled'><p>the text</article>", "the text"),
+    ("<div class='has-comments'><div class='banner-top'><main><p>the text</main></div></div>", "the text"),
+    ("<main><p>the main text of the page</p><article class=card><p>card</article></main>", "the main text of the page\n\ncard"),
+    ("<div class=content><p>the text of the page</p><article><p>card</article></div>", "the text of the page\n\ncard"),
+    ("<article><p>the text of the page</article><div class=comments><article><p>comment</article></div>", "the text of the page"),
+    ("<div class='post'><p>the text of the page</p></div><div class=related><article><p>card</article></div>", "the text of the page"),
+    ("<div class=menu-open><article><p>first</article><article><p>second</article></div>", "first\n\nsecond"),
+    ("<div><p>an unmarked text</p></div><div class=comments><article><p>reply</article></div>", "an unmarked text\n\nreply"),
+    ("<main><p>crumbs</p><article><p>the text of the page</article></main>", "the text of the page"),
+])
+def test_names_drop_no_article(page, text):
+    assert html.main_text(page) == text
