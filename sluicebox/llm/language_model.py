@@ -7,8 +7,8 @@ they are spelled by byte pairs, again with counts of the whole corpus. A documen
 of the conditional log-probabilities of its words.
 
 Counts cover every word of every document. The network is trained in numpy where the documents are:
-each task trains on a fixed share of the positions of all its documents, and the tasks' parameters
-are averaged, weighted by positions; so what the model has seen grows with the corpus.
+each round's tasks train on a share of the positions of all their documents that no other round has,
+until each position was a target, and the tasks' parameters are averaged, weighted by positions.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ OWN_CLASSES = 40
 CLASSES = 64
 REACH = 2
 EMBEDDING, HIDDEN = 12, 32
-SHARE = 16
+SHARE = 2
 ROUNDS = 2
 BATCH = 1024
 COUNTED_WORDS = 200_000
@@ -201,7 +201,7 @@ def train_on(weights: list[np.ndarray], moments: list, around: np.ndarray, targe
         weights[k][rows] -= rate * (first[rows] / (1 - 0.9**step)) / (np.sqrt(second[rows] / (1 - 0.99**step)) + 1e-6)
 
 
-def _trained(shared, share: int):
+def _trained(shared, share: int, turn: int = 0):
     def train(batches):
         lexicon, data = shared.value
         reader, size = Reader(lexicon), lexicon.other + 1
@@ -217,7 +217,7 @@ def _trained(shared, share: int):
                     continue
                 place = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
                 ids = part["doc_id"].fillna(0).to_numpy(np.int64).view(np.uint64)
-                chosen = mixed(np.repeat(mixed(ids, 1), sizes) ^ place.astype(np.uint64), 2) % np.uint64(share) == 0
+                chosen = mixed(np.repeat(mixed(ids, 1), sizes) ^ place.astype(np.uint64), 2) % np.uint64(share) == turn % share
                 held.append(neighbours(numbers)[chosen])
                 wanted.append(lexicon.class_of[np.concatenate(numbers)[chosen]])
                 if sum(map(len, wanted)) >= BATCH:
@@ -264,7 +264,8 @@ class Model:
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: int = VOCABULARY, share: int = SHARE, rounds: int = ROUNDS) -> Model:
-    """Count all words of `docs` and train the network on one in `share` positions of every document.
+    """Count all words of `docs` and train the network on one in `share` positions of every document in
+    each round, others than in the rounds before; `share` rounds take every position once.
 
     The driver holds `vocabulary` words, the 257 x 257 table of byte pairs and one set of parameters.
     """
@@ -279,10 +280,10 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabul
     pairs = outside.mapInPandas(_paired, "cell int, n bigint").groupBy("cell").agg(F.sum("n").alias("n"))
     lexicon = Lexicon(top, {r["cell"]: r["n"] for r in pairs.collect()})
     weights = flat(parameters(lexicon.other + 1))
-    for _ in range(rounds):
+    for turn in range(rounds):
         shared = spark.sparkContext.broadcast((lexicon, weights))
         schema = "part int, n bigint, weights binary"
-        parts = written(rows.mapInPandas(_trained(shared, share), schema), "trained")
+        parts = written(rows.mapInPandas(_trained(shared, share, turn), schema), "trained")
         parts = parts.groupBy("part").applyInPandas(_averaged, schema).withColumn("part", F.lit(0))
         mean = parts.groupBy("part").applyInPandas(_averaged, schema).collect()
         weights = bytes(mean[0]["weights"]) if mean else weights

@@ -157,3 +157,18 @@ def test_edge_documents(language, texts):
     assert (found[1].n_words, found[1].log_prob, found[1].mean_log_prob) == (0, 0.0, None) == (found[2].n_words, found[2].log_prob, found[2].mean_log_prob)
     assert found[3].n_words == 3 and found[4].n_words == 30_000 and found[None].log_prob < 0
     assert lm.score(texts([]), lm.fit(texts([]))).collect() == []
+
+
+def test_rounds_train_on_every_position_once(spark, texts, monkeypatch):
+    rows = [(i, " ".join(PATTERN[(i + k) % len(PATTERN)] for k in range(3 * i))) for i in range(40)]
+    seen = []
+    made = lm.written
+
+    def kept(df, name, **options):
+        out = made(df, name, **options)
+        seen.extend(r["n"] for r in (out.collect() if name == "trained" else []))
+        return out
+
+    monkeypatch.setattr(lm, "written", kept)
+    lm.fit(texts(rows))
+    assert sum(seen) == sum(len(t.split()) for _, t in rows)
