@@ -5,7 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sluicebox.llm import decontamination, html, language_model, near_duplicates, packing, substrings, token_counts, topk, toxicity, warc
+from sluicebox.llm import decontamination, html, language_model, merkle, near_duplicates, packing, substrings, token_counts, topk, toxicity, warc
 from sluicebox.llm.common import importable, table
 
 
@@ -66,6 +66,10 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, vectors.where("vec_id % 100 = 0"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verify(table(spark, sf_dir, "documents"))
+
+
 _QUERIES = {
     "pipeline": corpus_pipeline.run,
     "op1_decontamination": op1_decontamination,
@@ -78,10 +82,68 @@ _QUERIES = {
     "op8_warc": op8_warc,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_topk": op10_topk,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
 QUERIES = {name: importable(query) for name, query in _QUERIES.items()}
 
+
+
+def _merkle_sql(levels: int = 7) -> str:
+    """Trees of up to 16 ** `levels` leaves, a level at a time; a node that is alone passes as it is."""
+    coded = lambda c: f"coalesce(octet_length(encode(CAST({c} AS VARCHAR))) || ':' || CAST({c} AS VARCHAR), '-')"
+    leaf = lambda text: f"sha256({' || '.join(coded(c) for c in ('doc_id', 'source', 'lang', 'n_chars', text))})"
+    capitals = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    ctes = [f"""
+        d AS (
+            SELECT doc_id, source, {leaf('text')} AS leaf, {leaf(f"translate(text, '{capitals}', '{capitals.lower()}')")} AS lowered,
+                   xor(list_reduce([4294967295] || [CAST(ord(c) AS BIGINT) for c in string_split(CAST(doc_id AS VARCHAR), '')],
+                       lambda h, b: list_reduce([xor(h, b), 0, 0, 0, 0, 0, 0, 0, 0],
+                       lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) % 5 = 0 AS tampered
+            FROM documents
+        ), g AS (SELECT source, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS tree FROM (SELECT DISTINCT source FROM d)),
+        a0 AS (
+            SELECT tree, d.*, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS k
+            FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source
+        ), n0 AS (SELECT tree, k, leaf AS digest FROM a0)"""]
+    # nK: nodes after K levels; fK: of each leaf its fold so far and the siblings that it met
+    fold = "f0 AS (SELECT tree, k AS leaf_no, k, CASE WHEN tampered THEN lowered ELSE leaf END AS node, '' AS proof FROM a0)"
+    ctes.append(fold)
+
+    def climb(tag: str, level: int) -> None:
+        n, f = f"{tag}n{level}", f"{tag}f{level}"
+        up_n, up_f = f"{tag}n{level + 1}", f"{tag}f{level + 1}"
+        ctes.append(f"""
+        {up_n} AS (
+            SELECT tree, k // 16 AS k, CASE WHEN any_value(size) = 1 THEN any_value(digest) ELSE sha256(string_agg(digest, '' ORDER BY k)) END AS digest
+            FROM (SELECT *, count(*) OVER (PARTITION BY tree) AS size FROM {n}) GROUP BY tree, k // 16
+        ), {up_f} AS (
+            SELECT f.tree, f.leaf_no, f.k // 16 AS k,
+                   CASE WHEN count(*) = 1 AND NOT bool_or(s.size > 1) THEN any_value(f.node)
+                        ELSE sha256(string_agg(CASE WHEN s.k = f.k THEN f.node ELSE s.digest END, '' ORDER BY s.k)) END AS node,
+                   any_value(f.proof) || coalesce(string_agg(CASE WHEN s.k <> f.k THEN s.digest END, '' ORDER BY s.k), '') AS proof
+            FROM {f} AS f JOIN (SELECT *, count(*) OVER (PARTITION BY tree) AS size FROM {n}) AS s
+              ON s.tree = f.tree AND s.k // 16 = f.k // 16
+            GROUP BY f.tree, f.leaf_no, f.k
+        )""")
+
+    for level in range(levels):
+        climb("", level)
+    ctes.append(f"""
+        tn0 AS (SELECT 0 AS tree, tree AS k, digest FROM n{levels}),
+        tf0 AS (SELECT 0 AS tree, CAST(tree AS VARCHAR) || ' ' || leaf_no AS leaf_no, tree AS k, node, proof FROM f{levels})""")
+    for level in range(3):
+        climb("t", level)
+    return f"""
+        WITH {','.join(ctes)}
+        SELECT a0.doc_id, a0.leaf, n{levels}.digest AS subroot, tn3.digest AS root, sha256(tf3.proof) AS proof_sha256,
+               tf3.node AS folded_root, tf3.node = tn3.digest AS verified
+        FROM a0 JOIN n{levels} ON n{levels}.tree = a0.tree CROSS JOIN tn3
+        JOIN tf3 ON tf3.leaf_no = CAST(a0.tree AS VARCHAR) || ' ' || a0.k
+    """
+
+
 ORACLES: dict[str, str] = {
+    "op11_merkle_manifest": _merkle_sql(),
     "op10_topk": """
         WITH v AS (
             SELECT vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS z

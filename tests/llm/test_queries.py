@@ -20,6 +20,7 @@ COLUMNS = {
     "op8_warc": "page_id payload_bytes payload_digest record_type refers_to",
     "op9_substring_dedup": "doc_id text removed",
     "op10_topk": "query_id rank vec_id score",
+    "op11_merkle_manifest": "doc_id leaf subroot root proof_sha256 folded_root verified",
     "pipeline": "doc_id piece sequence_id",
 }
 
