@@ -5,7 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sluicebox.llm import decontamination, html, language_model, merkle, near_duplicates, packing, substrings, token_counts, topk, toxicity, warc
+from sluicebox.llm import clustering, decontamination, html, language_model, merkle, near_duplicates, packing, substrings, token_counts, topk, toxicity, warc
 from sluicebox.llm.common import importable, table
 
 
@@ -70,6 +70,10 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verify(table(spark, sf_dir, "documents"))
 
 
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.cluster(table(spark, sf_dir, "embeddings"))
+
+
 _QUERIES = {
     "pipeline": corpus_pipeline.run,
     "op1_decontamination": op1_decontamination,
@@ -83,6 +87,7 @@ _QUERIES = {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_topk": op10_topk,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_centroid_clustering": op12_centroid_clustering,
 }
 QUERIES = {name: importable(query) for name, query in _QUERIES.items()}
 
@@ -142,7 +147,39 @@ def _merkle_sql(levels: int = 7) -> str:
     """
 
 
+def _clusters_sql(rounds: int = 3) -> str:
+    ctes = ["""
+        v AS (
+            SELECT row_number() OVER () AS r, vec_id, [CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS z
+            FROM embeddings
+            WHERE len(embedding) = 64 AND len([1 for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+        ), c0 AS (
+            SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id), z) - 1 AS c, z AS m FROM v
+            WHERE vec_id IS NOT NULL ORDER BY c LIMIT 16
+        )"""]
+    for k in range(rounds + 1):
+        ctes.append(f"""
+        a{k} AS (
+            SELECT v.r, min({{'d': CAST(list_sum([(p[1] - p[2]) * (p[1] - p[2]) for p in list_zip(v.z, c.m)]) AS BIGINT), 'c': c.c}}) AS near
+            FROM v CROSS JOIN c{k} AS c GROUP BY v.r
+        ), s{k} AS (
+            SELECT near.c AS c, i, sum(z[i]) AS s, count(*) AS n FROM a{k} JOIN v USING (r), unnest(range(1, 65)) AS u(i) GROUP BY near.c, i
+        ), c{k + 1} AS (
+            SELECT c.c, coalesce(any_value(l.m), any_value(c.m)) AS m FROM c{k} AS c LEFT JOIN (
+                SELECT c, list(CASE WHEN s >= 0 THEN s // n ELSE -((n - 1 - s) // n) END ORDER BY i) AS m FROM s{k} GROUP BY c
+            ) AS l ON l.c = c.c GROUP BY c.c
+        )""")
+    return f"""
+        WITH {','.join(ctes)}
+        SELECT vec_id, CAST(near.c AS INTEGER) AS cluster, near.d AS distance,
+               CAST(sum(near.d) OVER (PARTITION BY near.c) AS BIGINT) AS cluster_inertia,
+               CAST(sum(near.d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(m, ',')) AS centroid_sha256
+        FROM a{rounds} JOIN v USING (r) JOIN c{rounds} AS c ON c.c = near.c
+    """
+
+
 ORACLES: dict[str, str] = {
+    "op12_centroid_clustering": _clusters_sql(),
     "op11_merkle_manifest": _merkle_sql(),
     "op10_topk": """
         WITH v AS (

@@ -21,6 +21,7 @@ COLUMNS = {
     "op9_substring_dedup": "doc_id text removed",
     "op10_topk": "query_id rank vec_id score",
     "op11_merkle_manifest": "doc_id leaf subroot root proof_sha256 folded_root verified",
+    "op12_centroid_clustering": "vec_id cluster distance cluster_inertia inertia centroid_sha256",
     "pipeline": "doc_id piece sequence_id",
 }
 
