@@ -5,7 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sluicebox.llm import clustering, decontamination, html, language_model, merkle, near_duplicates, packing, substrings, token_counts, topk, toxicity, warc
+from sluicebox.llm import clustering, decontamination, html, language_model, languages, merkle, near_duplicates, packing, substrings, token_counts, topk, toxicity, warc
 from sluicebox.llm.common import importable, table
 
 
@@ -74,6 +74,11 @@ def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clustering.cluster(table(spark, sf_dir, "embeddings"))
 
 
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return languages.predict(docs, languages.fit(docs))
+
+
 _QUERIES = {
     "pipeline": corpus_pipeline.run,
     "op1_decontamination": op1_decontamination,
@@ -88,6 +93,7 @@ _QUERIES = {
     "op10_topk": op10_topk,
     "op11_merkle_manifest": op11_merkle_manifest,
     "op12_centroid_clustering": op12_centroid_clustering,
+    "op13_language_id": op13_language_id,
 }
 QUERIES = {name: importable(query) for name, query in _QUERIES.items()}
 

@@ -22,6 +22,7 @@ COLUMNS = {
     "op10_topk": "query_id rank vec_id score",
     "op11_merkle_manifest": "doc_id leaf subroot root proof_sha256 folded_root verified",
     "op12_centroid_clustering": "vec_id cluster distance cluster_inertia inertia centroid_sha256",
+    "op13_language_id": "doc_id held_out lang_pred score",
     "pipeline": "doc_id piece sequence_id",
 }
 
