@@ -243,9 +243,13 @@ def fit(
         F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
         F.col(lang_col).cast("string").alias("lang"),
     ).where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out())
-    # ranks are taken over ids alone; Spark cuts each language to the limit in every task before the shuffle
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ranked = known.select("lang", "doc_id").withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= sample_docs)
+    # the smallest hashes of each language; a first cut by its number of documents leaves little to rank
+    numbered = known.select("lang", "doc_id").withColumn("draw", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) / float(1 << 40))
+    counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    # a row a language, as many as the model has
+    drawn = numbered.join(F.broadcast(counts), "lang").where(F.col("draw") * F.col("n") <= 1.5 * sample_docs + 50)
+    first = Window.partitionBy("lang").orderBy("draw", "doc_id")
+    ranked = drawn.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= sample_docs)
     ids = ranked.select(F.col("lang").alias("of_lang"), F.col("doc_id").alias("of_doc")).distinct()
     same = (F.col("lang") == F.col("of_lang")) & (F.col("doc_id") == F.col("of_doc"))
     # at most `sample_docs` ids of each language; rows that repeat an id are one
