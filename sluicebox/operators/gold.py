@@ -58,8 +58,17 @@ def dim_customers(sales: DataFrame, as_of: Column, tiers=specs.SPEND_TIERS) -> D
         sales.where(F.col("customer_id").isNotNull()), ["customer_id"], ["customer_name"],
         {"n": F.count(F.lit(1)), "net": F.sum("net_amount"),
          "first": F.min("sale_date"), "last": F.max("sale_date")},
-        {"n": F.sum("n"), "net": F.sum("net"), "first": F.min("first"), "last": F.max("last")},
+        customer_merges(),
     )
+    return shaped_customers(per, as_of, tiers)
+
+
+def customer_merges() -> dict[str, Column]:
+    """How the measures of parts of a customer combine."""
+    return {"n": F.sum("n"), "net": F.sum("net"), "first": F.min("first"), "last": F.max("last")}
+
+
+def shaped_customers(per: DataFrame, as_of: Column, tiers) -> DataFrame:
     return conform(per.select(
         "customer_id", "customer_name",
         F.col("first").alias("first_purchase_date"),
@@ -76,15 +85,19 @@ def dim_products(sales: DataFrame) -> DataFrame:
     per = grouped(
         sales.where(F.col("product_id").isNotNull()), ["product_id"],
         ["product_name", "category", "sub_category"],
-        {"n": F.count("unit_price"), "price": F.sum("unit_price"), "low": F.min("unit_price"),
+        {"priced": F.count("unit_price"), "price": F.sum("unit_price"), "low": F.min("unit_price"),
          "high": F.max("unit_price"), "qty": F.sum("quantity"), "net": F.sum("net_amount")},
-        {"n": F.sum("n"), "price": F.sum("price"), "low": F.min("low"), "high": F.max("high"),
+        {"priced": F.sum("priced"), "price": F.sum("price"), "low": F.min("low"), "high": F.max("high"),
          "qty": F.sum("qty"), "net": F.sum("net")},
     )
+    return shaped_products(per)
+
+
+def shaped_products(per: DataFrame) -> DataFrame:
     return conform(per.select(
         "product_id", "product_name", "category", "sub_category",
         F.col("low").alias("min_unit_price"), F.col("high").alias("max_unit_price"),
-        mean(F.col("price"), F.col("n")).alias("avg_unit_price"),
+        mean(F.col("price"), F.col("priced")).alias("avg_unit_price"),
         F.col("qty").alias("total_quantity_sold"), F.col("net").alias("total_revenue"),
     ), schemas.SILVER_PRODUCTS)
 
@@ -120,6 +133,10 @@ def product_performance(sales: DataFrame) -> DataFrame:
         {"n": F.sum("n"), "priced": F.sum("priced"), "price": F.sum("price"),
          "qty": F.sum("qty"), "net": F.sum("net"), "off": F.sum("off")},
     )
+    return shaped_performance(per)
+
+
+def shaped_performance(per: DataFrame) -> DataFrame:
     return conform(per.select(
         "product_id", "product_name", "category",
         F.col("qty").alias("total_quantity_sold"), F.col("net").alias("total_revenue"),
@@ -133,15 +150,23 @@ def product_performance(sales: DataFrame) -> DataFrame:
 def store_performance(sales: DataFrame) -> DataFrame:
     per = _per_store(sales)
     best = leaders(sales, "store_location", {"top_selling_category": "category"}, F.sum("net_amount"))
+    return shaped_stores(per, best)
+
+
+def shaped_stores(per: DataFrame, best: DataFrame) -> DataFrame:
     return conform(per.join(best, "store_location", "left"), schemas.GOLD_STORE_PERFORMANCE)
 
 
 def _per_store(sales: DataFrame) -> DataFrame:
     """Counting customers and taking the top region both work on one row per store, region and
     customer, so one shuffle of those serves them and the totals."""
-    base = sales.groupBy("store_location", "region", "customer_id").agg(
+    return stores_of(sales.groupBy("store_location", "region", "customer_id").agg(
         F.count(F.lit(1)).alias("n"), F.sum("net_amount").alias("net")
-    )
+    ))
+
+
+def stores_of(base: DataFrame) -> DataFrame:
+    """Stores from rows of a store, region and customer, of which there may be several."""
     pairs = base.groupBy("store_location", "customer_id").agg(
         F.max("region").alias("region"), F.sum("n").alias("n"), F.sum("net").alias("net")
     )
@@ -165,6 +190,10 @@ def customer_analytics(sales: DataFrame, tiers=specs.SPEND_TIERS) -> DataFrame:
         "favorite_payment_method": "payment_method",
         "most_visited_store": "store_location",
     }, F.count(F.lit(1)))
+    return shaped_analytics(per, best, tiers)
+
+
+def shaped_analytics(per: DataFrame, best: DataFrame, tiers) -> DataFrame:
     return conform(per.join(best, "customer_id", "left").select(
         "customer_id", "customer_name",
         F.col("n").alias("total_purchases"), F.col("net").alias("total_revenue"),
@@ -182,6 +211,10 @@ def category_insights(sales: DataFrame) -> DataFrame:
         F.count("discount_percentage").alias("_offs"),
         F.count(F.lit(1)).alias("number_of_transactions"),
     )
+    return shaped_categories(per)
+
+
+def shaped_categories(per: DataFrame) -> DataFrame:
     return conform(per.withColumns({
         "average_discount_percentage": mean(F.col("_off"), F.col("_offs"), 5),
         "average_order_value": mean(F.col("total_revenue"), F.col("number_of_transactions")),

@@ -146,8 +146,15 @@ def examine(
         .otherwise(F.lit("replay"))
     )
     judged = judged.select(*quarantine.columns, "reject_reason", verdict.alias("verdict"), "sale")
-    none = {f.name: F.lit(None).cast(f.dataType) for f in judged.schema if f.name in ("reject_reason", "verdict", "sale")}
-    return judged.unionByName(quarantine.where(~is_pending).withColumns(none))
+    return judged.unionByName(unexamined(quarantine.where(~is_pending)))
+
+
+def unexamined(records: DataFrame) -> DataFrame:
+    """Records without a verdict, with the columns of examined ones."""
+    return records.withColumns({
+        "reject_reason": F.lit(None).cast("string"), "verdict": F.lit(None).cast("string"),
+        "sale": F.lit(None).cast(schemas.SILVER_SALES),
+    })
 
 
 def replayed_sales(examined: DataFrame) -> DataFrame:

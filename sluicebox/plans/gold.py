@@ -1,27 +1,31 @@
-"""Silver to gold: dimensions first, then the five fact tables."""
+"""Silver to gold: all of it, or what changed since the last time."""
 
 from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from sluicebox import specs
-from sluicebox.operators import gold
+from sluicebox.operators import gold, gold_parts
 from sluicebox.operators.upsert import merge_upsert
-from sluicebox.plans.layers import CUSTOMERS, PRODUCTS, SALES, SCHEMAS, Layers
+from sluicebox.plans.layers import CHANGES, CUSTOMERS, PRODUCTS, SALES, SCHEMAS, Layers
+
+DAILY = "gold.daily_sales"
 
 
 def build_gold(layers: Layers, as_of: date, tiers=specs.SPEND_TIERS, overwrite: bool = False) -> None:
-    """Rebuild every aggregate from silver.
+    """Rebuild every aggregate from silver, and the parts that `refresh_gold` continues from.
 
     Rows are merged by key, so keys that vanished from silver stay, unless `overwrite` is set.
     """
     sales = layers.read(SALES)
+    for name, parts in gold_parts.PARTS.items():
+        layers.store.write(name, parts(sales).hint("rebalance", gold_parts.MONTH), [gold_parts.MONTH])
     builds = {
         CUSTOMERS: lambda: gold.dim_customers(sales, F.lit(as_of), tiers),
         PRODUCTS: lambda: gold.dim_products(sales),
-        "gold.daily_sales": lambda: gold.daily_sales(sales),
+        DAILY: lambda: gold.daily_sales(sales),
         "gold.product_performance": lambda: gold.product_performance(sales),
         "gold.store_performance": lambda: gold.store_performance(sales),
         "gold.customer_analytics": lambda: gold.customer_analytics(sales, tiers),
@@ -35,3 +39,55 @@ def build_gold(layers: Layers, as_of: date, tiers=specs.SPEND_TIERS, overwrite:
             known = layers.read(name).where(F.col(key).isNotNull())
             fresh = merge_upsert(known, fresh, [key])
         layers.replace(name, fresh)
+    layers.store.delete(layers.store.location(CHANGES))
+
+
+def changed_sales(layers: Layers, changes: DataFrame) -> DataFrame:
+    """Silver's rows of the months that hold a changed day; no other folder is read."""
+    months = gold_parts.touched(changes, "sale_date").select(F.trunc("_touched", "month")).distinct().collect()
+    return layers.sales.read([r[0] for r in months if r[0] is not None])
+
+
+def refresh_gold(layers: Layers, as_of: date, tiers=specs.SPEND_TIERS, drop_vanished: bool = False) -> None:
+    """Bring gold up to date with the merges since it was last built or refreshed.
+
+    Of silver only the months that a merge changed are read: for the parts of those months, which replace
+    what was kept of them, and for the days that changed. The groups that changed are summed from their
+    parts and take the place of their rows; days since a customer's last purchase move on for all. A
+    refresh that fails is repeated whole: the changes go once everything is written.
+    """
+    if not layers.store.exists(DAILY):
+        build_gold(layers, as_of, tiers)
+        return
+    store = layers.store
+    if not store.exists(CHANGES):
+        _age_customers(layers, as_of)
+        return
+    changes = store.read(CHANGES)
+    sales = changed_sales(layers, changes)
+    month = lambda day: F.trunc(day, "month").alias(gold_parts.MONTH)
+    left = sales.select(month("sale_date")).distinct()
+    emptied = gold_parts.touched(changes, "sale_date").select(month("_touched")).distinct().join(left, gold_parts.MONTH, "left_anti").collect()
+    for name, parts in gold_parts.PARTS.items():
+        store.write_partitions(name, parts(sales).hint("rebalance", gold_parts.MONTH), [gold_parts.MONTH])
+        for row in emptied:
+            # the month's last row moved to another one
+            store.delete(f"{store.location(name)}/{gold_parts.MONTH}={row[0]}")
+    days = gold_parts.touched(changes, "sale_date")
+    _replace(layers, DAILY, gold.daily_sales(gold_parts.of_groups(sales, "sale_date", days)), days, drop_vanished)
+    for name, kept in gold_parts.kept(F.lit(as_of), tiers).items():
+        key = SCHEMAS[name].names[0]
+        groups = gold_parts.touched(changes, key)
+        _replace(layers, name, kept.total(gold_parts.of_groups(store.read(kept.parts), key, groups)), groups, drop_vanished)
+    _age_customers(layers, as_of)
+    store.delete(store.location(CHANGES))
+
+
+def _replace(layers: Layers, name: str, fresh: DataFrame, groups: DataFrame, drop_vanished: bool) -> None:
+    key = SCHEMAS[name].names[0]
+    layers.replace(name, gold_parts.replaced(layers.read(name), fresh, key, groups, drop_vanished))
+
+
+def _age_customers(layers: Layers, as_of: date) -> None:
+    days = F.datediff(F.lit(as_of), F.col("last_purchase_date"))
+    layers.replace(CUSTOMERS, layers.read(CUSTOMERS).withColumn("days_since_last_purchase", days))

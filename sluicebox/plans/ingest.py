@@ -11,7 +11,7 @@ from sluicebox import schemas, specs
 from sluicebox.operators import files, quarantine, silver, validation
 from sluicebox.operators.shaping import conform
 from sluicebox.operators.upsert import latest_per_key
-from sluicebox.plans.layers import AUDIT, LEDGER, QUARANTINE, SEVERITY, Layers
+from sluicebox.plans.layers import AUDIT, CHANGES, GROUPS, LEDGER, QUARANTINE, SEVERITY, Layers
 from sluicebox.sources import bronze
 
 # What a merge overwrites in a sale silver already holds. `source_file` and
@@ -89,7 +89,7 @@ def ingest_files(
         known = layers.read(QUARANTINE).select("source_file", "id")
         layers.append(QUARANTINE, failed.join(known, ["source_file", "id"], "left_anti"))
         shaped = silver.shape_silver(good, F.lit(now.date()), at)
-        layers.sales.merge(shaped, ["transaction_id"], UPDATES, "arrival")
+        layers.sales.merge(shaped, UPDATES, "arrival", GROUPS, CHANGES)
         marks = bronze.fingerprint(staged, specs.SALES.columns.names).select("source_file", "checksum")
         counts = files.file_counts(staged, F.col("outcome") == "bad").join(marks, "source_file")
 

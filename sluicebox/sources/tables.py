@@ -1,24 +1,22 @@
-"""Written tables: every save is a new folder, and a reader takes the newest complete one."""
+"""Written tables: plain Parquet folders, and keyed tables that Spark keeps bucketed by their key."""
 
 from __future__ import annotations
 
+import hashlib
 import re
-from collections.abc import Collection, Sequence
+import uuid
+from collections.abc import Collection, Mapping, Sequence
+from contextlib import contextmanager
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from sluicebox.operators.shaping import conform
 from sluicebox.operators.upsert import collapse_batch, merge_upsert
 
 
 class TableStore:
-    """Parquet tables under one root, as `root/<table>/v=<number>`, and rows added to a version as
-    `a=<number>` with a higher number.
-
-    A job that dies leaves a folder without Spark's `_SUCCESS` marker, which readers pass over;
-    a folder that readers may see is never written to.
-    """
+    """Parquet tables, each a folder under one root, written by Spark's own saves."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -29,138 +27,227 @@ class TableStore:
         path = jvm.org.apache.hadoop.fs.Path(location)
         return path, path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
-    def _folders(self, name: str, kind: str) -> dict[int, bool]:
-        """Numbers of a table's folders of one kind, and whether they are complete."""
-        folder, fs = self._path(f"{self.root}/{name}")
-        found = {}
-        for entry in fs.listStatus(folder) if fs.exists(folder) else ():
-            match = re.fullmatch(rf"{kind}=(\d+)", entry.getPath().getName())
-            if match:
-                found[int(match.group(1))] = fs.exists(self._path(f"{entry.getPath().toString()}/_SUCCESS")[0])
-        return found
-
-    def versions(self, name: str) -> list[int]:
-        """Numbers of the complete versions, oldest first."""
-        return sorted(n for n, complete in self._folders(name, "v").items() if complete)
+    def location(self, name: str) -> str:
+        return f"{self.root}/{name}"
 
-    def additions(self, name: str) -> list[int]:
-        """Numbers of the complete additions to the newest version."""
-        newest = max(self.versions(name), default=0)
-        return sorted(n for n, complete in self._folders(name, "a").items() if complete and n > newest)
-
-    def _next(self, name: str) -> int:
-        return max([0, *self._folders(name, "v"), *self._folders(name, "a")]) + 1
-
-    def location(self, name: str, version: int, kind: str = "v") -> str:
-        return f"{self.root}/{name}/{kind}={version:06d}"
+    def is_complete(self, location: str) -> bool:
+        """Whether a save into the folder has ended."""
+        path, fs = self._path(f"{location}/_SUCCESS")
+        return fs.exists(path)
 
     def exists(self, name: str) -> bool:
-        return bool(self.versions(name) or self.additions(name))
+        """Whether rows have been saved; what a save has not committed does not count."""
+        path, fs = self._path(self.location(name))
+        entries = fs.listStatus(path) if fs.exists(path) else ()
+        return any(not e.getPath().getName().startswith((".", "_temporary")) for e in entries)
+
+    def delete(self, location: str) -> None:
+        path, fs = self._path(location)
+        fs.delete(path, True)
 
     def read(self, name: str, schema: T.StructType | None = None) -> DataFrame:
-        """Newest complete version; an empty frame of `schema` for a table not yet written."""
-        paths = [self.location(name, n) for n in self.versions(name)[-1:]]
-        paths += [self.location(name, n, "a") for n in self.additions(name)]
-        if not paths:
+        """The table; an empty frame of `schema` for one not yet written."""
+        if not self.exists(name):
             if schema is None:
                 raise LookupError(f"table {name} has not been written under {self.root}")
             return self.spark.createDataFrame([], schema)
-        reader = self.spark.read
-        if schema is not None:
-            return reader.schema(schema).parquet(*paths)
-        # a version may be partitioned: each folder is read by itself
-        out = None
-        for path in paths:
-            found = reader.parquet(path)
-            out = found if out is None else out.unionByName(found)
-        return out
+        reader = self.spark.read if schema is None else self.spark.read.schema(schema)
+        return reader.parquet(self.location(name))
 
     def write(self, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
-        """Write a new version and read it back."""
-        writer = df.write.mode("errorifexists").option("compression", "snappy")
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer.parquet(self.location(name, self._next(name)))
+        """Write the table whole and read it back; `df` must not read the table itself (see `replace`)."""
+        _writer(df, "overwrite", partition_by).parquet(self.location(name))
         return self.read(name, None if partition_by else df.schema)
 
-    def append(self, name: str, df: DataFrame, number: int | None = None) -> None:
-        """Add rows in a folder of their own, which readers see once it is complete. An addition with
-        the number of an earlier one, as of a batch that is delivered again, replaces it."""
-        target = self._next(name) if number is None else number + 1
-        df.write.mode("errorifexists" if number is None else "overwrite").option("compression", "snappy").parquet(
-            self.location(name, target, "a")
-        )
+    def append(self, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> None:
+        _writer(df, "append", partition_by).parquet(self.location(name))
 
-    def vacuum(self, name: str, keep: int = 1) -> list[str]:
-        """Delete folders that no reader needs: versions before the newest `keep`, with the additions
-        to them, and whatever a dead job left below the newest version. Returns the deleted folders."""
-        versions = self.versions(name)
-        oldest = versions[-keep] if len(versions) >= keep else 0
-        gone = []
-        for kind in ("v", "a"):
-            for number in sorted(n for n in self._folders(name, kind) if n < oldest):
-                path, fs = self._path(self.location(name, number, kind))
-                if fs.delete(path, True):
-                    gone.append(path.toString())
-        return gone
+    def write_partitions(self, name: str, df: DataFrame, by: Sequence[str]) -> None:
+        """Replace the partitions that `df` has rows of, and leave the others: a stream's batch that is
+        delivered again, with its number as partition, replaces what its first delivery wrote."""
+        _writer(df, "overwrite", by).option("partitionOverwriteMode", "dynamic").parquet(self.location(name))
 
     def truncate(self, name: str, schema: T.StructType) -> DataFrame:
         return self.write(name, self.spark.createDataFrame([], schema))
 
     def replace(self, name: str, df: DataFrame, schema: T.StructType) -> DataFrame:
-        return self.write(name, conform(df, schema))
+        """Write the table whole from a frame that may read it: over a copy, which is deleted once the
+        table holds its rows. A driver that dies in between leaves the copy."""
+        copy = f"{self.root}/_copies/{name}-{uuid.uuid4().hex}"
+        _writer(conform(df, schema), "errorifexists").parquet(copy)
+        out = self.write(name, self.spark.read.schema(schema).parquet(copy))
+        self.delete(copy)
+        return out
+
+
+def _writer(df: DataFrame, mode: str, partition_by: Sequence[str] = ()):
+    writer = df.write.mode(mode).option("compression", "snappy")
+    return writer.partitionBy(*partition_by) if partition_by else writer
 
 
-class DayTable:
-    """A keyed table kept in folders of whole days, for merges that must not rewrite it all.
+class KeyedTable:
+    """A keyed table whose merges neither shuffle nor rewrite all of it.
 
-    A merge writes the days it touches to a new folder and then a new version of the small table
-    that says which folder holds each day. Until that last step readers see the old folders, so a
-    merge that dies leaves nothing behind. The list of days is the only thing the driver holds.
+    Spark keeps it bucketed by the hash of its key, in folders of bucket and month. A batch is shuffled
+    to the buckets and meets the table bucket by bucket: the table's rows are not. Which folders a merge
+    touches comes from the key column of the batch's buckets; only those are read whole, and replaced.
+
+    `buckets` is fixed when the table is made: enough that a bucket of a month fits a task. A table has
+    one writer at a time.
     """
 
-    def __init__(self, store: TableStore, name: str, schema: T.StructType, day: str):
-        self.store, self.name, self.schema, self.day = store, name, schema, day
-        self.folder = f"{store.root}/{name}.days"
-        self.index = T.StructType([T.StructField("day", T.DateType()), T.StructField("part", T.LongType())])
-
-    def parts(self) -> dict[date, int]:
-        return {r["day"]: r["part"] for r in self.store.read(self.name, self.index).collect()}
-
-    def read(self, days: Collection[date] | None = None) -> DataFrame:
-        """The whole table, or only some of its days."""
-        held = {d: p for d, p in self.parts().items() if days is None or d in days}
-        if not held:
-            return self.store.spark.createDataFrame([], self.schema)
-        paths = [f"{self.folder}/part={p}/{self.day}={d.isoformat()}" for d, p in sorted(held.items())]
-        df = self.store.spark.read.schema(self.schema).option("basePath", self.folder).parquet(*paths)
-        return df.select(*self.schema.names)
-
-    def merge(self, batch: DataFrame, keys: Sequence[str], update: Sequence[str], arrival: str) -> int:
-        """Upsert a batch; returns the number of days rewritten.
-
-        Touched are the days of the batch and those of the rows it replaces, which a scan of only
-        key and day finds. Rebalancing gives a day the files its size needs: a day with a third of
-        all rows is split over many tasks, and small days share one.
-        """
-        batch = self.store.write(f"{self.name}.batch", collapse_batch(batch, keys, update, arrival))
-        held = self.read().select(*keys, self.day).join(batch.select(*keys), list(keys), "left_semi")
-        touched = {
-            r[0] for r in held.select(self.day).unionByName(batch.select(self.day)).distinct().collect()
-        }
-        if not touched:
-            return 0
-        merged = conform(merge_upsert(self.read(touched), batch, keys, update), self.schema)
-        part = max(self.parts().values(), default=0) + 1
-        target = f"{self.folder}/part={part}"
-        (merged.hint("rebalance", self.day).write.mode("overwrite").option("compression", "snappy")
-         .partitionBy(self.day).parquet(target))
-        # a day whose last row moved to another day is no longer there
-        folder, fs = self.store._path(target)
-        names = [e.getPath().getName() for e in fs.listStatus(folder)]
-        written = {date.fromisoformat(n.split("=")[1]): part for n in names if n.startswith(f"{self.day}=")}
-        kept = {d: p for d, p in self.parts().items() if d not in touched}
-        self.store.write(self.name, self.store.spark.createDataFrame(
-            sorted({**kept, **written}.items()), self.index
+    BUCKET, MONTH = "_bucket", "_month"
+
+    def __init__(self, store: TableStore, name: str, schema: T.StructType, keys: Sequence[str], day: str, buckets: int = 8):
+        self.store, self.name, self.schema, self.keys, self.day, self.buckets = store, name, schema, list(keys), day, buckets
+        self.folder = store.location(name)
+        # names in the session's catalog are unique to the folder
+        self.table = f"{re.sub(r'[^a-z0-9]+', '_', name.lower())}_{hashlib.sha256(self.folder.encode()).hexdigest()[:12]}"
+
+    @property
+    def spark(self) -> SparkSession:
+        return self.store.spark
+
+    def open(self) -> str:
+        """The table's name in the catalog, which learns of it and its folders when the session first
+        asks; a replacement that a dead driver left unfinished is done again."""
+        if not self.spark.catalog.tableExists(self.table):
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.schema)
+            keys = ", ".join(f"`{k}`" for k in self.keys)
+            self.spark.sql(
+                f"CREATE TABLE IF NOT EXISTS {self.table} ({columns}, {self.BUCKET} int, {self.MONTH} date) USING parquet "
+                f"PARTITIONED BY ({self.BUCKET}, {self.MONTH}) CLUSTERED BY ({keys}) INTO {self.buckets} BUCKETS LOCATION '{self.folder}'"
+            )
+            path, fs = self.store._path(self.folder)
+            if fs.exists(path):
+                self.spark.catalog.recoverPartitions(self.table)
+            self._publish()
+        return self.table
+
+    def placed(self, df: DataFrame) -> DataFrame:
+        """Rows with their bucket, as Spark's writer numbers them, and month."""
+        month = F.coalesce(F.trunc(self.day, "month"), F.lit(date(1900, 1, 1)))
+        return df.withColumns({self.BUCKET: F.pmod(F.hash(*self.keys), F.lit(self.buckets)), self.MONTH: month})
+
+    def rows(self, where: Column | None = None) -> DataFrame:
+        """The table with its folder columns, of the folders that `where` names."""
+        df = self.spark.read.table(self.open())
+        return df if where is None else df.where(where)
+
+    def read(self, months: Collection[date] | None = None) -> DataFrame:
+        """The whole table, or some of its months."""
+        where = None if months is None else F.col(self.MONTH).isin(sorted(months)) if months else F.lit(False)
+        return self.rows(where).select(*self.schema.names)
+
+    def touched(self, batch: DataFrame) -> dict[date, set[int]]:
+        """Buckets by month of the folders that a collapsed batch with its places (`placed`) changes:
+        its own, and those of the rows whose keys it has. Folders are counted here, never rows."""
+        buckets = [r[0] for r in batch.select(self.BUCKET).distinct().collect()]
+        if not buckets:
+            return {}
+        places = [self.BUCKET, self.MONTH]
+        known = self.rows(F.col(self.BUCKET).isin(sorted(buckets))).select(*self.keys, *places)
+        held = known.join(batch.select(*self.keys), self.keys, "left_semi").select(*places)
+        out: dict[date, set[int]] = {}
+        for bucket, month in held.distinct().union(batch.select(*places).distinct()).collect():
+            out.setdefault(month, set()).add(bucket)
+        return out
+
+    def folders(self, touched: Mapping[date, Collection[int]]) -> Column:
+        """Condition on the folder columns alone."""
+        test = F.lit(False)
+        for month, buckets in sorted(touched.items()):
+            here = F.col(self.MONTH) == F.lit(month)
+            test = test | (here if len(buckets) == self.buckets else here & F.col(self.BUCKET).isin(sorted(buckets)))
+        return test
+
+    def merged(
+        self, batch: DataFrame, touched: Mapping[date, Collection[int]], update: Sequence[str] | None, tracked: Sequence[str] = ()
+    ) -> DataFrame:
+        """Rows of the touched folders after the merge, with `_before` (`tracked` columns of a row that
+        the batch met) and `_changed`."""
+        before = self.rows(self.folders(touched)).select(*self.schema.names).withColumn(
+            "_before", F.struct(*tracked) if tracked else F.struct(F.lit(True).alias("known"))
+        )
+        marked = batch.select(*[c for c in batch.columns if c in self.schema.names]).withColumn("_changed", F.lit(True))
+        chosen = [c for c in self.schema.names if c not in self.keys] if update is None else list(update)
+        out = merge_upsert(before, marked, self.keys, [*chosen, "_changed"])
+        return self.placed(out.select(
+            *[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema],
+            F.when(F.col("_changed"), F.col("_before")).alias("_before"), F.coalesce("_changed", F.lit(False)).alias("_changed"),
         ))
-        return len(touched)
+
+    def merge(
+        self, batch: DataFrame, update: Sequence[str] | None = None, arrival: str | None = None,
+        tracked: Sequence[str] = (), report: str | None = None,
+    ) -> int:
+        """Upsert a batch, as `merge_upsert` does; returns the number of folders replaced.
+
+        The new content of the touched folders is written aside first, and a row for each key of the batch
+        is added to the table `report`: its `tracked` columns `_before` (NULL for a new key) and `_after`.
+        What lies aside is then copied over the folders, which can be repeated: if the driver dies while
+        Spark replaces them, the next merge or session starts with it.
+        """
+        self.open()
+        self._publish()
+        run = uuid.uuid4().hex
+        if arrival is not None:
+            batch = collapse_batch(batch, self.keys, [c for c in batch.columns if c not in self.keys] if update is None else update, arrival)
+        batch = self.store.write(f"_batches/{self.name}-{run}", self.placed(batch))
+        touched = self.touched(batch)
+        if touched:
+            merged = self.merged(batch, touched, update, tracked)
+            _writer(merged, "errorifexists").parquet(self._aside(run))
+            if report:
+                changed = self.spark.read.schema(merged.schema).parquet(self._aside(run)).where("_changed")
+                self.store.append(report, changed.select(*self.keys, "_before", F.struct(*tracked).alias("_after")))
+            self._publish(touched)
+        self.store.delete(self.store.location(f"_batches/{self.name}-{run}"))
+        return sum(map(len, touched.values()))
+
+    def _aside(self, run: str) -> str:
+        return f"{self.store.root}/_merging/{self.name}/{run}"
+
+    def _publish(self, touched: Mapping[date, Collection[int]] | None = None) -> None:
+        """Copy what lies aside over the folders it replaces; a folder left without rows goes."""
+        path, fs = self.store._path(f"{self.store.root}/_merging/{self.name}")
+        for entry in fs.listStatus(path) if fs.exists(path) else ():
+            aside = entry.getPath().toString()
+            if self.store.is_complete(aside):
+                rows = self.spark.read.parquet(aside)
+                places = [self.BUCKET, self.MONTH]
+                with _setting(self.spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+                    rows.select(*self.schema.names, *places).write.mode("overwrite").insertInto(self.table)
+                filled = {(r[0], r[1]) for r in rows.select(*places).distinct().collect()}
+                known = touched if touched is not None else self._met(rows)
+                for month, buckets in known.items():
+                    for bucket in buckets:
+                        if (bucket, month) not in filled:
+                            self._drop(bucket, month)
+            self.store.delete(aside)
+
+    def _met(self, rows: DataFrame) -> dict[date, set[int]]:
+        """Folders that a key of the rows lay in, of a merge whose driver is gone: the table still holds
+        the key there unless it was replaced already."""
+        held = self.rows().join(rows.where("_changed").select(*self.keys), self.keys, "left_semi")
+        out: dict[date, set[int]] = {}
+        for bucket, month in held.select(self.BUCKET, self.MONTH).distinct().collect():
+            out.setdefault(month, set()).add(bucket)
+        return out
+
+    def _drop(self, bucket: int, month: date) -> None:
+        self.spark.sql(
+            f"ALTER TABLE {self.table} DROP IF EXISTS PARTITION ({self.BUCKET}={bucket}, {self.MONTH}=DATE'{month.isoformat()}')"
+        )
+        # Spark leaves the files of a table that lies in a folder of the caller's
+        self.store.delete(f"{self.folder}/{self.BUCKET}={bucket}/{self.MONTH}={month.isoformat()}")
+
+
+@contextmanager
+def _setting(spark: SparkSession, key: str, value: str):
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
