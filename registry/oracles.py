@@ -248,7 +248,8 @@ NEEDS = {
 }
 
 
-def with_ctes(select: str, *names: str, extra: str = "", recursive: bool = False) -> str:
+def with_ctes(select: str, *names: str, extra: str = "", recursive: bool = False, silver: str | None = None) -> str:
+    """Select over the named tables and what they need; `silver` takes the place of that table."""
     wanted: list[str] = []
 
     def add(name: str) -> None:
@@ -259,7 +260,8 @@ def with_ctes(select: str, *names: str, extra: str = "", recursive: bool = False
 
     for name in names:
         add(name)
-    parts = [f"{n} AS ({CTES[n].strip()})" for n in wanted] + ([extra] if extra else [])
+    ctes = CTES if silver is None else {**CTES, "silver": silver}
+    parts = [f"{n} AS ({ctes[n].strip()})" for n in wanted] + ([extra] if extra else [])
     if not parts:
         return select
     return ("WITH RECURSIVE " if recursive else "WITH ") + ",\n".join(parts) + "\n" + select
@@ -583,9 +585,88 @@ add("ingest_audit", f"""SELECT 'first-0000' AS ingestion_run_id, 'COMPLETED_WITH
 add("ingest_severity", """SELECT 'first-0000' AS ingestion_run_id, 'SCHEMA DRIFT' AS status_text, 'critical' AS severity,
   count(*) FILTER (WHERE is_clean AND error_reason IS NOT NULL) / CAST(count(*) AS DOUBLE) * 100.0::DOUBLE AS quarantine_rate FROM landed""",
     "tagged", extra=_landed)
+for _name in ("silver", "ledger", "quarantine"):
+    ORACLES[f"stream_ingest_{_name}"] = ORACLES[f"ingest_{_name}"]
+add("stream_daily_users", """SELECT CAST(ts AS DATE) AS period, count(*) AS events,
+  CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_value, count(DISTINCT user_id) AS users FROM events GROUP BY 1""")
+add("stream_monthly_users", """SELECT CAST(date_trunc('month', ts) AS DATE) AS period, count(*) AS events,
+  CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_value, count(DISTINCT user_id) AS users, TRUE AS sketch_is_close
+  FROM events GROUP BY 1""")
 ORACLES["stream_throttle"] = ORACLES["throttle_in_batches"] = ORACLES["alert_throttle"]
 
 
+# --- stored tables after merges and runs --------------------------------------------------------
+
+ORACLES["merge_stored"] = ORACLES["upsert_merge"]
+
+# silver before the later arrivals, and with some sales still in wrong groups
+_early = f"SELECT * FROM good WHERE ingest_date < DATE '1999-01-01' QUALIFY row_number() OVER ({LATEST}) = 1"
+_order = "CAST(split_part(transaction_id, '-', 2) AS BIGINT)"
+_wrong = lambda c: f"CASE WHEN {_order} % 50 = 3 THEN 'WRONG-' || ({_order} // 50 % 40) ELSE {c} END AS {c}"
+_misplaced = f"""SELECT * REPLACE ({', '.join(_wrong(c) for c in ('customer_id', 'product_id', 'store_location', 'category'))},
+  CASE WHEN {_order} % 50 = 3 THEN CAST(sale_date - INTERVAL 120 MONTH AS DATE) ELSE sale_date END AS sale_date) FROM ({_early})"""
+_gold = {
+    "daily": ("sale_date", "SELECT * EXCLUDE (exact_net) FROM daily", "daily"),
+    "customers": ("customer_id", f"""SELECT customer_id, max(customer_name) AS customer_name, min(sale_date) AS first_purchase_date,
+  count(*) AS total_purchases, CAST(sum(net_amount) AS DOUBLE) AS total_revenue,
+  {avg('sum(net_amount)', 'count(*)')} AS average_order_value, {tiers('sum(net_amount)', SCALED_TIERS)} AS customer_segment,
+  max(sale_date) AS last_purchase_date, CAST(DATE '2002-01-01' - max(sale_date) AS BIGINT) AS days_since_last_purchase
+  FROM silver WHERE customer_id IS NOT NULL GROUP BY customer_id""", "silver"),
+    "products": ("product_id", ORACLES["dim_products"].rsplit(")\n", 1)[1], "silver"),
+    "product_performance": ("product_id", "SELECT * FROM products", "products"),
+    "stores": ("store_location", "SELECT * FROM stores", "stores"),
+    "customer_analytics": ("customer_id", "SELECT * EXCLUDE (exact_net) FROM customers", "customers"),
+    "categories": ("category", "SELECT * FROM categories", "categories"),
+}
+for _name, (_key, _select, _cte) in _gold.items():
+    add(f"gold_after_merge_{_name}", _select, _cte)
+    _variants = [with_ctes(_select, _cte, silver=s) for s in (None, _early, _misplaced)]
+    _absent = lambda t, k=_key: f"NOT EXISTS (SELECT 1 FROM {t} WHERE {t}.{k} IS NOT DISTINCT FROM x.{k})"
+    ORACLES[f"gold_kept_{_name}"] = f"""WITH now_there AS ({_variants[0]}), early_there AS ({_variants[1]}), first_there AS ({_variants[2]})
+  SELECT * FROM now_there UNION ALL SELECT * FROM early_there AS x WHERE {_absent('now_there')}
+  UNION ALL SELECT * FROM first_there AS x WHERE {_absent('now_there')} AND {_absent('early_there')}"""
+
+# payloads of ids that 7 divides fail on replay: they are counted up in both runs, and leave when out of retries
+_runs_of = f"""tried AS (SELECT *, is_open AND reject_reason IS NULL AND id % 7 = 0 AS fails,
+  is_open AND reject_reason IS NULL AND id % 7 <> 0 AS fixed, is_open AND reject_reason IS NOT NULL AS rejected,
+  remediation_status = 'pending' AS was_pending FROM judged),
+ended AS (SELECT *, CASE WHEN fails THEN retry_count + least(2, 3 - retry_count) ELSE retry_count END AS tries,
+  was_pending AND retry_count >= 3 OR fails AND retry_count = 2 AS dead_first, fails AND retry_count = 1 AS dead_second FROM tried)"""
+add("remediated_quarantine", f"""SELECT id, source_file,
+  CASE WHEN rejected THEN error_reason || ' | Rejected: ' || reject_reason
+    WHEN dead_first OR dead_second THEN error_reason || ' | Dead-lettered after ' || tries || ' retries' ELSE error_reason END AS error_reason,
+  CASE WHEN fixed THEN 'remediation_dag' WHEN rejected THEN 'auto_rejected' WHEN dead_first OR dead_second THEN 'dead_letter_escalation'
+    ELSE corrected_by END AS corrected_by, corrected_at,
+  CASE WHEN fixed OR rejected OR dead_first OR dead_second THEN TRUE ELSE replayed END AS replayed,
+  CASE WHEN fixed OR rejected OR dead_first THEN {NOW} WHEN dead_second THEN {NOW} + INTERVAL 1 DAY ELSE replayed_at END AS replayed_at,
+  CASE WHEN fixed THEN 'remediated' WHEN rejected THEN 'rejected' WHEN dead_first OR dead_second THEN 'dead_letter'
+    ELSE remediation_status END AS remediation_status, CAST(tries AS BIGINT) AS retry_count FROM ended""", "judged", extra=_runs_of)
+_counted = lambda run, test: f"""SELECT '{run}' AS run, count(*) FILTER (WHERE {test['fixed']}) AS fixed, count(*) FILTER (WHERE {test['failed']}) AS failed,
+  count(*) FILTER (WHERE {test['rejected']}) AS rejected, count(*) FILTER (WHERE {test['dead']}) AS dead_lettered, count(*) AS total,
+  count(*) FILTER (WHERE {test['pending']}) AS now_pending,
+  count(*) FILTER (WHERE fixed OR remediation_status = 'remediated') AS now_remediated,
+  count(*) FILTER (WHERE rejected) AS now_rejected, count(*) FILTER (WHERE {test['gone']}) AS now_dead_letter FROM ended"""
+add("remediated_totals", _counted("first", {
+    "fixed": "fixed", "failed": "fails", "rejected": "rejected", "dead": "dead_first", "pending": "fails AND retry_count < 2", "gone": "dead_first",
+}) + " UNION ALL " + _counted("second", {
+    "fixed": "FALSE", "failed": "fails AND retry_count < 2", "rejected": "FALSE", "dead": "dead_second", "pending": "fails AND retry_count = 0",
+    "gone": "dead_first OR dead_second",
+}), "judged", extra=_runs_of)
+ORACLES["remediated_silver"] = ORACLES["remediation_replay"].replace(
+    "FROM judged WHERE is_open AND reject_reason IS NULL)", "FROM judged WHERE is_open AND reject_reason IS NULL AND id % 7 <> 0)"
+)
+
+_sizes = f"""early AS ({_early}), sizes AS (SELECT 0 AS run, (SELECT count(*) FROM early) AS n UNION ALL SELECT 1, (SELECT count(*) FROM silver))"""
+add("quality_baselines", f"""SELECT 'sales' AS table_name, 'row_count' AS metric_name, CAST(n AS DOUBLE) AS metric_value,
+  {NOW} + INTERVAL 25 HOUR * run AS recorded_at FROM sizes""", "silver", extra=_sizes)
+add("quality_runs", """SELECT CAST(run AS BIGINT) AS run, (SELECT count(*) FROM quarantine WHERE stored_status = 'pending') > 0 AS quarantine_issues,
+  FALSE AS profiling_issues, run = 1 AND abs(n - lag(n) OVER (ORDER BY run)) * 100.0 / lag(n) OVER (ORDER BY run) > 10 AS drift_issues,
+  FALSE AS completeness_issues, TRUE AS freshness_issues, FALSE AS integrity_issues, TRUE AS has_issues,
+  (SELECT count(*) FROM quarantine) AS total, (SELECT count(*) FROM quarantine WHERE stored_status = 'pending') AS pending,
+  (SELECT count(*) FROM quarantine WHERE stored_status = 'remediated') AS remediated,
+  CAST(0 AS BIGINT) AS rejected, CAST(0 AS BIGINT) AS dead_letter FROM sizes""", "silver", "quarantine", extra=_sizes)
+
+
 # --- dashboards ---------------------------------------------------------------------------------
 
 add("kpi_total_revenue", "SELECT CAST(sum(exact_net) AS DOUBLE) AS total_revenue FROM daily", "daily")

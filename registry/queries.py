@@ -7,14 +7,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from registry import landing, tables as R
+from registry import deployed, landing, tables as R
 from sluicebox import specs
 from sluicebox.operators import (
     alerts, checks, dashboards, files, gold, quality, quarantine, remediation, silver, upsert, validation,
 )
 from sluicebox.plans import ingest as ingest_plan
-from sluicebox.plans.layers import AUDIT, LEDGER, SEVERITY
+from sluicebox.plans.layers import AUDIT, BASELINES, LEDGER, SEVERITY
 from sluicebox.sources import adhoc, bronze, orders
+from sluicebox.sources.tables import TableStore
 from sluicebox.streaming import events, ingest as ingest_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -111,8 +112,9 @@ def truncate_table(spark, sf_dir):
     source = orders.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
     counts = lambda state, df: df.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("row_count")).withColumn("state", F.lit(state))
     written = store.write(name, source)
-    before = counts("written", written)
-    after = counts("truncated", store.truncate(name, written.schema))
+    # counted at once: Spark takes two scans of one folder in a query for the same
+    before = store.write(f"{name}.before", counts("written", written))
+    after = store.write(f"{name}.after", counts("truncated", store.truncate(name, written.schema)))
     store.append(name, source.where("o_orderstatus = 'F'"))
     store.append(name, source.where("o_orderstatus = 'O'"))
     return before.unionByName(after).unionByName(counts("appended", store.read(name)))
@@ -547,19 +549,31 @@ def _events_stream(spark, sf_dir) -> DataFrame:
     return events.parquet_stream(spark, sf_dir, schema, "events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
 
 
+STRETCHES, STRETCH_FILES = 8, 4
+
+
+def _landed_events(spark, sf_dir) -> DataFrame:
+    """Stream of the events, a batch for each of several stretches that were landed in the order of time."""
+    store, source = R.store(spark, sf_dir), orders.table(spark, sf_dir, "events")
+    folder = store.location("landed.events")
+    with R._lock:
+        if not store.exists("landed.events"):
+            span = source.agg(F.min("ts").alias("first"), F.max("ts").alias("last")).first()
+            # whole days, so that no second is split over stretches
+            days = (span["last"].date() - span["first"].date()).days + 1
+            for n in range(STRETCHES):
+                part = F.floor(F.datediff("ts", F.lit(span["first"])) * F.lit(STRETCHES) / F.lit(days)) == n
+                source.where(part).repartition(STRETCH_FILES).write.mode("append").parquet(folder)
+    return events.parquet_stream(spark, folder, source.schema, files_per_batch=STRETCH_FILES).withColumn("ts", F.col("ts").cast("timestamp"))
+
+
 def _checkpoint(spark, sf_dir, name: str) -> str:
     return f"{R.store(spark, sf_dir).root}/checkpoints/{name}"
 
 
 def _collected(spark, sf_dir, name: str, stream: DataFrame, mode: str) -> DataFrame:
     """Rows a stream emits, with their batch number; a redelivered batch brings equal rows."""
-    store = R.store(spark, sf_dir)
-
-    def keep(batch: DataFrame, number: int) -> None:
-        store.append(f"stream.{name}", batch.withColumn("batch", F.lit(number)), number)
-
-    events.drain(stream, _checkpoint(spark, sf_dir, name), keep, mode)
-    return store.read(f"stream.{name}")
+    return events.store_batches(stream, R.store(spark, sf_dir), f"stream.{name}", _checkpoint(spark, sf_dir, name), mode)
 
 
 @register("ingest_silver")
@@ -576,7 +590,11 @@ def ingest_quarantine(spark, sf_dir):
 
 @register("ingest_ledger")
 def ingest_ledger(spark, sf_dir):
-    ledger = landing.by_folder(landing.ingested(spark, sf_dir).read(LEDGER), "file_path")
+    return ledger_rows(landing.ingested(spark, sf_dir))
+
+
+def ledger_rows(layers) -> DataFrame:
+    ledger = landing.by_folder(layers.read(LEDGER), "file_path")
     return ledger.select("folder", "dataset_name", "status", "record_count", "error_message",
                          F.col("checksum").isNotNull().alias("has_checksum"), "processed_at")
 
@@ -638,10 +656,95 @@ def throttle_in_batches(spark, sf_dir):
 
 @register("stream_throttle")
 def stream_throttle(spark, sf_dir):
+    """A batch for each of the files that the events were landed in, decided by keyed state."""
+    decided = _collected(spark, sf_dir, "throttle", events.throttled(_alerts(_landed_events(spark, sf_dir))), "append")
+    return decided.select("event_id", "alert_key", "severity", F.col("ts").cast("timestamp_ntz").alias("ts"), "decision")
+
+
+def _kept_daily(spark, sf_dir) -> TableStore:
+    """Tables of daily users, kept over the batches of the landed events."""
     store = R.store(spark, sf_dir)
-    stream = _alerts(_events_stream(spark, sf_dir))
-    events.throttle_stream(stream, store, _checkpoint(spark, sf_dir, "throttle"))
-    return store.read("alerts.decided").drop("batch").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    with R._lock:
+        if not store.exists("kept.daily"):
+            events.keep_daily(_landed_events(spark, sf_dir), store, "kept.daily", _checkpoint(spark, sf_dir, "kept_daily"), "ts", "value", "user_id")
+    return store
+
+
+@register("stream_daily_users")
+def stream_daily_users(spark, sf_dir):
+    return events.kept_daily(_kept_daily(spark, sf_dir), "kept.daily").drop("approx_users")
+
+
+@register("stream_monthly_users")
+def stream_monthly_users(spark, sf_dir):
+    """Users of each month, each once however many days and batches they came in; and whether the merged
+    sketches come within 5 % of their number."""
+    found = events.kept_daily(_kept_daily(spark, sf_dir), "kept.daily", "month")
+    close = F.abs(F.col("approx_users") - F.col("users")) <= 0.05 * F.col("users") + 1
+    return found.withColumn("sketch_is_close", close).drop("approx_users")
+
+
+# --- stored tables after merges and runs --------------------------------------------------------
+
+@register("merge_stored")
+def merge_stored(spark, sf_dir):
+    """The stored silver table after the merge of everything that came after 1998."""
+    return deployed.merged(spark, sf_dir).read(SILVER).select(*UPSERT_SHOWN)
+
+
+for _table, _name in {
+    "gold.daily_sales": "daily", "silver.customers": "customers", "silver.products": "products",
+    "gold.product_performance": "product_performance", "gold.store_performance": "stores",
+    "gold.customer_analytics": "customer_analytics", "gold.category_insights": "categories",
+}.items():
+    register(f"gold_after_merge_{_name}")(lambda spark, sf_dir, t=_table: deployed.refreshed(spark, sf_dir, drop_vanished=True).read(t))
+    register(f"gold_kept_{_name}")(lambda spark, sf_dir, t=_table: deployed.refreshed(spark, sf_dir, drop_vanished=False).read(t))
+
+
+@register("remediated_quarantine")
+def remediated_quarantine(spark, sf_dir):
+    """The stored quarantine after two runs, in which some replays fail on a storage constraint."""
+    return deployed.remediated(spark, sf_dir)[0].read(QUARANTINE).select(*STATE)
+
+
+@register("remediated_silver")
+def remediated_silver(spark, sf_dir):
+    return deployed.remediated(spark, sf_dir)[0].read(SILVER)
+
+
+@register("remediated_totals")
+def remediated_totals(spark, sf_dir):
+    """What each of the two runs did."""
+    return deployed.remediated(spark, sf_dir)[1]
+
+
+@register("quality_runs")
+def quality_runs(spark, sf_dir):
+    """Summaries of two stored quality runs; the second measures drift against the first's baseline."""
+    return deployed.checked(spark, sf_dir)[1]
+
+
+@register("quality_baselines")
+def quality_baselines(spark, sf_dir):
+    return deployed.checked(spark, sf_dir)[0].read(BASELINES)
+
+
+@register("stream_ingest_silver")
+def stream_ingest_silver(spark, sf_dir):
+    """As `ingest_silver`, from a stream of several batches, one of which is delivered twice."""
+    sales = landing.by_folder(landing.streamed(spark, sf_dir).read(SILVER), "source_file")
+    return sales.select(*[c for c in SALES_COLUMNS if c != "ingest_date"], "folder", "processed_at")
+
+
+@register("stream_ingest_ledger")
+def stream_ingest_ledger(spark, sf_dir):
+    return ledger_rows(landing.streamed(spark, sf_dir))
+
+
+@register("stream_ingest_quarantine")
+def stream_ingest_quarantine(spark, sf_dir):
+    failed = landing.by_folder(landing.streamed(spark, sf_dir).read(QUARANTINE), "source_file")
+    return failed.groupBy("folder", "error_reason", "remediation_status").agg(F.count(F.lit(1)).alias("records"))
 
 
 # --- dashboards ---------------------------------------------------------------------------------

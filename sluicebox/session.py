@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the engine relies on; a cluster may set its own sizes on top of them.
 ENGINE_CONF = {
@@ -44,3 +45,10 @@ def shared_dir(spark: SparkSession) -> str:
     if app not in _local_fallback:
         _local_fallback[app] = tempfile.mkdtemp(prefix="sluicebox-")
     return _local_fallback[app]
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate table to the shared folder and read it back, which cuts the lineage."""
+    path = f"{shared_dir(df.sparkSession)}/sluicebox/work/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -36,6 +36,33 @@ def test_matches_one_by_one_decisions(spark):
         assert decisions(alerts.throttle(spark.createDataFrame(rows, SCHEMA))) == brute_force(rows)
 
 
+def test_one_key_over_many_blocks(spark):
+    """Dense and sparse stretches, days without alerts, and alerts at the very edges of blocks and halos."""
+    for seed, count, days in ((1, 1500, 12), (2, 60, 90), (3, 5, 400)):
+        rng = random.Random(seed)
+        rows = [(i, "only", rng.choice(["critical", "warning", "info", "info"]), START + timedelta(seconds=rng.randrange(days * alerts.BLOCK)))
+                for i in range(count)]
+        edges = [0, 1, alerts.HALO - 1, alerts.HALO, alerts.HALO + 1, alerts.BLOCK - 1]
+        rows += [(count + i, "only", rng.choice(["warning", "info"]), START + timedelta(days=rng.randrange(days), seconds=rng.choice(edges)))
+                 for i in range(40)]
+        assert decisions(alerts.throttle(spark.createDataFrame(rows, SCHEMA))) == brute_force(rows)
+
+
+def test_a_hot_key_is_spread_over_blocks_of_a_day(spark):
+    rows = [(i, "only", "info", START + timedelta(minutes=7 * i)) for i in range(6000)]
+    seconds = alerts.sent_seconds(spark.createDataFrame(rows, SCHEMA))
+    assert seconds.count() == len({k for k, v in brute_force(rows).items() if v == "sent"})
+    # the last step, like the others, takes a key's block at a time
+    step = next(line for line in seconds._jdf.queryExecution().analyzed().toString().splitlines() if "CoGroup" in line)
+    assert step.count("block") >= 2, step
+
+
+def test_no_alerts(spark):
+    assert alerts.throttle(spark.createDataFrame([], SCHEMA)).count() == 0
+    rows = [(1, None, "warning", START), (2, None, "critical", START), (3, "k", "info", None)]
+    assert alerts.throttle(spark.createDataFrame(rows, SCHEMA)).count() == 3
+
+
 def test_exact_interval_is_still_throttled(spark):
     rows = [(1, "k", "warning", START), (2, "k", "warning", START + timedelta(seconds=3600)),
             (3, "k", "warning", START + timedelta(seconds=3601))]
