@@ -319,6 +319,17 @@ add("schema_drift", """SELECT file_name, TRUE AS has_drift, missing_columns, ext
 
 # --- validation ---------------------------------------------------------------------------------
 
+_wanted = "('o_orderkey', 'integer'), ('o_totalprice', 'string'), ('o_orderdate', 'date'), ('l_shipdate', 'datetime'), ('text', 'string')"
+_columns = " UNION ALL ".join(f"SELECT '{t}.parquet' AS file_name, column_name, column_type FROM (DESCRIBE {t})" for t in TABLES)
+add("stored_types", f"""SELECT f.file_name, w.c AS column_name, CASE WHEN d.column_name IS NULL THEN format('Column ''{{}}'' not found', w.c)
+    ELSE format('Column ''{{}}'': expected {{}}, got {{}}', w.c, w.kind, d.stored) END AS message
+  FROM (SELECT DISTINCT file_name FROM described) f CROSS JOIN (VALUES {_wanted}) AS w(c, kind)
+  LEFT JOIN described d ON d.file_name = f.file_name AND d.column_name = w.c
+  WHERE d.column_name IS NULL OR d.kind <> w.kind AND NOT (d.kind = 'date' AND w.kind = 'datetime')""",
+    extra=f"""described AS (SELECT *, CASE column_type WHEN 'BIGINT' THEN 'integer' WHEN 'INTEGER' THEN 'integer' WHEN 'DOUBLE' THEN 'float'
+  WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'date' ELSE 'other' END AS kind,
+  CASE column_type WHEN 'BIGINT' THEN 'int64' WHEN 'INTEGER' THEN 'int32' WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string' ELSE column_type END AS stored
+  FROM ({_columns}))""")
 REQUIRED = ["transaction_id", "sale_date", "customer_id", "product_id", "quantity", "unit_price", "net_amount"]
 RANGES = [("quantity", 1, 1000), ("unit_price", 0, 100000), ("discount_percentage", 0, 100)]
 

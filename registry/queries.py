@@ -178,6 +178,17 @@ def schema_drift(spark, sf_dir):
     )
 
 
+# what every given table is asked for; none has all of it
+EXPECTED_TYPES = {"o_orderkey": "integer", "o_totalprice": "string", "o_orderdate": "date", "l_shipdate": "datetime", "text": "string"}
+
+
+@register("stored_types")
+def stored_types(spark, sf_dir):
+    """Types of the columns of all files against expected kinds."""
+    found = validation.stored_type_errors(bronze.footers(bronze.list_files(spark, sf_dir)), EXPECTED_TYPES)
+    return found.select(F.element_at(F.split("file_path", "/"), -1).alias("file_name"), "column_name", "message")
+
+
 @register("required_nulls")
 def required_nulls(spark, sf_dir):
     return validation.required_nulls(R.bronze(spark, sf_dir), specs.SALES.required)

@@ -93,6 +93,31 @@ def type_errors(schema: T.StructType, expected: Mapping[str, str]) -> list[str]:
     return errors
 
 
+# how files store each kind of column
+STORED_KINDS = {
+    "integer": "int8 int16 int32 int64 uint8 uint16 uint32 uint64",
+    "float": "float double halffloat decimal128",
+    "string": "string large_string",
+    "boolean": "bool",
+    "date": "date32 date64 timestamp",
+    "datetime": "date32 date64 timestamp",
+}
+
+
+def stored_type_errors(footers: DataFrame, expected: Mapping[str, str]) -> DataFrame:
+    """`type_errors` of every file, from its footer rows: `file_path, column_name, message` for each
+    expected column that the file lacks or stores as another kind."""
+    stored = {c: F.max(F.when(F.col("column_name") == c, F.split(F.col("column_type"), "\\[")[0])) for c in expected}
+    per_file = footers.groupBy("file_path").agg(*[kind.alias(f"_{i}") for i, kind in enumerate(stored.values())])
+    rows = [
+        F.struct(F.lit(c).alias("column_name"), F.when(F.col(f"_{i}").isNull(), F.lit(f"Column '{c}' not found")).when(
+            ~F.col(f"_{i}").isin(*STORED_KINDS[kind].split()), F.concat(F.lit(f"Column '{c}': expected {kind}, got "), F.col(f"_{i}"))
+        ).alias("message"))
+        for i, (c, kind) in enumerate(expected.items())
+    ]
+    return per_file.select("file_path", F.inline(F.array(*rows))).where(F.col("message").isNotNull())
+
+
 def required_nulls(df: DataFrame, required: Sequence[str]) -> DataFrame:
     """NULL (or NaN) count of every required column, in one pass."""
     summary = df.agg(*[F.count_if(rules.is_missing(c, df.schema)).alias(c) for c in required])
@@ -232,46 +257,55 @@ def constraint_violations(df: DataFrame, spec: DatasetSpec) -> DataFrame:
     ])
 
 
-def column_stats(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Per column: type, NULLs, distinct values and, for numbers, minimum, maximum and mean.
+def column_stats(df: DataFrame, columns: Sequence[str] | None = None, exact: bool = True) -> DataFrame:
+    """Per column: type, NULLs, distinct values and, for numbers, minimum, maximum and mean; NaN is NULL.
 
-    One value-count per column: each reads only its column and combines values before the
-    shuffle. A single count_distinct over all columns would copy every row once per column.
+    One scan gives everything but distinct values. Those take a second: rows are turned into (column,
+    value) pairs, equal ones meet in the tasks before the shuffle, and one shuffle counts them for
+    all columns. Without `exact` they are estimated by sketches in the first scan, and the second is saved.
     """
-    parts = []
-    for name in columns or df.columns:
-        data_type = df.schema[name].dataType
-        value = F.col("value")
-        # NaN counts as NULL
-        present = ~rules.is_missing("value", T.StructType([T.StructField("value", data_type)]))
-        per_value = df.select(F.col(name).alias("value")).groupBy("value").agg(
-            F.count(F.lit(1)).alias("n")
-        )
-        measures = {
-            "null_count": F.coalesce(F.sum(F.when(~present, F.col("n"))), F.lit(0)),
-            "unique_count": F.count_if(present),
+    names = list(columns or df.columns)
+    types = {n: df.schema[n].dataType for n in names}
+    present = {n: ~rules.is_missing(n, df.schema) for n in names}
+    measures: dict[tuple[str, str], Column] = {}
+    for n, kind in types.items():
+        measures["null_count", n] = F.count_if(~present[n])
+        if not exact:
+            measures["unique_count", n] = F.hll_sketch_estimate(F.hll_sketch_agg(F.when(present[n], _value_text(n, kind))))
+        if isinstance(kind, T.NumericType):
+            value = F.when(present[n], F.col(n))
+            # whole numbers are summed exactly, as decimals are
+            addend = value.cast("decimal(19,0)") if isinstance(kind, T.IntegralType) else value
+            measures["min_value", n], measures["max_value", n] = F.min(value).cast("double"), F.max(value).cast("double")
+            measures["mean_value", n] = F.try_divide(F.sum(addend).cast("double"), F.count(value).cast("double"))
+    place = {key: f"m{i}" for i, key in enumerate(measures)}
+    summary = df.agg(*[m.alias(place[key]) for key, m in measures.items()])
+    of = lambda what, n: F.col(place[what, n]) if (what, n) in place else F.lit(None).cast("double")
+    stats = report_rows(summary, [
+        {
+            "column_name": F.lit(n), "dtype": F.lit(kind.simpleString()), "null_count": of("null_count", n),
+            "unique_count": F.lit(0).cast("bigint") if exact else of("unique_count", n),
+            "min_value": of("min_value", n), "max_value": of("max_value", n), "mean_value": of("mean_value", n),
         }
-        if isinstance(data_type, T.NumericType):
-            # exact types are summed exactly
-            exact = not isinstance(data_type, (T.FloatType, T.DoubleType))
-            times = F.col("n").cast("decimal(19,0)") if exact else F.col("n")
-            whole = exact and not isinstance(data_type, T.DecimalType)
-            total = F.sum(F.when(present, (value.cast("decimal(19,0)") if whole else value) * times))
-            measures |= {
-                "min_value": F.min(F.when(present, value)).cast("double"),
-                "max_value": F.max(F.when(present, value)).cast("double"),
-                "mean_value": F.try_divide(
-                    total.cast("double"), F.sum(F.when(present, F.col("n"))).cast("double")
-                ),
-            }
-        counted = per_value.agg(*[m.alias(n) for n, m in measures.items()])
-        nothing = F.lit(None).cast("double")
-        parts.append(counted.select(
-            F.lit(name).alias("column_name"), F.lit(data_type.simpleString()).alias("dtype"),
-            "null_count", "unique_count",
-            *[(F.col(c) if c in measures else nothing).alias(c) for c in ("min_value", "max_value", "mean_value")],
-        ))
-    stats = parts[0]
-    for part in parts[1:]:
-        stats = stats.unionByName(part)
-    return stats
+        for n, kind in types.items()
+    ])
+    if not exact:
+        return stats
+    pairs = df.select(F.inline(F.array(*[
+        F.struct(F.lit(n).alias("of_column"), F.when(present[n], _value_text(n, kind)).alias("value")) for n, kind in types.items()
+    ]))).where(F.col("value").isNotNull())
+    distinct = pairs.distinct().groupBy("of_column").agg(F.count(F.lit(1)).alias("found"))
+    return stats.join(distinct, F.col("column_name") == F.col("of_column"), "left").select(
+        "column_name", "dtype", "null_count", F.coalesce("found", F.lit(0)).alias("unique_count"),
+        "min_value", "max_value", "mean_value",
+    )
+
+
+def _value_text(name: str, kind: T.DataType) -> Column:
+    """A text that is equal for equal values only."""
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        # the two zeros are one value
+        return (F.col(name) + F.lit(0.0)).cast("string")
+    if isinstance(kind, T.BinaryType):
+        return F.hex(name)
+    return F.col(name).cast("string") if isinstance(kind, T.AtomicType) else F.to_json(F.struct(name))

@@ -35,6 +35,34 @@ def test_nan_counts_as_null(spark):
     assert (stats["null_count"], stats["unique_count"], stats["min_value"]) == (1, 2, 2.0)
 
 
+def test_column_stats_of_every_kind_in_two_scans(spark, tmp_path):
+    schema = "k string, n long, x double, d date, flag boolean, raw binary, many array<int>"
+    rows = [("a", 1, 0.0, None, True, b"1", [1]), ("b", 2, -0.0, None, True, b"2", [1]), ("a", None, float("nan"), None, None, b"1", [2]),
+            (None, 2**53 + 1, 2.5, None, False, None, None)]
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "t"))
+    stats = validation.column_stats(spark.read.parquet(str(tmp_path / "t")))
+    assert stats._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") == 2
+    found = {r["column_name"]: tuple(r)[2:] for r in stats.collect()}
+    assert found["k"] == (1, 2, None, None, None) and found["d"] == (4, 0, None, None, None)
+    assert found["n"] == (1, 3, 1.0, float(2**53 + 1), float(2**53 + 4) / 3)
+    # the zeros are one value and NaN is none
+    assert found["x"] == (1, 2, 0.0, 2.5, 2.5 / 3)
+    assert [found[c][:2] for c in ("flag", "raw", "many")] == [(1, 2), (1, 2), (1, 2)]
+    sketched = validation.column_stats(spark.range(5000).selectExpr("id % 700 AS v", "cast(id AS string) AS s"), exact=False)
+    for row, exact in zip(sketched.orderBy("column_name").collect(), (5000, 700)):
+        assert abs(row["unique_count"] - exact) <= 0.05 * exact
+
+
+def test_stored_types_of_files(spark):
+    rows = [("f1", 1, "a", "int32"), ("f1", 1, "b", "timestamp[us]"), ("f2", 1, "a", "string"), ("f2", 1, "b", "date32"), ("broken", None, None, None)]
+    footers = spark.createDataFrame(rows, "file_path string, row_count long, column_name string, column_type string")
+    found = validation.stored_type_errors(footers, {"a": "integer", "b": "datetime", "c": "boolean"}).collect()
+    assert {(r["file_path"], r["message"]) for r in found} == {
+        ("f1", "Column 'c' not found"), ("f2", "Column 'c' not found"), ("f2", "Column 'a': expected integer, got string"),
+        *[("broken", f"Column '{c}' not found") for c in "abc"],
+    }
+
+
 def test_storage_constraints_tag_only_rows_the_rules_pass(spark):
     df = frame(spark, [
         sale(transaction_id="a", sale_hour=24, gross_amount=Decimal("-1.00")),
