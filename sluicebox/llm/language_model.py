@@ -1,18 +1,22 @@
 """Masked pseudo-likelihood of documents.
 
 A word is predicted from the words on both sides of it, never from itself: the embeddings of its
-neighbours pass a hidden layer to a distribution over word classes, and a word has a share of its
-class by its count in the whole corpus. Words outside the vocabulary are one class, inside of which
-they are spelled by byte pairs, again with counts of the whole corpus. A document's score is the sum
-of the conditional log-probabilities of its words.
-
-Counts cover every word of every document. The network is trained in numpy where the documents are:
-each round's tasks train on a share of the positions of all their documents that no other round has,
-until each position was a target, and the tasks' parameters are averaged, weighted by positions.
+neighbours pass a hidden layer, and the word is reached by a path of binary choices, each of which the
+hidden layer makes by a vector of its own. The paths are those of a Huffman code over the counts of
+the whole corpus, so every word of the vocabulary has its own path and a frequent word a short one.
+Words outside the vocabulary end one path, behind which they are spelled by byte pairs, again with
+counts of the whole corpus. A document's score is the sum of the conditional log-probabilities of its
+words.
+
+Counts cover every word of every document, and the vocabulary grows with the number of distinct words.
+The network is trained in numpy where the documents are: each round's tasks train on a share of the
+positions of all their documents that no other round has, until each position was a target, and the
+tasks' parameters are averaged, weighted by positions, over a tree.
 """
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections import Counter
 
@@ -22,16 +26,19 @@ from pyspark.sql import DataFrame, functions as F
 
 from sluicebox.llm.common import mixed, written
 
-VOCABULARY = 8192
-OWN_CLASSES = 40
-CLASSES = 64
+# the vocabulary is the power of two from this times the root of the number of distinct words
+VOCABULARY_PER_ROOT = 16
+LEAST_VOCABULARY = 1024
 REACH = 2
-EMBEDDING, HIDDEN = 12, 32
+EMBEDDING, HIDDEN = 8, 8
 SHARE = 2
 ROUNDS = 2
-BATCH = 1024
+BATCH = 2048
+RATE = 0.015
 COUNTED_WORDS = 200_000
 KNOWN_WORDS = 200_000
+# parameters averaged at once
+BRANCHES = 16
 END = 256
 
 
@@ -81,23 +88,58 @@ def _paired(batches):
             yield pd.DataFrame({"cell": at, "n": found[at].astype(np.int64)})
 
 
+def huffman_paths(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Inner nodes and turns (-1, 1) on the way to each symbol, flat, where each symbol's begin, and the
+    log odds of the turns of each node. Symbols come with descending counts; a single one has no path."""
+    n = len(counts)
+    weight = np.concatenate([counts[::-1].astype(np.float64), np.zeros(max(0, n - 1))])
+    parent, turn = np.zeros(2 * n - 1, np.int64), np.zeros(2 * n - 1, np.int8)
+    odds = np.zeros(max(1, n - 1))
+    leaf, inner = 0, n
+    for made in range(n, 2 * n - 1):
+        # the two lightest of what has no parent; leaves and inner nodes are each in order
+        two = []
+        for _ in range(2):
+            if leaf < n and (inner >= made or weight[leaf] <= weight[inner]):
+                two.append(leaf)
+                leaf += 1
+            else:
+                two.append(inner)
+                inner += 1
+        left, right = two
+        weight[made] = weight[left] + weight[right]
+        parent[left] = parent[right] = made
+        turn[left], turn[right] = -1, 1
+        odds[made - n] = math.log(weight[right] / weight[left])
+    nodes, turns, starts = [], [], np.zeros(n, np.int64)
+    at = 0
+    for symbol in range(n):
+        starts[symbol], k = at, n - 1 - symbol
+        while k != 2 * n - 2:
+            nodes.append(parent[k] - n)
+            turns.append(turn[k])
+            k = parent[k]
+            at += 1
+    return np.array(nodes, np.int64), np.array(turns, np.float64), np.append(starts, at), odds
+
+
 class Lexicon:
-    """Numbers, classes and shares of words. 0 is the space outside a document, the last number any
-    word outside the vocabulary."""
+    """Numbers and paths of words. 0 is the space outside a document, which is never predicted; the last
+    number is any word outside the vocabulary."""
 
-    def __init__(self, words: list[tuple[bytes, int]], pairs: dict[int, int]):
+    def __init__(self, words: list[tuple[bytes, int]], pairs: dict[int, int], n_outside: int):
         self.number = {w: k + 1 for k, (w, _) in enumerate(words)}
         self.other = len(words) + 1
-        # frequent words are classes of their own, others share one by how they end
-        tails = CLASSES - OWN_CLASSES - 1
-        self.class_of = np.full(self.other + 1, CLASSES - 1, np.int64)
-        for k, (w, _) in enumerate(words):
-            ending = int.from_bytes(w[-2:], "little")
-            self.class_of[k + 1] = k if k < OWN_CLASSES else OWN_CLASSES + int(mixed(np.array([ending], np.uint64))[0] % np.uint64(tails))
-        counts = np.array([0, *(n for _, n in words), 0], np.float64)
-        totals = np.bincount(self.class_of, counts, CLASSES)
-        self.share = np.zeros(self.other + 1)
-        self.share[1:-1] = np.log(counts[1:-1] / totals[self.class_of[1:-1]])
+        counts = np.array([*(n for _, n in words), max(1, n_outside)], np.float64)
+        by_count = np.argsort(-counts, kind="stable")
+        nodes, turns, starts, self.odds = huffman_paths(counts[by_count])
+        # paths by number, of which 0 has none
+        place = np.empty(len(counts), np.int64)
+        place[by_count] = np.arange(len(counts))
+        self.length = np.concatenate([[0], np.diff(starts)[place]])
+        self.start = np.concatenate([[0], starts[:-1][place]])
+        self.node = nodes.astype(np.uint16 if len(counts) < 1 << 16 else np.int32)
+        self.turn = turns.astype(np.float32)
         table = np.full(257 * 257, 0.5)
         for cell, n in pairs.items():
             table[cell] += n
@@ -108,27 +150,43 @@ class Lexicon:
         cells, starts = byte_pairs(words)
         return np.add.reduceat(self.spelling[cells], starts)
 
+    def by_depth(self, numbers: np.ndarray):
+        """Order of the numbers by falling length of their paths, and for each depth the nodes and turns
+        that the paths have there, of as many of the first numbers as go so deep."""
+        sizes = self.length[numbers]
+        order = np.argsort(-sizes.astype(np.int16), kind="stable")
+        start, deep = self.start[numbers[order]], np.cumsum(np.bincount(sizes)[::-1])[::-1]
+        return order, ((self.node[at := start[:n] + d], self.turn[at]) for d, n in enumerate(deep[1:].tolist()))
+
+
+class Numbers(dict):
+    """Words in the order in which they were first asked for."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self)
+        return number
+
 
 class Reader:
-    """Turns texts into word numbers and the log share of each word in its class."""
+    """Turns texts into word numbers and the log-probability that each word's number is spelled so."""
 
     def __init__(self, lexicon: Lexicon):
         self.lexicon = lexicon
-        self.known: dict[bytes, int] = {}
+        self.known = Numbers()
         self.numbers, self.shares = [np.zeros(0, np.int64)], [np.zeros(0)]
 
     def read(self, texts) -> tuple[list[np.ndarray], list[np.ndarray]]:
         if len(self.known) > KNOWN_WORDS:
-            self.known, self.numbers, self.shares = {}, [np.zeros(0, np.int64)], [np.zeros(0)]
+            self.known, self.numbers, self.shares = Numbers(), [np.zeros(0, np.int64)], [np.zeros(0)]
         seen = len(self.known)
         places = []
         for text in texts:
             words = words_of(text)
-            places.append(np.fromiter((self.known.setdefault(w, len(self.known)) for w in words), np.int64, len(words)))
+            places.append(np.fromiter(map(self.known.__getitem__, words), np.int64, len(words)))
         new = list(self.known)[seen:] if len(self.known) > seen else []
         if new:
             numbers = np.array([self.lexicon.number.get(w, self.lexicon.other) for w in new], np.int64)
-            shares = self.lexicon.share[numbers]
+            shares = np.zeros(len(new))
             outside = np.flatnonzero(numbers == self.lexicon.other)
             if len(outside):
                 shares[outside] = self.lexicon.spelled([new[k] for k in outside])
@@ -136,104 +194,153 @@ class Reader:
         return [self.numbers[0][p] for p in places], [self.shares[0][p] for p in places]
 
 
-def parameters(size: int, seed: int = 11) -> list[np.ndarray]:
+def parameters(lexicon: Lexicon, seed: int = 11) -> list[np.ndarray]:
+    """Embeddings, hidden layer, and the nodes' vectors and biases. The vectors start at zero and the
+    biases at the odds of the counts, which is the distribution of words without any neighbours."""
     rng = np.random.default_rng(seed)
     draw = lambda *shape, scale: (rng.standard_normal(shape) * scale).astype(np.float32)
     return [
-        draw(size, EMBEDDING, scale=0.1), draw(2 * REACH * EMBEDDING, HIDDEN, scale=0.2), np.zeros(HIDDEN, np.float32),
-        draw(HIDDEN, CLASSES, scale=0.2), np.zeros(CLASSES, np.float32),
+        draw(lexicon.other + 1, EMBEDDING, scale=0.3), draw(2 * REACH * EMBEDDING, HIDDEN, scale=0.3), np.zeros(HIDDEN, np.float32),
+        np.zeros((len(lexicon.odds), HIDDEN), np.float32), lexicon.odds.astype(np.float32),
     ]
 
 
-def _shapes(size: int) -> list[tuple[int, ...]]:
-    return [(size, EMBEDDING), (2 * REACH * EMBEDDING, HIDDEN), (HIDDEN,), (HIDDEN, CLASSES), (CLASSES,)]
+def _shapes(lexicon: Lexicon) -> list[tuple[int, ...]]:
+    n = len(lexicon.odds)
+    return [(lexicon.other + 1, EMBEDDING), (2 * REACH * EMBEDDING, HIDDEN), (HIDDEN,), (n, HIDDEN), (n,)]
 
 
 def flat(weights: list[np.ndarray]) -> bytes:
     return np.concatenate([w.ravel() for w in weights]).astype(np.float32).tobytes()
 
 
-def unflat(data: bytes, size: int) -> list[np.ndarray]:
+def unflat(data: bytes, lexicon: Lexicon) -> list[np.ndarray]:
     values, out, at = np.frombuffer(data, np.float32), [], 0
-    for shape in _shapes(size):
+    for shape in _shapes(lexicon):
         n = int(np.prod(shape))
         out.append(values[at : at + n].reshape(shape).copy())
         at += n
     return out
 
 
-def neighbours(docs: list[np.ndarray]) -> np.ndarray:
-    """For every word of all documents the numbers of the words around it, 0 outside its document."""
+def neighbours(docs: list[np.ndarray], chosen: np.ndarray | None = None) -> np.ndarray:
+    """For every word of all documents, or the chosen ones, the numbers of the words around it, 0 outside
+    its document."""
     gap = np.zeros(REACH, np.int64)
     padded = np.concatenate([gap, *(x for d in docs for x in (d, gap))])
     sizes = np.array([len(d) for d in docs], np.int64)
     at = np.arange(sizes.sum()) + np.repeat(np.arange(len(docs)) * REACH, sizes) + REACH
+    at = at if chosen is None else at[chosen]
     around = [k for k in range(-REACH, REACH + 1) if k]
     return padded[at[:, None] + np.array(around)]
 
 
-def class_logits(weights: list[np.ndarray], around: np.ndarray):
-    e, w1, b1, w2, b2 = weights
-    x = e[around].reshape(len(around), -1)
-    hidden = np.tanh(x @ w1 + b1)
-    return hidden @ w2 + b2, x, hidden
+def _summed(at: np.ndarray, columns: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct numbers and the sums of their entries in each column; columns are contiguous rows here."""
+    used = np.flatnonzero(np.bincount(at, minlength=size))
+    return used, np.stack([np.bincount(at, c, size)[used] for c in columns], axis=1).astype(np.float32)
 
 
-def train_on(weights: list[np.ndarray], moments: list, around: np.ndarray, target: np.ndarray, step: int, rate: float) -> None:
+def train_on(lexicon: Lexicon, weights: list[np.ndarray], moments: list, around: np.ndarray, target: np.ndarray, step: int, rate: float) -> None:
     """One step of Adam on a batch of masked positions."""
-    logits, x, hidden = class_logits(weights, around)
-    logits -= logits.max(1, keepdims=True)
-    error = np.exp(logits)
-    error /= error.sum(1, keepdims=True)
-    error[np.arange(len(target)), target] -= 1
-    error /= len(target)
-    d_hidden = error @ weights[3].T * (1 - hidden**2)
-    d_x = (d_hidden @ weights[1].T).reshape(-1, EMBEDDING)
-    used, place = np.unique(around, return_inverse=True)
-    order = np.argsort(place.ravel(), kind="stable")
-    d_rows = np.add.reduceat(d_x[order], np.concatenate([[0], np.cumsum(np.bincount(place.ravel()))[:-1]]))
-    grads = [d_rows, x.T @ d_hidden, d_hidden.sum(0), hidden.T @ error, error.sum(0)]
-    for k, grad in enumerate(grads):
+    e, w1, b1, vectors, biases = weights
+    order, levels = lexicon.by_depth(target)
+    around = around[order]
+    x = e[around].reshape(len(around), -1)
+    hidden = np.tanh(x @ w1 + b1)
+    columns, d_hidden = np.ascontiguousarray(hidden.T), np.zeros_like(hidden)
+    met, errors, passed = [], [], []
+    for nodes, turns in levels:
+        n, towards = len(nodes), vectors[nodes]
+        logits = np.einsum("ij,ij->i", hidden[:n], towards) + biases[nodes]
+        error = -turns / (1 + np.exp(np.clip(turns * logits, -30, 30))) / np.float32(len(target))
+        d_hidden[:n] += error[:, None] * towards
+        met.append(nodes)
+        errors.append(error)
+        passed.append(columns[:, :n] * error)
+    if not met:
+        return
+    d_hidden *= 1 - hidden * hidden
+    used_nodes, d_vectors = _summed(np.concatenate(met), [*np.concatenate(passed, axis=1), np.concatenate(errors)], len(biases))
+    d_x = np.ascontiguousarray((d_hidden @ w1.T).reshape(-1, EMBEDDING).T)
+    used, d_rows = _summed(around.ravel(), d_x, len(e))
+    grads = [(used, d_rows), (slice(None), x.T @ d_hidden), (slice(None), d_hidden.sum(0)),
+             (used_nodes, d_vectors[:, :-1]), (used_nodes, d_vectors[:, -1])]
+    for k, (rows, grad) in enumerate(grads):
         first, second = moments[k]
-        rows = used if k == 0 else slice(None)
-        first[rows] += 0.1 * (grad - first[rows])
-        second[rows] += 0.01 * (grad * grad - second[rows])
-        weights[k][rows] -= rate * (first[rows] / (1 - 0.9**step)) / (np.sqrt(second[rows] / (1 - 0.99**step)) + 1e-6)
+        m = first[rows] * 0.9 + 0.1 * grad
+        v = second[rows] * 0.99 + 0.01 * grad * grad
+        first[rows], second[rows] = m, v
+        weights[k][rows] -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-6)
+
+
+def batch_size(step: int) -> int:
+    """Positions of a step: few at first, so that a task with little to read takes many steps too."""
+    return min(BATCH, 32 << (step // 16))
+
+
+def _read(shared):
+    """Of each document its numbers, number of words, and the log-probability of all spellings."""
+
+    def read(batches):
+        reader = Reader(shared.value)
+        for batch in batches:
+            texts = [t if isinstance(t, str) else None for t in batch["text"].to_numpy(object)]
+            sizes = np.cumsum([len(t or "") for t in texts])
+            cuts = np.unique(np.concatenate([[0], np.flatnonzero(np.diff(sizes // 500_000, prepend=0)) + 1, [len(texts)]]))
+            for a, b in zip(cuts, cuts[1:]):
+                numbers, shares = reader.read(texts[a:b])
+                yield pd.DataFrame({
+                    "doc_id": batch["doc_id"].iloc[a:b].astype("Int64"), "numbers": [x.astype(np.int32).tobytes() for x in numbers],
+                    "n_words": [len(x) for x in numbers], "spelled": [float(x.sum()) for x in shares],
+                })
+
+    return read
+
+
+def _documents(batches):
+    """Ids and numbers of documents, in parts of about half a million words."""
+    for batch in batches:
+        numbers = [np.frombuffer(x, np.int32) for x in batch["numbers"]]
+        sizes = np.cumsum([len(x) for x in numbers])
+        cuts = np.unique(np.concatenate([[0], np.flatnonzero(np.diff(sizes // 500_000, prepend=0)) + 1, [len(numbers)]]))
+        for a, b in zip(cuts, cuts[1:]):
+            yield batch.iloc[a:b], numbers[a:b]
 
 
 def _trained(shared, share: int, turn: int = 0):
     def train(batches):
         lexicon, data = shared.value
-        reader, size = Reader(lexicon), lexicon.other + 1
-        weights = unflat(data, size)
+        weights = unflat(data, lexicon)
         moments = [(np.zeros_like(w), np.zeros_like(w)) for w in weights]
         step, seen, held, wanted = 0, 0, [], []
-        for batch in batches:
-            for first in range(0, len(batch), 200):
-                part = batch.iloc[first : first + 200]
-                numbers, _ = reader.read(part["text"])
-                sizes = np.array([len(n) for n in numbers])
-                if not sizes.sum():
-                    continue
-                place = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-                ids = part["doc_id"].fillna(0).to_numpy(np.int64).view(np.uint64)
-                chosen = mixed(np.repeat(mixed(ids, 1), sizes) ^ place.astype(np.uint64), 2) % np.uint64(share) == turn % share
-                held.append(neighbours(numbers)[chosen])
-                wanted.append(lexicon.class_of[np.concatenate(numbers)[chosen]])
-                if sum(map(len, wanted)) >= BATCH:
-                    around, target = np.concatenate(held), np.concatenate(wanted)
-                    whole = len(target) // BATCH * BATCH
-                    for k in range(0, whole, BATCH):
-                        step += 1
-                        train_on(weights, moments, around[k : k + BATCH], target[k : k + BATCH], step, 0.004)
-                    seen += whole
-                    held, wanted = [around[whole:]], [target[whole:]]
+        for rows, numbers in _documents(batches):
+            sizes = np.array([len(n) for n in numbers])
+            if not sizes.sum():
+                continue
+            place = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            ids = rows["doc_id"].fillna(0).to_numpy(np.int64).view(np.uint64)
+            chosen = np.flatnonzero(mixed(np.repeat(mixed(ids, 1), sizes) ^ place.astype(np.uint64), 2) % np.uint64(share) == turn % share)
+            held.append(neighbours(numbers, chosen))
+            wanted.append(np.concatenate(numbers)[chosen])
+            if sum(map(len, wanted)) >= BATCH:
+                around, target = np.concatenate(held), np.concatenate(wanted)
+                k = 0
+                while len(target) - k >= batch_size(step):
+                    n, step = batch_size(step), step + 1
+                    train_on(lexicon, weights, moments, around[k : k + n], target[k : k + n], step, RATE)
+                    k += n
+                seen += k
+                held, wanted = [around[k:]], [target[k:]]
         if sum(map(len, wanted)):
             around, target = np.concatenate(held), np.concatenate(wanted)
-            train_on(weights, moments, around, target, step + 1, 0.004)
             seen += len(target)
+            while len(target):
+                n, step = batch_size(step), step + 1
+                train_on(lexicon, weights, moments, around[:n], target[:n], step, RATE)
+                around, target = around[n:], target[n:]
         if seen:
-            yield pd.DataFrame({"part": [uuid.uuid4().int % 256], "n": [seen], "weights": [flat(weights)]})
+            yield pd.DataFrame({"part": [uuid.uuid4().int >> 66], "n": [seen], "weights": [flat(weights)]})
 
     return train
 
@@ -241,70 +348,120 @@ def _trained(shared, share: int, turn: int = 0):
 def _averaged(rows: pd.DataFrame) -> pd.DataFrame:
     n = rows["n"].to_numpy(np.float64)
     total = sum(np.frombuffer(w, np.float32).astype(np.float64) * m for w, m in zip(rows["weights"], n))
-    return pd.DataFrame({"part": [int(rows["part"].iloc[0])], "n": [int(n.sum())], "weights": [(total / n.sum()).astype(np.float32).tobytes()]})
+    return pd.DataFrame({"part": [uuid.uuid4().int >> 66], "n": [int(n.sum())], "weights": [(total / n.sum()).astype(np.float32).tobytes()]})
+
+
+def averaged(parts: DataFrame) -> bytes | None:
+    """Mean of the tasks' parameters, weighted by their positions: about `BRANCHES` of them in a task, and
+    again until one is left."""
+    while (left := parts.count()) > 1:
+        branch = F.lit(0) if left <= 2 * BRANCHES else F.pmod("part", F.lit(-(-left // BRANCHES)))
+        parts = written(parts.groupBy(branch.alias("branch")).applyInPandas(_averaged, parts.schema), "averaged")
+    mean = parts.first()
+    return bytes(mean["weights"]) if mean else None
 
 
 class Model:
+    """Scores words; equal texts get equal scores wherever they stand, because every number that enters a
+    word's score is found by sums of the same terms in the same order."""
+
     def __init__(self, lexicon: Lexicon, weights: list[np.ndarray]):
         self.lexicon, self.weights = lexicon, weights
+        e, w1, self.b1, self.vectors, self.biases = weights
+        # what a word adds to the hidden layer from each place around
+        parts = [w1[k * EMBEDDING : (k + 1) * EMBEDDING].astype(np.float64) for k in range(2 * REACH)]
+        self.adds = [(e.astype(np.float64) @ w).astype(np.float32) for w in parts]
+
+    def of_numbers(self, numbers: list[np.ndarray]) -> np.ndarray:
+        """Conditional log-probability of each number of all documents."""
+        around, target = neighbours(numbers), np.concatenate(numbers)
+        out = np.zeros(len(target))
+        for k in range(0, len(target), 4096):
+            near, wanted = around[k : k + 4096], target[k : k + 4096]
+            hidden = self.b1
+            for place, adds in enumerate(self.adds):
+                hidden = hidden + adds[near[:, place]]
+            order, levels = self.lexicon.by_depth(wanted)
+            hidden, found, chance, depth = np.tanh(hidden)[order], np.zeros(len(wanted)), np.ones(len(wanted)), 0
+            for nodes, turns in levels:
+                n = len(nodes)
+                logits = np.einsum("ij,ij->i", hidden[:n], self.vectors[nodes]) + self.biases[nodes]
+                chance[:n] *= 1 / (1 + np.exp(-np.clip(turns * logits, -30, 30)))
+                if n and (depth := depth + 1) % 16 == 0:
+                    # a product of sixteen choices is far from the smallest number
+                    found, chance = found + np.log(chance), np.ones(len(wanted))
+            out[k + order] = found + np.log(chance)
+        return out
 
     def log_probs(self, reader: Reader, texts) -> list[np.ndarray]:
         """Conditional log-probability of each word of each text."""
         numbers, shares = reader.read(texts)
-        sizes = [len(n) for n in numbers]
-        around, share = neighbours(numbers), np.concatenate(shares)
-        target = self.lexicon.class_of[np.concatenate(numbers)]
-        out = np.empty(len(share))
-        for k in range(0, len(share), 8192):
-            logits = class_logits(self.weights, around[k : k + 8192])[0]
-            top = logits.max(1)
-            norm = np.log(np.exp(logits - top[:, None]).sum(1)) + top
-            out[k : k + 8192] = logits[np.arange(len(logits)), target[k : k + 8192]] - norm
-        return np.split(out + share, np.cumsum(sizes)[:-1])
-
-
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: int = VOCABULARY, share: int = SHARE, rounds: int = ROUNDS) -> Model:
-    """Count all words of `docs` and train the network on one in `share` positions of every document in
-    each round, others than in the rounds before; `share` rounds take every position once.
-
-    The driver holds `vocabulary` words, the 257 x 257 table of byte pairs and one set of parameters.
-    """
-    spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+        return np.split(self.of_numbers(numbers) + np.concatenate(shares), np.cumsum([len(n) for n in numbers])[:-1])
+
+
+def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+
+
+def counted(rows: DataFrame, vocabulary: int | None = None) -> Lexicon:
+    """Lexicon of all words of the texts. The driver holds the vocabulary, by default the power of two
+    from 16 times the root of the number of distinct words, and the 257 x 257 table of byte pairs."""
     counts = written(
         rows.select("text").mapInPandas(_counted, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n")), "word-counts"
     )
+    if vocabulary is None:
+        wanted = max(LEAST_VOCABULARY, VOCABULARY_PER_ROOT * math.isqrt(counts.count()))
+        vocabulary = 1 << (wanted - 1).bit_length()
     top = [(bytes(r["word"]), r["n"]) for r in counts.orderBy(F.col("n").desc(), "word").limit(vocabulary).collect()]
     last = top[-1][::-1] if top else (0, b"")
     outside = counts.where((F.col("n") < last[0]) | ((F.col("n") == last[0]) & (F.col("word") > F.lit(bytearray(last[1])))))
+    n_outside = outside.agg(F.sum("n")).first()[0] or 0
     pairs = outside.mapInPandas(_paired, "cell int, n bigint").groupBy("cell").agg(F.sum("n").alias("n"))
-    lexicon = Lexicon(top, {r["cell"]: r["n"] for r in pairs.collect()})
-    weights = flat(parameters(lexicon.other + 1))
+    return Lexicon(top, {r["cell"]: r["n"] for r in pairs.collect()}, n_outside)
+
+
+def numbered(rows: DataFrame, lexicon: Lexicon) -> DataFrame:
+    """Documents as numbers, written: texts are cut into words once for all rounds and the scores."""
+    shared = rows.sparkSession.sparkContext.broadcast(lexicon)
+    return written(rows.mapInPandas(_read(shared), "doc_id bigint, numbers binary, n_words bigint, spelled double"), "word-numbers")
+
+
+def trained(documents: DataFrame, lexicon: Lexicon, share: int = SHARE, rounds: int = ROUNDS) -> Model:
+    """Train the network on one in `share` positions of every document in each round, others than in the
+    rounds before; `share` rounds take every position once."""
+    weights = flat(parameters(lexicon))
     for turn in range(rounds):
-        shared = spark.sparkContext.broadcast((lexicon, weights))
-        schema = "part int, n bigint, weights binary"
-        parts = written(rows.mapInPandas(_trained(shared, share, turn), schema), "trained")
-        parts = parts.groupBy("part").applyInPandas(_averaged, schema).withColumn("part", F.lit(0))
-        mean = parts.groupBy("part").applyInPandas(_averaged, schema).collect()
-        weights = bytes(mean[0]["weights"]) if mean else weights
-    return Model(lexicon, unflat(weights, lexicon.other + 1))
+        shared = documents.sparkSession.sparkContext.broadcast((lexicon, weights))
+        parts = documents.select("doc_id", "numbers").mapInPandas(_trained(shared, share, turn), "part bigint, n bigint, weights binary")
+        weights = averaged(written(parts, "trained")) or weights
+    return Model(lexicon, unflat(weights, lexicon))
+
+
+def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: int | None = None, share: int = SHARE, rounds: int = ROUNDS) -> Model:
+    """Count all words of `docs` and train the network on all of their positions."""
+    rows = _rows(docs, id_col, text_col)
+    lexicon = counted(rows, vocabulary)
+    return trained(numbered(rows, lexicon), lexicon, share, rounds)
 
 
 def _scored(shared):
     def score(batches):
         model = shared.value
-        reader = Reader(model.lexicon)
-        for batch in batches:
-            ids, texts = batch["doc_id"], batch["text"].to_numpy(object)
-            sizes = np.cumsum([len(t) if isinstance(t, str) else 0 for t in texts])
-            cuts = np.unique(np.concatenate([[0], np.flatnonzero(np.diff(sizes // 500_000, prepend=0)) + 1, [len(texts)]]))
-            found = [x for a, b in zip(cuts, cuts[1:])
-                     for x in model.log_probs(reader, [t if isinstance(t, str) else None for t in texts[a:b]])]
-            yield pd.DataFrame({"doc_id": ids.astype("Int64"), "n_words": [len(x) for x in found], "log_prob": [float(x.sum()) for x in found]})
+        for rows, numbers in _documents(batches):
+            sums = [x.sum() for x in np.split(model.of_numbers(numbers), np.cumsum([len(n) for n in numbers])[:-1])]
+            yield pd.DataFrame({
+                "doc_id": rows["doc_id"].astype("Int64"), "n_words": rows["n_words"], "log_prob": np.array(sums) + rows["spelled"].to_numpy(),
+            })
 
     return score
 
 
+def score_numbered(documents: DataFrame, model: Model) -> DataFrame:
+    shared = documents.sparkSession.sparkContext.broadcast(model)
+    scored = documents.mapInPandas(_scored(shared), "doc_id bigint, n_words bigint, log_prob double")
+    return scored.withColumn("mean_log_prob", F.when(F.col("n_words") > 0, F.col("log_prob") / F.col("n_words")))
+
+
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """`doc_id, n_words, log_prob, mean_log_prob` for each row of `docs`.
 
@@ -312,7 +469,12 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     stays null; repeated rows get equal scores; an empty table gives no rows, and a model of an empty
     corpus spells every word evenly; other columns are not read.
     """
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    scored = rows.mapInPandas(_scored(shared), "doc_id bigint, n_words bigint, log_prob double")
-    return scored.withColumn("mean_log_prob", F.when(F.col("n_words") > 0, F.col("log_prob") / F.col("n_words")))
+    return score_numbered(numbered(_rows(docs, id_col, text_col), model.lexicon), model)
+
+
+def fit_and_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: int | None = None) -> DataFrame:
+    """`score(docs, fit(docs))`, with the texts cut into words twice instead of three times."""
+    rows = _rows(docs, id_col, text_col)
+    lexicon = counted(rows, vocabulary)
+    documents = numbered(rows, lexicon)
+    return score_numbered(documents, trained(documents, lexicon))

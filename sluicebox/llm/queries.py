@@ -45,8 +45,7 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    return language_model.score(docs, language_model.fit(docs))
+    return language_model.fit_and_score(table(spark, sf_dir, "documents"))
 
 
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

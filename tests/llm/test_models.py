@@ -1,3 +1,4 @@
+import math
 import random
 import zlib
 
@@ -123,7 +124,7 @@ def test_model_learns_order(language):
     shuffled = text.split()
     rng.shuffle(shuffled)
     good, bad = (x.sum() for x in model.log_probs(reader, [text, " ".join(shuffled)]))
-    untrained = lm.Model(model.lexicon, lm.parameters(model.lexicon.other + 1)).log_probs(lm.Reader(model.lexicon), [text])[0].sum()
+    untrained = lm.Model(model.lexicon, lm.parameters(model.lexicon)).log_probs(lm.Reader(model.lexicon), [text])[0].sum()
     assert good > bad + 5 and good > untrained + 20
 
 
@@ -134,20 +135,63 @@ def test_scores_are_sums_of_masked_conditionals(language):
     got = model.log_probs(lm.Reader(model.lexicon), [text, "x", text])
     words = lm.words_of(text)
     numbers = [model.lexicon.number.get(w, model.lexicon.other) for w in words]
-    e, w1, b1, w2, b2 = (w.astype(np.float64) for w in model.weights)
     for k, word in enumerate(words):
         around = [numbers[k + d] if 0 <= k + d < len(words) else 0 for d in range(-lm.REACH, lm.REACH + 1) if d]
-        logits = np.tanh(np.concatenate([e[a] for a in around]) @ w1 + b1) @ w2 + b2
-        share = model.lexicon.share[numbers[k]] if numbers[k] != model.lexicon.other else model.lexicon.spelled([word])[0]
-        expected = logits[model.lexicon.class_of[numbers[k]]] - np.log(np.exp(logits).sum()) + share
+        expected = math.log(chances(model, around)[numbers[k]])
+        if numbers[k] == model.lexicon.other:
+            expected += model.lexicon.spelled([word])[0]
         assert np.isclose(got[0][k], expected, atol=1e-4) and got[0][k] == got[2][k]
 
 
-def test_shares_of_classes_sum_to_one(language):
-    lexicon = language[1].lexicon
-    for c in set(lexicon.class_of[1:-1]):
-        assert np.isclose(np.exp(lexicon.share[1:-1][lexicon.class_of[1:-1] == c]).sum(), 1)
-    assert np.allclose(np.exp(lexicon.spelling).reshape(257, 257).sum(1), 1)
+def chances(model, around):
+    """Probability of each number between the given ones, choice by choice."""
+    lexicon = model.lexicon
+    e, w1, b1, vectors, biases = (w.astype(np.float64) for w in model.weights)
+    hidden = np.tanh(np.concatenate([e[a] for a in around]) @ w1 + b1)
+    out = {}
+    for number in range(1, lexicon.other + 1):
+        at = slice(lexicon.start[number], lexicon.start[number] + lexicon.length[number])
+        turns = zip(lexicon.node[at].tolist(), lexicon.turn[at].tolist())
+        out[number] = math.prod(1 / (1 + math.exp(-turn * (hidden @ vectors[node] + biases[node]))) for node, turn in turns)
+    return out
+
+
+def test_chances_of_all_words_sum_to_one(language):
+    model = language[1]
+    for around in ([0, 0, 1, 2], [3, 1, model.lexicon.other, 5]):
+        assert np.isclose(sum(chances(model, around).values()), 1)
+    assert np.allclose(np.exp(model.lexicon.spelling).reshape(257, 257).sum(1), 1)
+    # without neighbours' part the paths give the shares of the counts
+    start = lm.Model(model.lexicon, lm.parameters(model.lexicon))
+    the = model.lexicon.number[b"the"]
+    assert np.isclose(chances(start, [0, 0, 0, 0])[the], 4 * 4 * 300 / (300 * 4 * len(PATTERN) + 100), rtol=1e-3)
+
+
+def test_scores_do_not_depend_on_the_batch(language):
+    _, model = language
+    rng, found = random.Random(8), {}
+    texts = [" ".join(rng.choices(PATTERN + ["new", "rare1"], k=rng.randint(1, 90))) for _ in range(30)]
+    for _ in range(150):
+        batch = rng.choices(texts, k=rng.randint(1, 20))
+        for text, scores in zip(batch, model.log_probs(lm.Reader(model.lexicon), batch)):
+            assert found.setdefault(text, scores.tobytes()) == scores.tobytes()
+
+
+def test_paths_are_a_huffman_code():
+    counts = np.array([40, 30, 20, 5, 3, 2])
+    nodes, turns, starts, odds = lm.huffman_paths(counts)
+    lengths = np.diff(starts)
+    assert lengths.tolist() == [1, 2, 3, 4, 5, 5] and len(odds) == 5
+    assert len({tuple(zip(nodes[a:b], turns[a:b])) for a, b in zip(starts, starts[1:])}) == 6
+    assert lm.huffman_paths(np.array([7]))[2].tolist() == [0, 0]
+
+
+def test_vocabulary_grows_with_the_words(spark):
+    sizes = []
+    for n in (500, 40_000):
+        docs = spark.createDataFrame([(k, " ".join(f"w{i}" for i in range(k, n, 50))) for k in range(50)], "doc_id long, text string")
+        sizes.append(lm.counted(lm._rows(docs, "doc_id", "text")).other - 1)
+    assert sizes == [500, 4096]
 
 
 def test_edge_documents(language, texts):
