@@ -21,6 +21,8 @@ CRLF = b"\r\n"
 ARCHIVE_BYTES = 64_000_000
 READ_BYTES = 8_000_000
 GAP_BYTES = 65_536
+# bytes of archives that one task reads
+TASK_BYTES = 4 * READ_BYTES
 
 _INDEX = (
     "page_id bigint, url string, payload_digest string, payload_bytes bigint, record_type string, "
@@ -194,16 +196,18 @@ def _read(folder: str, gap: int, most: int):
 
 
 def read_records(
-    index: DataFrame, folder: str, gap_bytes: int = GAP_BYTES, read_bytes: int = READ_BYTES
+    index: DataFrame, folder: str, gap_bytes: int = GAP_BYTES, read_bytes: int = READ_BYTES, task_bytes: int = TASK_BYTES
 ) -> DataFrame:
     """Records that the rows of `index` (any selection of it) name, read from the archives.
 
     Index rows are dealt by stretches of a file, sorted, and joined to reads of at most `read_bytes`
-    that pass over gaps of at most `gap_bytes`.
+    that pass over gaps of at most `gap_bytes`. The number of tasks follows the bytes to be read: by the
+    size of the index alone Spark would read everything in a few.
     """
     wanted = index.select("file", "offset", "length")
+    tasks = -(-(wanted.agg(F.sum("length")).first()[0] or 0) // task_bytes) or 1
     return (
-        wanted.repartition("file", F.expr(f"offset div {read_bytes}")).sortWithinPartitions("file", "offset")
+        wanted.repartition(tasks, "file", F.expr(f"offset div {read_bytes}")).sortWithinPartitions("file", "offset")
         .mapInPandas(_read(folder, gap_bytes, read_bytes), _RECORD)
     )
 

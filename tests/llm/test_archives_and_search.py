@@ -46,6 +46,18 @@ def test_selected_records_are_read_by_joined_ranges(spark):
         by_file[r.file] = r.offset + r.length
 
 
+def test_tasks_follow_the_bytes_to_read(spark):
+    """Few index rows of long payloads are read by as many tasks as their bytes need."""
+    rng = np.random.default_rng(1)
+    rows = [(i, "u", rng.integers(0, 16, 400_000).astype("uint8").tobytes().hex()) for i in range(20)]
+    folder = fresh_path(spark, "warc")
+    index = warc.write_archives(pages(spark, rows), folder)
+    size = sum(r.length for r in index.collect())
+    read = warc.read_records(index, folder, read_bytes=200_000, task_bytes=500_000)
+    assert read.rdd.getNumPartitions() == -(-size // 500_000) > 4
+    assert {(r.page_id, r.payload_bytes) for r in read.collect()} == {(i, 800_000) for i in range(20)}
+
+
 def test_a_damaged_record_is_noticed():
     data = warc.record(1, "u", b"payload", hashlib.sha1(b"payload").hexdigest(), "2024-01-01T00:00:00Z", None, False)
     assert warc.parsed(data)[2:5] == (7, hashlib.sha1(b"payload").hexdigest(), "response")
