@@ -651,7 +651,7 @@ def stream_daily(spark, sf_dir):
 
 @register("throttle_in_batches")
 def throttle_in_batches(spark, sf_dir):
-    """Four stretches of the events' days, each continuing from what the ones before sent."""
+    """Stretches of eight days, each continuing from what the ones before sent."""
     store, found, state = R.store(spark, sf_dir), _alerts(orders.table(spark, sf_dir, "events")), None
     stretch = F.least(F.floor((F.dayofmonth("ts") - 1) / 8), F.lit(3)) + F.lit(4) * (F.year("ts") * 12 + F.month("ts"))
     found = found.withColumn("stretch", stretch)

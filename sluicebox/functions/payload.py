@@ -10,12 +10,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, functions as F
 
 
-def fields(payload: Column, names: Sequence[str]) -> Column:
-    """Struct with a variant per name: absent fields are NULL, JSON nulls are not. `_corrupt` is
-    set for text that is not a JSON object."""
-    ddl = ", ".join(f"{n} variant" for n in names)
-    read = F.from_json(payload, f"{ddl}, _corrupt string", {"columnNameOfCorruptRecord": "_corrupt"})
-    return F.when(F.ltrim(payload).startswith("{"), read)
+def parsed(payload: Column) -> Column:
+    """The payload as one variant, NULL for text that is not a JSON object."""
+    return F.when(F.ltrim(payload).startswith("{"), F.try_parse_json(payload))
+
+
+def fields(document: str, names: Sequence[str]) -> Column:
+    """Struct with a variant per name out of a parsed payload: absent fields are NULL, JSON nulls are not."""
+    return F.struct(*[F.try_variant_get(F.col(document), f"$.{n}", "variant").alias(n) for n in names])
 
 
 def is_number(value: Column) -> Column:

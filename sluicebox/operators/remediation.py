@@ -51,7 +51,9 @@ DEFAULTS = {
 def unpacked(quarantine: DataFrame) -> DataFrame:
     """Adds what the payload holds: `_readable`, the names of `_missing` fields, the `_texts` of
     all fields, and which are `_numeric` and their `_value` for the numeric ones."""
-    read = computed_once(quarantine, {"_json": payload.fields(F.col("payload"), NAMES)})
+    # the text is parsed once into a variant, from which the fields are taken
+    read = computed_once(quarantine, {"_document": payload.parsed(F.col("payload"))})
+    read = computed_once(read, {"_json": payload.fields("_document", NAMES)})
     field = lambda n: F.col(f"_json.{n}")
     read = computed_once(read, {
         "_missing": payload.missing("_json", specs.REPLAY_REQUIRED),
@@ -61,7 +63,7 @@ def unpacked(quarantine: DataFrame) -> DataFrame:
     })
     return read.select(
         *quarantine.columns, "_missing", "_texts", "_numeric", "_value",
-        (F.col("_json").isNotNull() & F.col("_json._corrupt").isNull()).alias("_readable"),
+        F.col("_document").isNotNull().alias("_readable"),
         F.struct(*[field(n).isNull().alias(n) for n in NAMES]).alias("_absent"),
     )
 

@@ -57,6 +57,13 @@ def test_reject_reasons(spark):
     assert [found[i] for i in range(len(cases))] == [expected for _, expected in cases]
 
 
+def test_a_payload_is_parsed_once(spark):
+    plan = remediation.validate(records(spark, record(BASE)))._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert plan.count("parsejson(") == 1, plan
+    assert reason(spark, '{"transaction_id": "T1", "transaction_id": "T2"}') == "Parse error: malformed payload"
+    assert reason(spark, '"text"') == reason(spark, "null") == reason(spark, "") == "Parse error: malformed payload"
+
+
 def examined(spark, *rows, **kw):
     return remediation.examine(records(spark, *rows), F.lit(date(2024, 6, 1)), ntz(), **kw)
 
