@@ -75,11 +75,12 @@ def host_of(url: str | None) -> str:
 
 
 class Node:
-    """A token of a page: a tag, or the text between two tags."""
+    """A token of a page: a tag, or the text between two tags. Its path, the elements around it, is kept
+    as a running hash, so that deep pages cost no more than flat ones."""
 
     __slots__ = ("kind", "name", "path", "text", "dropped", "main", "token")
 
-    def __init__(self, kind: str, name: str, path: str, text: str, dropped: bool, main: int):
+    def __init__(self, kind: str, name: str, path: int, text: str, dropped: bool, main: int):
         self.kind, self.name, self.path, self.text, self.dropped, self.main = kind, name, path, text, dropped, main
         key = f"{path}\0{kind}\0{text if kind == 'text' else name}".encode()
         self.token = xxh64_intdigest(key) >> 1
@@ -105,16 +106,19 @@ def parse(html: str) -> list[Node]:
     an article element, 2 in a main one, 1 in one named like it, 0 elsewhere. An element is dropped for
     its name unless it holds the page's article."""
     nodes: list[Node] = []
-    # of each open element: name, path, whether its text is dropped, `main`, the elements around that
-    # are dropped for their names, and the article and main elements around
-    stack: list[tuple[str, str, bool, int, tuple, tuple]] = [("", "", False, 0, (), ())]
-    # of each article or main element: its path, and the elements around that are dropped for their names
-    articles: list[tuple[str, tuple]] = []
-    # of each node: the elements around that are dropped for their names, and the articles around
-    around: list[tuple[tuple, tuple]] = []
-    at = n_named = 0
-
-    def add(kind: str, name: str, path: str, text: str, dropped: bool, main: int, named: tuple, inside: tuple) -> None:
+    # of each open element: name, path, whether its text is dropped, `main`, and the innermost element
+    # around that is dropped for its name, and the innermost article or main element around, or -1
+    stack: list[tuple[str, int, bool, int, int, int]] = [("", 0, False, 0, -1, -1)]
+    # of each element dropped for its name: the next such element around it
+    names: list[int] = []
+    # of each article or main element: its path, the innermost element around that is dropped for its
+    # name, and the next article or main element around
+    articles: list[tuple[int, int, int]] = []
+    # of each node: the innermost element around that is dropped for its name, and the innermost article
+    around: list[tuple[int, int]] = []
+    at = 0
+
+    def add(kind: str, name: str, path: int, text: str, dropped: bool, main: int, named: int, inside: int) -> None:
         nodes.append(Node(kind, name, path, text, dropped, main))
         around.append((named, inside))
 
@@ -143,14 +147,15 @@ def parse(html: str) -> list[Node]:
             )
             is_main = name in ("article", "main") or role == "main"
             if words & NAMES and not is_main and name not in ("html", "body"):
-                named, n_named = (*named, n_named), n_named + 1
+                names.append(named)
+                named = len(names) - 1
+            inner = xxh64_intdigest(f"{path}/{shown}".encode())
             if is_main and not dropped:
-                articles.append((f"{path}/{shown}", named))
-                inside = (*inside, len(articles) - 1)
+                articles.append((inner, named, inside))
+                inside = len(articles) - 1
             if not dropped:
                 own = 3 if name == "article" else 2 if name == "main" or role == "main" else 1 if words & MAIN_NAMES and name not in ("html", "body") else 0
                 main = max(main, own)
-            inner = f"{path}/{shown}"
             add("open", shown, path, "", dropped, main, named, inside)
             if name in RAW:
                 close = re.compile(f"</{re.escape(name)}(?=[\\s/>]|\\Z)[^>]*(?:>|\\Z)", re.I).search(html, at)
@@ -173,34 +178,47 @@ def parse(html: str) -> list[Node]:
                 del stack[depth:]
             add("close", end, stack[-1][1], "", *stack[-1][2:])
     text(len(html))
-    if n_named:
-        _drop_named(nodes, around, articles)
+    if names:
+        _drop_named(nodes, around, articles, names)
     return nodes
 
 
-def _drop_named(nodes: list[Node], around: list[tuple[tuple, tuple]], articles: list[tuple[str, tuple]]) -> None:
+def _drop_named(nodes: list[Node], around: list[tuple[int, int]], articles: list[tuple[int, int, int]], names: list[int]) -> None:
     """Drop what stands in an element dropped for its name, unless that element holds the page's
     article: the article or main elements of a path with the most text. If it has less text than stands
     outside and nothing there is marked, neither is known to be the article, and both are kept."""
-    held: frozenset = frozenset()
-    if any(named for _, named in articles):
-        sizes, marked, plain = Counter(), 0, 0
+    held: set[int] = set()
+    if any(named >= 0 for _, named, _ in articles):
+        # text of each article that no dropped element inside it holds, its inner articles' included
+        own, marked, plain = [0] * len(articles), 0, 0
         for node, (named, inside) in zip(nodes, around):
             if node.kind != "text" or node.dropped or not (n := len(node.text.strip())):
                 continue
-            for path in {articles[k][0] for k in inside if articles[k][1] == named}:
-                sizes[path] += n
-            if not named:
+            if inside >= 0 and articles[inside][1] == named:
+                own[inside] += n
+            if named < 0:
                 marked, plain = marked + n * (node.main > 0), plain + n * (node.main == 0)
-        within = {path for path, named in articles if named}
-        best = max(within, key=lambda path: (sizes[path], path))
+        sizes: Counter = Counter()
+        for k in range(len(articles) - 1, -1, -1):
+            path, named, outer = articles[k]
+            sizes[path] += own[k]
+            if outer >= 0 and articles[outer][1] == named:
+                own[outer] += own[k]
+        # of equals the first
+        best = max((path for path, named, _ in articles if named >= 0), key=sizes.__getitem__)
         if sizes[best] > marked:
-            held = frozenset(k for path, named in articles if path == best for k in named)
+            for path, named, _ in articles:
+                while path == best and named >= 0 and named not in held:
+                    held.add(named)
+                    named = names[named]
             if not marked and plain > sizes[best]:
                 for node in nodes:
                     node.main = 0
+    kept: list[bool] = []
+    for k, outer in enumerate(names):
+        kept.append(k in held and (outer < 0 or kept[outer]))
     for node, (named, _) in zip(nodes, around):
-        node.dropped = node.dropped or any(k not in held for k in named)
+        node.dropped = node.dropped or named >= 0 and not kept[named]
 
 
 def _end(stack: list[tuple], names: set[str]) -> None:

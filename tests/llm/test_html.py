@@ -1,3 +1,5 @@
+import tracemalloc
+
 import pytest
 
 from sluicebox.llm import html
@@ -100,3 +102,15 @@ def test_texts_of_copied_pages_are_kept(spark, marked, dated):
 ])
 def test_names_drop_no_article(page, text):
     assert html.main_text(page) == text
+
+
+@pytest.mark.parametrize("page", ["<div class='a'>" * 20_000 + "x", "<article>t" * 20_000, "<div class='ad'>t<article>u" * 10_000],
+                         ids=["divs", "articles", "named"])
+def test_deeply_nested_pages_stay_small(page):
+    """A few hundred kB of nested tags: what is kept of an element does not grow with its depth."""
+    tracemalloc.start()
+    nodes = html.parse(page)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(nodes) > 20_000 and peak < 100_000_000
+    assert isinstance(html.main_text(page, None), str)
