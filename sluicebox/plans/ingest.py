@@ -12,11 +12,13 @@ from sluicebox.operators import files, quarantine, silver, validation
 from sluicebox.operators.shaping import conform
 from sluicebox.operators.upsert import latest_per_key
 from sluicebox.plans.layers import AUDIT, CHANGES, GROUPS, LEDGER, QUARANTINE, SEVERITY, Layers
+from sluicebox.session import setting
 from sluicebox.sources import bronze
 
 # What a merge overwrites in a sale silver already holds. `source_file` and
 # `processed_at` are set from the run as well.
 FILES_PER_TASK = 50
+LISTING_TASKS = 200
 UPDATES = [c for c in schemas.SILVER_SALES.names if c != "transaction_id"]
 
 
@@ -156,7 +158,9 @@ def ingest(
     """
     listed = bronze.list_files(spark, bronze_root, prefix=f"{specs.SALES.name}/")
     pending = files.pending_files(listed, layers.read(LEDGER), specs.SALES.name).select("file_path")
-    pending = layers.store.write(f"staging.{run_id}.pending", pending)
+    # the listing's rows are as many as files, but Spark deals its tasks by their bytes, which nobody reads
+    with setting(spark, "spark.sql.files.maxPartitionNum", str(LISTING_TASKS)):
+        pending = layers.store.write(f"staging.{run_id}.pending", pending)
     waves, last = 0, ""
     while True:
         wave = pending.where(F.col("file_path") > last).orderBy("file_path").limit(files_per_wave)

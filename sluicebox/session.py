@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,6 +48,17 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_fallback[app]
 
 
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str):
+    """A session setting for what runs inside."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate table to the shared folder and read it back, which cuts the lineage."""
     path = f"{shared_dir(df.sparkSession)}/sluicebox/work/{name}-{uuid.uuid4().hex}"

@@ -6,13 +6,13 @@ import hashlib
 import re
 import uuid
 from collections.abc import Collection, Mapping, Sequence
-from contextlib import contextmanager
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from sluicebox.operators.shaping import conform
 from sluicebox.operators.upsert import collapse_batch, merge_upsert
+from sluicebox.session import setting
 
 
 class TableStore:
@@ -216,7 +216,7 @@ class KeyedTable:
             if self.store.is_complete(aside):
                 rows = self.spark.read.parquet(aside)
                 places = [self.BUCKET, self.MONTH]
-                with _setting(self.spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+                with setting(self.spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
                     rows.select(*self.schema.names, *places).write.mode("overwrite").insertInto(self.table)
                 filled = {(r[0], r[1]) for r in rows.select(*places).distinct().collect()}
                 known = touched if touched is not None else self._met(rows)
@@ -241,13 +241,3 @@ class KeyedTable:
         )
         # Spark leaves the files of a table that lies in a folder of the caller's
         self.store.delete(f"{self.folder}/{self.BUCKET}={bucket}/{self.MONTH}={month.isoformat()}")
-
-
-@contextmanager
-def _setting(spark: SparkSession, key: str, value: str):
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        spark.conf.unset(key) if before is None else spark.conf.set(key, before)

@@ -15,6 +15,7 @@ from sluicebox.plans.ingest import ingest, latest_audit
 from sluicebox.plans.layers import AUDIT, CHANGES, CLOSED_BY, GROUPS, LEDGER, QUARANTINE, SALES, SCHEMAS, Layers
 from sluicebox.plans.quality import check_quality
 from sluicebox.plans.remediation import remediate
+from sluicebox.session import setting
 from sluicebox.sources import bronze
 from sluicebox.sources.tables import KeyedTable, TableStore
 from sluicebox.streaming import ingest as stream_ingest
@@ -298,3 +299,12 @@ def test_fingerprint_ignores_order_but_not_values(spark):
     mark = lambda d: bronze.fingerprint(d, df.columns).first()["checksum"]
     assert mark(df) == mark(df.orderBy(F.desc("quantity")))
     assert mark(df) != mark(df.withColumn("quantity", F.col("quantity") + 1))
+
+
+def test_listing_takes_few_tasks_whatever_the_files_hold(spark, tmp_path):
+    spark.range(0, 40_000, 1, 40).withColumn("s", F.rand(3)).write.parquet(str(tmp_path / "sales"))
+    listed = lambda: bronze.list_files(spark, str(tmp_path)).rdd.getNumPartitions()
+    with setting(spark, "spark.sql.files.maxPartitionBytes", "1000"), setting(spark, "spark.sql.files.openCostInBytes", "100"):
+        assert listed() >= 40
+        with setting(spark, "spark.sql.files.maxPartitionNum", "8"):
+            assert listed() <= 8
