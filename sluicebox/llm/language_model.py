@@ -33,10 +33,11 @@ REACH = 2
 EMBEDDING, HIDDEN = 8, 8
 SHARE = 2
 ROUNDS = 2
-BATCH = 2048
-RATE = 0.015
-COUNTED_WORDS = 200_000
-KNOWN_WORDS = 200_000
+BATCH = 8192
+RATE = 0.03
+COUNTED_WORDS = 400_000
+KNOWN_WORDS = 400_000
+BLOCK_WORDS = 400_000
 # parameters averaged at once
 BRANCHES = 16
 END = 256
@@ -47,6 +48,40 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").lower().encode().split()
 
 
+class Numbers(dict):
+    """Words in the order in which they were first asked for."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self)
+        return number
+
+
+def _blocks(batches):
+    """Documents in blocks of about `BLOCK_WORDS` words: the block's distinct words in the order in which
+    they came and how often, and its documents as numbers of those."""
+    known, ids, sizes, numbers, held = Numbers(), [], [], [], 0
+
+    def block() -> pd.DataFrame:
+        joined = np.concatenate(numbers)
+        return pd.DataFrame({
+            "ids": [ids], "sizes": [np.array(sizes, np.int64).tobytes()], "numbers": [joined.tobytes()],
+            "words": [b"\n".join(known)], "counts": [np.bincount(joined, minlength=len(known)).tobytes()],
+        })
+
+    for batch in batches:
+        for doc_id, text in zip(batch["doc_id"].astype("Int64").to_numpy(object, na_value=None), batch["text"]):
+            words = words_of(text)
+            ids.append(doc_id)
+            sizes.append(len(words))
+            numbers.append(np.fromiter(map(known.__getitem__, words), np.int32, len(words)))
+            held += len(words)
+            if held >= BLOCK_WORDS or len(ids) >= BLOCK_WORDS:
+                yield block()
+                known, ids, sizes, numbers, held = Numbers(), [], [], [], 0
+    if ids:
+        yield block()
+
+
 def _counted(batches):
     counts: Counter = Counter()
 
@@ -54,8 +89,9 @@ def _counted(batches):
         return pd.DataFrame({"word": list(counts), "n": list(counts.values())})
 
     for batch in batches:
-        for text in batch["text"]:
-            counts.update(words_of(text))
+        for words, found in zip(batch["words"], batch["counts"]):
+            for word, n in zip(bytes(words).split(b"\n"), np.frombuffer(found, np.int64).tolist()):
+                counts[word] += n
             if len(counts) > COUNTED_WORDS:
                 yield frame()
                 counts.clear()
@@ -159,14 +195,6 @@ class Lexicon:
         return order, ((self.node[at := start[:n] + d], self.turn[at]) for d, n in enumerate(deep[1:].tolist()))
 
 
-class Numbers(dict):
-    """Words in the order in which they were first asked for."""
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = number = len(self)
-        return number
-
-
 class Reader:
     """Turns texts into word numbers and the log-probability that each word's number is spelled so."""
 
@@ -237,6 +265,7 @@ def neighbours(docs: list[np.ndarray], chosen: np.ndarray | None = None) -> np.n
 
 def _summed(at: np.ndarray, columns: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct numbers and the sums of their entries in each column; columns are contiguous rows here."""
+    at = at.astype(np.intp)
     used = np.flatnonzero(np.bincount(at, minlength=size))
     return used, np.stack([np.bincount(at, c, size)[used] for c in columns], axis=1).astype(np.float32)
 
@@ -247,20 +276,22 @@ def train_on(lexicon: Lexicon, weights: list[np.ndarray], moments: list, around:
     order, levels = lexicon.by_depth(target)
     around = around[order]
     x = e[around].reshape(len(around), -1)
-    hidden = np.tanh(x @ w1 + b1)
-    columns, d_hidden = np.ascontiguousarray(hidden.T), np.zeros_like(hidden)
+    # from here on a row for each hidden unit, so that sums run along the positions
+    hidden = np.ascontiguousarray(np.tanh(x @ w1 + b1).T)
+    by_unit, d_hidden = np.ascontiguousarray(vectors.T), np.zeros_like(hidden)
     met, errors, passed = [], [], []
     for nodes, turns in levels:
-        n, towards = len(nodes), vectors[nodes]
-        logits = np.einsum("ij,ij->i", hidden[:n], towards) + biases[nodes]
-        error = -turns / (1 + np.exp(np.clip(turns * logits, -30, 30))) / np.float32(len(target))
-        d_hidden[:n] += error[:, None] * towards
+        n, towards = len(nodes), by_unit.take(nodes, axis=1)
+        reached = hidden[:, :n]
+        logits = (reached * towards).sum(0) + biases[nodes]
+        error = -turns / (1 + np.exp(np.minimum(turns * logits, 30))) / np.float32(len(target))
+        d_hidden[:, :n] += towards * error
         met.append(nodes)
         errors.append(error)
-        passed.append(columns[:, :n] * error)
+        passed.append(reached * error)
     if not met:
         return
-    d_hidden *= 1 - hidden * hidden
+    d_hidden = (d_hidden * (1 - hidden * hidden)).T
     used_nodes, d_vectors = _summed(np.concatenate(met), [*np.concatenate(passed, axis=1), np.concatenate(errors)], len(biases))
     d_x = np.ascontiguousarray((d_hidden @ w1.T).reshape(-1, EMBEDDING).T)
     used, d_rows = _summed(around.ravel(), d_x, len(e))
@@ -280,32 +311,35 @@ def batch_size(step: int) -> int:
 
 
 def _read(shared):
-    """Of each document its numbers, number of words, and the log-probability of all spellings."""
+    """Blocks in the lexicon's numbers, and of each document the log-probability of all its spellings."""
 
     def read(batches):
-        reader = Reader(shared.value)
+        lexicon = shared.value
         for batch in batches:
-            texts = [t if isinstance(t, str) else None for t in batch["text"].to_numpy(object)]
-            sizes = np.cumsum([len(t or "") for t in texts])
-            cuts = np.unique(np.concatenate([[0], np.flatnonzero(np.diff(sizes // 500_000, prepend=0)) + 1, [len(texts)]]))
-            for a, b in zip(cuts, cuts[1:]):
-                numbers, shares = reader.read(texts[a:b])
+            for ids, sizes, numbers, words in zip(batch["ids"], batch["sizes"], batch["numbers"], batch["words"]):
+                words = bytes(words).split(b"\n") if words else []
+                number_of = np.array([lexicon.number.get(w, lexicon.other) for w in words], np.int32)
+                share_of, outside = np.zeros(len(words)), np.flatnonzero(number_of == lexicon.other)
+                if len(outside):
+                    share_of[outside] = lexicon.spelled([words[k] for k in outside])
+                numbers, n = np.frombuffer(numbers, np.int32), np.frombuffer(sizes, np.int64)
+                spelled = np.bincount(np.repeat(np.arange(len(n)), n), share_of[numbers], len(n)) if len(numbers) else np.zeros(len(n))
                 yield pd.DataFrame({
-                    "doc_id": batch["doc_id"].iloc[a:b].astype("Int64"), "numbers": [x.astype(np.int32).tobytes() for x in numbers],
-                    "n_words": [len(x) for x in numbers], "spelled": [float(x.sum()) for x in shares],
+                    "ids": [list(ids)], "sizes": [sizes], "numbers": [number_of[numbers].tobytes() if len(numbers) else b""],
+                    "spelled": [spelled.tobytes()],
                 })
 
     return read
 
 
 def _documents(batches):
-    """Ids and numbers of documents, in parts of about half a million words."""
+    """Of parts of about half a million words: ids, numbers by document, and sums of spellings."""
     for batch in batches:
-        numbers = [np.frombuffer(x, np.int32) for x in batch["numbers"]]
-        sizes = np.cumsum([len(x) for x in numbers])
-        cuts = np.unique(np.concatenate([[0], np.flatnonzero(np.diff(sizes // 500_000, prepend=0)) + 1, [len(numbers)]]))
-        for a, b in zip(cuts, cuts[1:]):
-            yield batch.iloc[a:b], numbers[a:b]
+        for ids, sizes, numbers, spelled in zip(batch["ids"], batch["sizes"], batch["numbers"], batch["spelled"]):
+            ends, numbers, spelled = np.cumsum(np.frombuffer(sizes, np.int64)), np.frombuffer(numbers, np.int32), np.frombuffer(spelled)
+            cuts = np.unique(np.concatenate([[0], np.flatnonzero(np.diff(ends // 500_000, prepend=0)) + 1, [len(ends)]]))
+            for a, b in zip(cuts, cuts[1:]):
+                yield ids[a:b], [numbers[i:j] for i, j in zip(np.concatenate([[0], ends])[a:b], ends[a:b])], spelled[a:b]
 
 
 def _trained(shared, share: int, turn: int = 0):
@@ -314,12 +348,12 @@ def _trained(shared, share: int, turn: int = 0):
         weights = unflat(data, lexicon)
         moments = [(np.zeros_like(w), np.zeros_like(w)) for w in weights]
         step, seen, held, wanted = 0, 0, [], []
-        for rows, numbers in _documents(batches):
+        for found, numbers, _ in _documents(batches):
             sizes = np.array([len(n) for n in numbers])
             if not sizes.sum():
                 continue
             place = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            ids = rows["doc_id"].fillna(0).to_numpy(np.int64).view(np.uint64)
+            ids = np.array([0 if i is None else i for i in found], np.int64).view(np.uint64)
             chosen = np.flatnonzero(mixed(np.repeat(mixed(ids, 1), sizes) ^ place.astype(np.uint64), 2) % np.uint64(share) == turn % share)
             held.append(neighbours(numbers, chosen))
             wanted.append(np.concatenate(numbers)[chosen])
@@ -370,7 +404,9 @@ class Model:
         e, w1, self.b1, self.vectors, self.biases = weights
         # what a word adds to the hidden layer from each place around
         parts = [w1[k * EMBEDDING : (k + 1) * EMBEDDING].astype(np.float64) for k in range(2 * REACH)]
-        self.adds = [(e.astype(np.float64) @ w).astype(np.float32) for w in parts]
+        # a row for each hidden unit, as of the nodes' vectors
+        self.adds = [np.ascontiguousarray((e.astype(np.float64) @ w).T.astype(np.float32)) for w in parts]
+        self.by_unit = np.ascontiguousarray(self.vectors.T)
 
     def of_numbers(self, numbers: list[np.ndarray]) -> np.ndarray:
         """Conditional log-probability of each number of all documents."""
@@ -378,15 +414,18 @@ class Model:
         out = np.zeros(len(target))
         for k in range(0, len(target), 4096):
             near, wanted = around[k : k + 4096], target[k : k + 4096]
-            hidden = self.b1
-            for place, adds in enumerate(self.adds):
-                hidden = hidden + adds[near[:, place]]
             order, levels = self.lexicon.by_depth(wanted)
-            hidden, found, chance, depth = np.tanh(hidden)[order], np.zeros(len(wanted)), np.ones(len(wanted)), 0
+            near, hidden = near[order], self.b1[:, None]
+            for place, adds in enumerate(self.adds):
+                hidden = hidden + adds.take(near[:, place], axis=1)
+            hidden = np.tanh(hidden)
+            found, chance, depth = np.zeros(len(wanted)), np.ones(len(wanted)), 0
             for nodes, turns in levels:
-                n = len(nodes)
-                logits = np.einsum("ij,ij->i", hidden[:n], self.vectors[nodes]) + self.biases[nodes]
-                chance[:n] *= 1 / (1 + np.exp(-np.clip(turns * logits, -30, 30)))
+                n, towards = len(nodes), self.by_unit.take(nodes, axis=1)
+                logits = self.biases[nodes]
+                for unit in range(HIDDEN):
+                    logits = logits + hidden[unit, :n] * towards[unit]
+                chance[:n] *= 1 / (1 + np.exp(np.clip(-turns * logits, -30, 30)))
                 if n and (depth := depth + 1) % 16 == 0:
                     # a product of sixteen choices is far from the smallest number
                     found, chance = found + np.log(chance), np.ones(len(wanted))
@@ -403,11 +442,17 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
-def counted(rows: DataFrame, vocabulary: int | None = None) -> Lexicon:
-    """Lexicon of all words of the texts. The driver holds the vocabulary, by default the power of two
+def blocks_of(rows: DataFrame) -> DataFrame:
+    """Documents cut into words, once for the counts, all rounds and the scores; written."""
+    return written(rows.mapInPandas(_blocks, "ids array<bigint>, sizes binary, numbers binary, words binary, counts binary"), "word-blocks")
+
+
+def counted(blocks: DataFrame, vocabulary: int | None = None) -> Lexicon:
+    """Lexicon of all words of the blocks. The driver holds the vocabulary, by default the power of two
     from 16 times the root of the number of distinct words, and the 257 x 257 table of byte pairs."""
     counts = written(
-        rows.select("text").mapInPandas(_counted, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n")), "word-counts"
+        blocks.select("words", "counts").where(F.octet_length("words") > 0).mapInPandas(_counted, "word binary, n bigint")
+        .groupBy("word").agg(F.sum("n").alias("n")), "word-counts",
     )
     if vocabulary is None:
         wanted = max(LEAST_VOCABULARY, VOCABULARY_PER_ROOT * math.isqrt(counts.count()))
@@ -420,10 +465,11 @@ def counted(rows: DataFrame, vocabulary: int | None = None) -> Lexicon:
     return Lexicon(top, {r["cell"]: r["n"] for r in pairs.collect()}, n_outside)
 
 
-def numbered(rows: DataFrame, lexicon: Lexicon) -> DataFrame:
-    """Documents as numbers, written: texts are cut into words once for all rounds and the scores."""
-    shared = rows.sparkSession.sparkContext.broadcast(lexicon)
-    return written(rows.mapInPandas(_read(shared), "doc_id bigint, numbers binary, n_words bigint, spelled double"), "word-numbers")
+def numbered(blocks: DataFrame, lexicon: Lexicon) -> DataFrame:
+    """Blocks in the lexicon's numbers, written."""
+    shared = blocks.sparkSession.sparkContext.broadcast(lexicon)
+    read = blocks.select("ids", "sizes", "numbers", "words").mapInPandas(_read(shared), "ids array<bigint>, sizes binary, numbers binary, spelled binary")
+    return written(read, "word-numbers")
 
 
 def trained(documents: DataFrame, lexicon: Lexicon, share: int = SHARE, rounds: int = ROUNDS) -> Model:
@@ -432,26 +478,25 @@ def trained(documents: DataFrame, lexicon: Lexicon, share: int = SHARE, rounds:
     weights = flat(parameters(lexicon))
     for turn in range(rounds):
         shared = documents.sparkSession.sparkContext.broadcast((lexicon, weights))
-        parts = documents.select("doc_id", "numbers").mapInPandas(_trained(shared, share, turn), "part bigint, n bigint, weights binary")
+        parts = documents.mapInPandas(_trained(shared, share, turn), "part bigint, n bigint, weights binary")
         weights = averaged(written(parts, "trained")) or weights
     return Model(lexicon, unflat(weights, lexicon))
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: int | None = None, share: int = SHARE, rounds: int = ROUNDS) -> Model:
     """Count all words of `docs` and train the network on all of their positions."""
-    rows = _rows(docs, id_col, text_col)
-    lexicon = counted(rows, vocabulary)
-    return trained(numbered(rows, lexicon), lexicon, share, rounds)
+    blocks = blocks_of(_rows(docs, id_col, text_col))
+    lexicon = counted(blocks, vocabulary)
+    return trained(numbered(blocks, lexicon), lexicon, share, rounds)
 
 
 def _scored(shared):
     def score(batches):
         model = shared.value
-        for rows, numbers in _documents(batches):
-            sums = [x.sum() for x in np.split(model.of_numbers(numbers), np.cumsum([len(n) for n in numbers])[:-1])]
-            yield pd.DataFrame({
-                "doc_id": rows["doc_id"].astype("Int64"), "n_words": rows["n_words"], "log_prob": np.array(sums) + rows["spelled"].to_numpy(),
-            })
+        for ids, numbers, spelled in _documents(batches):
+            sizes = [len(n) for n in numbers]
+            sums = [x.sum() for x in np.split(model.of_numbers(numbers), np.cumsum(sizes)[:-1])]
+            yield pd.DataFrame({"doc_id": pd.array(list(ids), "Int64"), "n_words": sizes, "log_prob": np.array(sums) + spelled})
 
     return score
 
@@ -469,12 +514,12 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     stays null; repeated rows get equal scores; an empty table gives no rows, and a model of an empty
     corpus spells every word evenly; other columns are not read.
     """
-    return score_numbered(numbered(_rows(docs, id_col, text_col), model.lexicon), model)
+    return score_numbered(numbered(blocks_of(_rows(docs, id_col, text_col)), model.lexicon), model)
 
 
 def fit_and_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: int | None = None) -> DataFrame:
-    """`score(docs, fit(docs))`, with the texts cut into words twice instead of three times."""
-    rows = _rows(docs, id_col, text_col)
-    lexicon = counted(rows, vocabulary)
-    documents = numbered(rows, lexicon)
+    """`score(docs, fit(docs))`, with the texts cut into words once."""
+    blocks = blocks_of(_rows(docs, id_col, text_col))
+    lexicon = counted(blocks, vocabulary)
+    documents = numbered(blocks, lexicon)
     return score_numbered(documents, trained(documents, lexicon))
