@@ -30,14 +30,16 @@ from sluicebox.llm.common import mixed, written
 VOCABULARY_PER_ROOT = 16
 LEAST_VOCABULARY = 1024
 REACH = 2
-EMBEDDING, HIDDEN = 8, 8
+EMBEDDING, HIDDEN = 4, 8
 SHARE = 2
 ROUNDS = 2
 BATCH = 8192
 RATE = 0.03
-COUNTED_WORDS = 400_000
+COUNTED_WORDS = 600_000
 KNOWN_WORDS = 400_000
-BLOCK_WORDS = 400_000
+BLOCK_WORDS = 1_000_000
+# words scored at once
+SCORED = 16_384
 # parameters averaged at once
 BRANCHES = 16
 END = 256
@@ -412,8 +414,8 @@ class Model:
         """Conditional log-probability of each number of all documents."""
         around, target = neighbours(numbers), np.concatenate(numbers)
         out = np.zeros(len(target))
-        for k in range(0, len(target), 4096):
-            near, wanted = around[k : k + 4096], target[k : k + 4096]
+        for k in range(0, len(target), SCORED):
+            near, wanted = around[k : k + SCORED], target[k : k + SCORED]
             order, levels = self.lexicon.by_depth(wanted)
             near, hidden = near[order], self.b1[:, None]
             for place, adds in enumerate(self.adds):
@@ -425,7 +427,7 @@ class Model:
                 logits = self.biases[nodes]
                 for unit in range(HIDDEN):
                     logits = logits + hidden[unit, :n] * towards[unit]
-                chance[:n] *= 1 / (1 + np.exp(np.clip(-turns * logits, -30, 30)))
+                chance[:n] *= 1 / (1 + np.exp(np.minimum(-turns * logits, 30)))
                 if n and (depth := depth + 1) % 16 == 0:
                     # a product of sixteen choices is far from the smallest number
                     found, chance = found + np.log(chance), np.ones(len(wanted))
