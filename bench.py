@@ -1,7 +1,8 @@
 """Time the headline queries and print one JSON line.
 
 BENCH_SF_DIR names the data (default sf0.1), BENCH_CPUS the cores. The `build_*` entries time the
-tables the other queries read, from the raw files to written Parquet; each of the others is the
+tables the other queries read, from the raw files to written Parquet, and `stored_merge` two merges
+into a deployment's bucketed silver; each of the others is the
 second of two runs, with its whole result computed and discarded.
 """
 
@@ -14,7 +15,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from registry import tables  # noqa: E402
+from registry import deployed, tables  # noqa: E402
 from registry.queries import QUERIES  # noqa: E402
 from sluicebox.session import build_session  # noqa: E402
 
@@ -47,6 +48,7 @@ def main() -> None:
     seconds = {
         f"build_{name}": timed(lambda n=name: tables.table(spark, sf_dir, n)) for name in tables.BUILDERS
     }
+    seconds["stored_merge"] = timed(lambda: deployed.merged(spark, sf_dir))
     for name in HEADLINE:
         run = lambda q=QUERIES[name]: q(spark, sf_dir).write.format("noop").mode("overwrite").save()
         run()

@@ -67,6 +67,7 @@ def merged(spark: SparkSession, sf_dir: str) -> Layers:
 # sales that are first stored under a wrong day, product, customer, store and category
 ORDER = "cast(split(transaction_id, '-')[1] as bigint)"
 MOVED = f"{ORDER} % 50 = 3"
+WRONG_DAY = date(1980, 1, 1)
 
 
 def wrong(column: str) -> Column:
@@ -82,7 +83,8 @@ def refreshed(spark: SparkSession, sf_dir: str, drop_vanished: bool) -> Layers:
         layers = _layers(spark, sf_dir, f"refreshed-{drop_vanished}")
         early = _early(spark, sf_dir)
         misplaced = early.withColumns({c: wrong(c) for c in ("customer_id", "product_id", "store_location", "category")})
-        misplaced = misplaced.withColumn("sale_date", F.when(F.expr(MOVED), F.add_months("sale_date", -120)).otherwise(F.col("sale_date")))
+        day = F.date_add(F.lit(WRONG_DAY), F.expr(f"{ORDER} div 50 % 28").cast("int"))
+        misplaced = misplaced.withColumn("sale_date", F.when(F.expr(MOVED), day).otherwise(F.col("sale_date")))
         layers.sales.merge(misplaced, None, None, GROUPS, CHANGES)
         refresh_gold(layers, AS_OF - timedelta(days=2), R.TIERS)
         layers.sales.merge(early.where(F.expr(MOVED)), None, None, GROUPS, CHANGES)

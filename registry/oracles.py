@@ -330,6 +330,10 @@ add("stored_types", f"""SELECT f.file_name, w.c AS column_name, CASE WHEN d.colu
   WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'date' ELSE 'other' END AS kind,
   CASE column_type WHEN 'BIGINT' THEN 'int64' WHEN 'INTEGER' THEN 'int32' WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string' ELSE column_type END AS stored
   FROM ({_columns}))""")
+add("odd_value_tags", """SELECT tags, count(*) AS row_count FROM (SELECT CASE WHEN k % 30 = 7 THEN 'check:quantity'
+    ELSE coalesce(nullif(concat_ws(';', CASE WHEN customer_id IS NULL THEN 'null:customer_id' END, CASE WHEN k % 30 = 11 THEN 'null:unit_price' END,
+      CASE WHEN CASE WHEN k % 40 = 10 THEN -5 ELSE quantity END NOT BETWEEN 1 AND 1000 THEN 'range:quantity' END), ''), 'good') END AS tags
+  FROM (SELECT *, CAST(split_part(transaction_id, '-', 2) AS BIGINT) AS k FROM bronze)) GROUP BY tags""", "bronze")
 REQUIRED = ["transaction_id", "sale_date", "customer_id", "product_id", "quantity", "unit_price", "net_amount"]
 RANGES = [("quantity", 1, 1000), ("unit_price", 0, 100000), ("discount_percentage", 0, 100)]
 
@@ -615,7 +619,7 @@ _early = f"SELECT * FROM good WHERE ingest_date < DATE '1999-01-01' QUALIFY row_
 _order = "CAST(split_part(transaction_id, '-', 2) AS BIGINT)"
 _wrong = lambda c: f"CASE WHEN {_order} % 50 = 3 THEN 'WRONG-' || ({_order} // 50 % 40) ELSE {c} END AS {c}"
 _misplaced = f"""SELECT * REPLACE ({', '.join(_wrong(c) for c in ('customer_id', 'product_id', 'store_location', 'category'))},
-  CASE WHEN {_order} % 50 = 3 THEN CAST(sale_date - INTERVAL 120 MONTH AS DATE) ELSE sale_date END AS sale_date) FROM ({_early})"""
+  CASE WHEN {_order} % 50 = 3 THEN DATE '1980-01-01' + CAST({_order} // 50 % 28 AS INTEGER) ELSE sale_date END AS sale_date) FROM ({_early})"""
 _gold = {
     "daily": ("sale_date", "SELECT * EXCLUDE (exact_net) FROM daily", "daily"),
     "customers": ("customer_id", f"""SELECT customer_id, max(customer_name) AS customer_name, min(sale_date) AS first_purchase_date,

@@ -216,6 +216,15 @@ def row_tagging(spark, sf_dir):
     )
 
 
+@register("odd_value_tags")
+def odd_value_tags(spark, sf_dir):
+    """Tags of landed sales with NaN, fractions in whole numbers, and rows that break several rules."""
+    root = f"{R.store(spark, sf_dir).root}/odd-{uuid.uuid4().hex}/sales"
+    landing.land_odd_values(spark, sf_dir, root)
+    tagged = validation.tag_all(bronze.read_group(spark, [root], specs.SALES), specs.SALES)
+    return tagged.groupBy(F.coalesce("error_reason", F.lit("good")).alias("tags")).agg(F.count(F.lit(1)).alias("row_count"))
+
+
 @register("good_bad_split")
 def good_bad_split(spark, sf_dir):
     return validation.split_counts(R.bronze(spark, sf_dir), specs.SALES)

@@ -12,11 +12,6 @@ def money(column: Column, precision: int = 10, scale: int = 2) -> Column:
     return F.round(column, scale).try_cast(f"decimal({precision},{scale})")
 
 
-def total(name: str) -> Column:
-    """Exact decimal sum in the stored type."""
-    return F.sum(name).cast("decimal(20,2)")
-
-
 def mean(total_column: Column, count_column: Column, precision: int = 10, scale: int = 2) -> Column:
     """Average from an exact sum: one rounding, where avg(decimal) would round twice."""
     exact = total_column.cast("decimal(20,2)") / count_column.cast("decimal(19,0)")
