@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
 from pyspark.sql import DataFrame, functions as F
@@ -12,6 +14,14 @@ from sluicebox.operators.upsert import merge_upsert
 from sluicebox.plans.layers import CHANGES, CUSTOMERS, PRODUCTS, SALES, SCHEMAS, Layers
 
 DAILY = "gold.daily_sales"
+# tables written at the same time: most jobs are too small to fill a cluster
+AT_ONCE = 4
+
+
+def _each(actions: list[Callable[[], None]]) -> None:
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        for done in [pool.submit(action) for action in actions]:
+            done.result()
 
 
 def build_gold(layers: Layers, as_of: date, tiers=specs.SPEND_TIERS, overwrite: bool = False) -> None:
@@ -20,8 +30,11 @@ def build_gold(layers: Layers, as_of: date, tiers=specs.SPEND_TIERS, overwrite:
     Rows are merged by key, so keys that vanished from silver stay, unless `overwrite` is set.
     """
     sales = layers.read(SALES)
-    for name, parts in gold_parts.PARTS.items():
-        layers.store.write(name, parts(sales).hint("rebalance", gold_parts.MONTH), [gold_parts.MONTH])
+
+    def keep_parts(name: str) -> None:
+        parts = gold_parts.PARTS[name](sales)
+        layers.store.write(name, parts.hint("rebalance", gold_parts.MONTH), [gold_parts.MONTH])
+
     builds = {
         CUSTOMERS: lambda: gold.dim_customers(sales, F.lit(as_of), tiers),
         PRODUCTS: lambda: gold.dim_products(sales),
@@ -31,14 +44,16 @@ def build_gold(layers: Layers, as_of: date, tiers=specs.SPEND_TIERS, overwrite:
         "gold.customer_analytics": lambda: gold.customer_analytics(sales, tiers),
         "gold.category_insights": lambda: gold.category_insights(sales),
     }
-    for name, build in builds.items():
-        key = SCHEMAS[name].names[0]
-        fresh = build()
+
+    def build(name: str) -> None:
+        key, fresh = SCHEMAS[name].names[0], builds[name]()
         if not overwrite and layers.store.exists(name):
             # a NULL key never meets itself in the join: its row is taken from the new build
             known = layers.read(name).where(F.col(key).isNotNull())
             fresh = merge_upsert(known, fresh, [key])
         layers.replace(name, fresh)
+
+    _each([*(lambda n=n: keep_parts(n) for n in gold_parts.PARTS), *(lambda n=n: build(n) for n in builds)])
     layers.store.delete(layers.store.location(CHANGES))
 
 
@@ -56,10 +71,11 @@ def refresh_gold(layers: Layers, as_of: date, tiers=specs.SPEND_TIERS, drop_vani
     parts and take the place of their rows; days since a customer's last purchase move on for all. A
     refresh that fails is repeated whole: the changes go once everything is written.
     """
-    if not layers.store.exists(DAILY):
+    store, kept = layers.store, gold_parts.kept(F.lit(as_of), tiers)
+    # a first build that failed left some of them out
+    if not all(store.exists(name) for name in (DAILY, *kept, *gold_parts.PARTS)):
         build_gold(layers, as_of, tiers)
         return
-    store = layers.store
     if not store.exists(CHANGES):
         _age_customers(layers, as_of)
         return
@@ -68,17 +84,24 @@ def refresh_gold(layers: Layers, as_of: date, tiers=specs.SPEND_TIERS, drop_vani
     month = lambda day: F.trunc(day, "month").alias(gold_parts.MONTH)
     left = sales.select(month("sale_date")).distinct()
     emptied = gold_parts.touched(changes, "sale_date").select(month("_touched")).distinct().join(left, gold_parts.MONTH, "left_anti").collect()
-    for name, parts in gold_parts.PARTS.items():
-        store.write_partitions(name, parts(sales).hint("rebalance", gold_parts.MONTH), [gold_parts.MONTH])
+
+    def keep_parts(name: str) -> None:
+        store.write_partitions(name, gold_parts.PARTS[name](sales).hint("rebalance", gold_parts.MONTH), [gold_parts.MONTH])
         for row in emptied:
             # the month's last row moved to another one
             store.delete(f"{store.location(name)}/{gold_parts.MONTH}={row[0]}")
-    days = gold_parts.touched(changes, "sale_date")
-    _replace(layers, DAILY, gold.daily_sales(gold_parts.of_groups(sales, "sale_date", days)), days, drop_vanished)
-    for name, kept in gold_parts.kept(F.lit(as_of), tiers).items():
+
+    def refresh_daily() -> None:
+        days = gold_parts.touched(changes, "sale_date")
+        _replace(layers, DAILY, gold.daily_sales(gold_parts.of_groups(sales, "sale_date", days)), days, drop_vanished)
+
+    def refresh(name: str) -> None:
         key = SCHEMAS[name].names[0]
         groups = gold_parts.touched(changes, key)
-        _replace(layers, name, kept.total(gold_parts.of_groups(store.read(kept.parts), key, groups)), groups, drop_vanished)
+        _replace(layers, name, kept[name].total(gold_parts.of_groups(store.read(kept[name].parts), key, groups)), groups, drop_vanished)
+
+    _each([*(lambda n=n: keep_parts(n) for n in gold_parts.PARTS), refresh_daily])
+    _each([lambda n=n: refresh(n) for n in kept])
     _age_customers(layers, as_of)
     store.delete(store.location(CHANGES))
 
