@@ -35,9 +35,9 @@ SHARE = 2
 ROUNDS = 2
 BATCH = 8192
 RATE = 0.03
-COUNTED_WORDS = 600_000
+COUNTED_WORDS = 400_000
 KNOWN_WORDS = 400_000
-BLOCK_WORDS = 1_000_000
+BLOCK_WORDS = 500_000
 # words scored at once
 SCORED = 16_384
 # parameters averaged at once
