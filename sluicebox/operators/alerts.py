@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sluicebox import specs
-from sluicebox.session import written
+from sluicebox.session import workers_import, written
 
 ALWAYS = -1  # wait of an alert that is never held back
 WAITS = sorted({ALWAYS if s is None else s for s in specs.THROTTLE_SECONDS.values()})
@@ -93,6 +93,7 @@ def sent_seconds(alerts: DataFrame, last_sent: DataFrame | None = None) -> DataF
     earlier run: it is where a key's chain starts, so alerts of the same second and late ones wait
     like any other.
     """
+    workers_import(alerts.sparkSession)
     seconds = _timed(alerts).where(F.col("alert_key").isNotNull()).groupBy("alert_key", "second").agg(F.min("wait").alias("wait"))
     seconds = written(seconds.withColumn("block", F.floor(F.col("second") / BLOCK)), "alert-seconds")
     own = seconds.withColumn("home", F.col("block"))

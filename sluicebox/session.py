@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from contextlib import contextmanager
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,6 +50,14 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_fallback[app]
 
 
+def workers_import(spark: SparkSession) -> None:
+    """Let Python workers import this package where it is not installed, as in a checkout that driver and
+    executors both see."""
+    env, root = spark.sparkContext.environment, str(Path(__file__).resolve().parents[1])
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, env.get("PYTHONPATH")]))
+
+
 @contextmanager
 def setting(spark: SparkSession, key: str, value: str):
     """A session setting for what runs inside."""

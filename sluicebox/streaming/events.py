@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, St
 
 from sluicebox import specs
 from sluicebox.operators import alerts
+from sluicebox.session import workers_import
 from sluicebox.sources.tables import TableStore
 
 BATCH = "batch"
@@ -164,6 +165,7 @@ def throttled(stream: DataFrame, delay: str = "1 hour") -> DataFrame:
     alert may be before its key's state can be forgotten; alerts later than that are dropped by Spark.
     """
     spark = stream.sparkSession
+    workers_import(spark)
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     timed = stream.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay).select(
         "event_id", "alert_key", "severity", "ts", F.unix_seconds("ts").alias("second"), alerts.waiting_time().alias("wait")
