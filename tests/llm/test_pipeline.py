@@ -103,6 +103,6 @@ def test_workers_find_the_repository(spark):
 
 def test_registered():
     assert set(ORACLES) <= set(QUERIES)
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES if n != "pipeline") == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES if n != "pipeline") == list(range(1, 14))
     assert "pipeline" in QUERIES
     assert all(m for m in (decontamination, near_duplicates, packing, substrings, toxicity))
