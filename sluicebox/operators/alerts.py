@@ -10,7 +10,7 @@ from sluicebox.session import workers_import, written
 ALWAYS = -1  # wait of an alert that is never held back
 WAITS = sorted({ALWAYS if s is None else s for s in specs.THROTTLE_SECONDS.values()})
 # seconds of a block: longer than any wait, so that a block and the halo after it show what follows
-BLOCK = 86_400
+BLOCK = 7 * 86_400
 HALO = max(WAITS) + 1
 
 
@@ -82,10 +82,10 @@ def sent_seconds(alerts: DataFrame, last_sent: DataFrame | None = None) -> DataF
 
     An alert goes out when more than its severity's wait has passed since the key's last one, so each
     decision depends on the one before. No task follows a key through all of its time, though. Alerts are
-    reduced to one row per key and second, and a key's seconds are cut into blocks of a day. Each second
+    reduced to one row per key and second, and a key's seconds are cut into blocks of a week. Each second
     has one successor, the second sent next if it is sent; a block's task finds them, and of each second
     where its chain leaves the block. What is left is a pointer from block to block, of which a key has
-    as many as days: doubling them, in joins over all keys, marks the seconds at which each block is
+    as many as weeks: doubling them, in joins over all keys, marks the seconds at which each block is
     entered after as many rounds as their number has binary digits. The blocks are then walked, each from
     its entry, in tasks of their own.
 
@@ -129,9 +129,12 @@ def sent_seconds(alerts: DataFrame, last_sent: DataFrame | None = None) -> DataF
     blocks = beyond.groupBy("alert_key").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
     for round_ in range(max(0, blocks - 1).bit_length()):
         further = reached.join(jumps, ["alert_key", "second"]).select("alert_key", F.col("next").alias("second"))
-        reached = written(reached.unionByName(further).distinct(), "alert-entries")
         ahead = jumps.select("alert_key", F.col("second").alias("next"), F.col("next").alias("after"))
-        jumps = written(jumps.join(ahead, ["alert_key", "next"]).select("alert_key", "second", F.col("after").alias("next")), "alert-jumps")
+        doubled = jumps.join(ahead, ["alert_key", "next"]).select("alert_key", "second", F.col("after").alias("next"))
+        # both in one table, in which what is reached points nowhere
+        marked = reached.unionByName(further).distinct().withColumn("next", F.lit(None).cast("bigint"))
+        both = written(marked.unionByName(doubled), "alert-round")
+        reached, jumps = both.where("next is null").drop("next"), both.where("next is not null")
     entered = reached.withColumn("block", F.floor(F.col("second") / BLOCK))
     return seconds.groupBy("alert_key", "block").cogroup(entered.groupBy("alert_key", "block")).applyInPandas(
         _walk, "alert_key string, second bigint, wait bigint"
