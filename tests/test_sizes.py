@@ -1,11 +1,13 @@
 """How the registered queries' tables follow the size of what they are made from."""
 
+import re
 from datetime import datetime
 
 import pytest
 
 from registry import deployed, landing
 from registry import tables as R
+from sluicebox.session import setting
 
 DAY = datetime(1998, 3, 2)
 
@@ -42,3 +44,17 @@ def test_landed_sales_are_merged_in_as_many_buckets(spark, star, monkeypatch):
     layers = landing.ingested(spark, star)
     assert layers.sales.buckets == 12
     assert layers.read("silver.sales").count() == 68
+
+
+def test_sales_are_not_shuffled_again_for_the_latest(spark, star):
+    with setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+        silver = R.silver_sales(spark, star)
+        plan = silver._jdf.queryExecution().executedPlan().toString()
+        keys = re.findall(r"Exchange hashpartitioning\((\w+)#", plan)
+        rows = {r["transaction_id"]: r["quantity"] for r in silver.collect()}
+    # a broadcast aside, a line is shuffled to its part and to its order
+    assert sorted(keys) == sorted([
+        "r_regionkey", "n_regionkey", "n_nationkey", "c_nationkey", "c_custkey", "o_custkey",
+        "l_partkey", "p_partkey", "l_orderkey", "o_orderkey",
+    ])
+    assert len(rows) == 68 and rows["TXN-3-1"] == 1 and rows["TXN-3-2"] == 2
