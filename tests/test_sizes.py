@@ -4,12 +4,18 @@ import re
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F, types as T
 
+from helpers import sale, silver_frame
 from registry import deployed, landing
 from registry import tables as R
+from sluicebox.operators import gold, gold_parts, upsert
+from sluicebox.plans.gold import build_gold
 from sluicebox.session import setting
+from sluicebox.sources import tables
 
 DAY = datetime(1998, 3, 2)
+KEYED = T.StructType([T.StructField("k", T.StringType()), T.StructField("day", T.DateType())])
 
 
 @pytest.fixture
@@ -58,3 +64,53 @@ def test_sales_are_not_shuffled_again_for_the_latest(spark, star):
         "l_partkey", "p_partkey", "l_orderkey", "o_orderkey",
     ])
     assert len(rows) == 68 and rows["TXN-3-1"] == 1 and rows["TXN-3-2"] == 2
+
+
+def test_listing_folders_takes_few_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "LISTING_TASKS", 5)
+    stored = tables.KeyedTable(tables.TableStore(spark, str(tmp_path)), "wide", KEYED, ["k"], "day", buckets=2)
+    rows = spark.range(400).selectExpr("cast(id as string) k", "add_months(date'2020-01-01', cast(id % 40 as int)) day")
+    stored.merge(rows)
+    spark.sparkContext.setJobGroup("listing", "")
+    try:
+        assert stored.merge(rows) == 80
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    status = spark.sparkContext.statusTracker()
+    stages = [status.getStageInfo(s) for job in status.getJobIdsForGroup("listing") for s in status.getJobInfo(job).stageIds]
+    # a task lists several of the 80 folders
+    assert stages and max(s.numTasks for s in stages if s) < 80
+
+
+def test_daily_sales_shuffle_no_row_per_product_and_category(spark):
+    sales = silver_frame(spark, [sale(transaction_id=str(i), product_id=f"P{i % 3}", category="AB"[i % 2]) for i in range(12)])
+    daily = gold.daily_sales(sales)
+    plan = daily._jdf.queryExecution().executedPlan().toString()
+    assert not [k for k in re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan) if "product_id" in k and "category" in k]
+    assert daily.select("total_transactions", "unique_products").first() == (12, 3)
+
+
+def test_what_gold_tables_share_is_summed_once(spark, layers):
+    rows = silver_frame(spark, [sale(transaction_id=str(i), product_id=f"P{i % 3}", customer_id=f"C{i % 2}") for i in range(12)])
+    layers.sales.merge(rows)
+    summed = []
+    with pytest.MonkeyPatch.context() as patch:
+        for name, sums in gold_parts.SUMS.items():
+            patch.setitem(gold_parts.SUMS, name, lambda parts, n=name, f=sums: (summed.append(n), f(parts))[1])
+        build_gold(layers, DAY.date())
+    assert sorted(summed) == ["gold_parts.customers", "gold_parts.products"]
+    for name, whole in {
+        "silver.products": gold.dim_products(rows), "gold.product_performance": gold.product_performance(rows),
+        "silver.customers": gold.dim_customers(rows, F.lit(DAY.date())), "gold.customer_analytics": gold.customer_analytics(rows),
+    }.items():
+        assert sorted(map(str, layers.read(name).collect())) == sorted(map(str, whole.collect())), name
+    assert not layers.store.exists("staging.sums.gold_parts.products")
+
+
+def test_first_and_last_rows_of_a_key_meet_without_another_shuffle(spark):
+    batch = spark.createDataFrame([("x", 1, 1, 1), ("x", 2, 2, 2), (None, 3, 3, 1), (None, 4, 4, 2)], "k string, a int, b int, n int")
+    with setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+        one = upsert.collapse_batch(batch, ["k"], ["a"], "n")
+        plan = one._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 2
+        assert sorted(map(tuple, one.collect()), key=str) == [("x", 2, 1), (None, 4, 3)]
