@@ -9,10 +9,11 @@ from pyspark.sql import functions as F, types as T
 from helpers import sale, silver_frame
 from registry import deployed, landing
 from registry import tables as R
-from sluicebox.operators import gold, gold_parts, upsert
+from sluicebox import specs
+from sluicebox.operators import gold, gold_parts, upsert, validation
 from sluicebox.plans.gold import build_gold
 from sluicebox.session import setting
-from sluicebox.sources import tables
+from sluicebox.sources import bronze, tables
 
 DAY = datetime(1998, 3, 2)
 KEYED = T.StructType([T.StructField("k", T.StringType()), T.StructField("day", T.DateType())])
@@ -114,3 +115,28 @@ def test_first_and_last_rows_of_a_key_meet_without_another_shuffle(spark):
         plan = one._jdf.queryExecution().executedPlan().toString()
         assert plan.count("Exchange hashpartitioning") == 2
         assert sorted(map(tuple, one.collect()), key=str) == [("x", 2, 1), (None, 4, 3)]
+
+
+def largest_method(df) -> int:
+    debug = df.sparkSession._jvm.org.apache.spark.sql.execution.debug.__getattr__("package$").__getattr__("MODULE$")
+    text = debug.codegenString(df._jdf.queryExecution().executedPlan())
+    return max(int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text))
+
+
+def test_tagging_and_silver_stay_within_compiled_methods(spark, star, tmp_path):
+    with setting(spark, "spark.sql.adaptive.enabled", "false"):
+        landed = R.bronze(spark, star).select(*specs.SALES.file_columns)
+        landed.coalesce(1).write.parquet(f"{tmp_path}/landed/ingest_date=1998-03-02")
+        found = bronze.list_files(spark, f"{tmp_path}/landed").collect()
+        rows = bronze.read_files(spark, {"one": [r["file_path"] for r in found]}, specs.SALES)
+        # the virtual machine compiles no method over 8000 bytes of bytecode
+        assert largest_method(validation.tag_all(rows, specs.SALES)) <= 8000
+        assert largest_method(R.silver_sales(spark, star)) <= 8000
+
+
+def test_failed_casts_are_named_in_the_order_of_the_columns(spark):
+    sales = silver_frame(spark, [sale(transaction_id="1"), sale(transaction_id="2")])
+    errors = F.when(F.col("transaction_id") == "1", F.array(F.lit("unit_price"), F.lit("quantity"))).otherwise(F.expr("cast(array() as array<string>)"))
+    rows = validation.tag_all(sales.withColumn("cast_errors", errors), specs.SALES)
+    found = {r["transaction_id"]: r["error_reason"] for r in rows.collect()}
+    assert found["1"] == "check:quantity;check:unit_price" and not (found["2"] or "").startswith("check:quantity")
