@@ -11,7 +11,8 @@ from registry import deployed, landing
 from registry import tables as R
 from sluicebox import specs
 from sluicebox.operators import gold, gold_parts, upsert, validation
-from sluicebox.plans.gold import build_gold
+from sluicebox.plans.gold import build_gold, refresh_gold
+from sluicebox.plans.layers import CHANGES, GROUPS
 from sluicebox.session import setting
 from sluicebox.sources import bronze, tables
 
@@ -108,6 +109,40 @@ def test_what_gold_tables_share_is_summed_once(spark, layers):
     assert not layers.store.exists("staging.sums.gold_parts.products")
 
 
+def test_a_refresh_finds_changed_groups_once_and_makes_two_tables_of_parts(spark, layers):
+    rows = [sale(transaction_id=str(i), product_id=f"P{i % 3}", customer_id=f"C{i % 2}") for i in range(6)]
+    nobody = sale(transaction_id="n", customer_id=None, store_location="Y", category="B", region="R")
+    layers.sales.merge(silver_frame(spark, [*rows, nobody]), None, None, GROUPS, CHANGES)
+    refresh_gold(layers, DAY.date())
+    layers.sales.merge(silver_frame(spark, [sale(transaction_id="1", customer_id="C9")]), None, None, GROUPS, CHANGES)
+    found, made = [], []
+    touched, write = gold_parts.touched, layers.store.write_partitions
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(gold_parts, "touched", lambda changes, column: (found.append(column), touched(changes, column))[1])
+        patch.setattr(layers.store, "write_partitions", lambda name, df, by: (made.append(name), write(name, df, by))[1])
+        refresh_gold(layers, DAY.date(), drop_vanished=True)
+    assert sorted(found) == ["category", "customer_id", "product_id", "sale_date", "store_location"]
+    assert sorted(made) == ["gold_parts.buyers", "gold_parts.products"]
+    assert not [c for c in found if layers.store.exists(f"staging.touched.{c}")]
+    sales = layers.read("silver.sales")
+    for name, whole in {
+        "silver.customers": gold.dim_customers(sales, F.lit(DAY.date())), "gold.customer_analytics": gold.customer_analytics(sales),
+        "gold.store_performance": gold.store_performance(sales), "gold.category_insights": gold.category_insights(sales),
+        "gold.daily_sales": gold.daily_sales(sales), "gold.product_performance": gold.product_performance(sales),
+    }.items():
+        assert sorted(map(str, layers.read(name).collect())) == sorted(map(str, whole.collect())), name
+
+
+def test_a_merge_reads_its_batch_in_small_pieces(spark, layers):
+    seen, write = [], layers.store.write
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(layers.store, "write", lambda name, df, by=(): (seen.append(spark.conf.get("spark.sql.files.maxPartitionBytes")), write(name, df, by))[1])
+        with setting(spark, "spark.sql.files.maxPartitionBytes", "128m"):
+            layers.sales.merge(silver_frame(spark, [sale(transaction_id="1")]).withColumn("n", F.lit(1)), None, "n")
+            assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "128m"
+    assert seen == ["32m"]
+
+
 def test_first_and_last_rows_of_a_key_meet_without_another_shuffle(spark):
     batch = spark.createDataFrame([("x", 1, 1, 1), ("x", 2, 2, 2), (None, 3, 3, 1), (None, 4, 4, 2)], "k string, a int, b int, n int")
     with setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
