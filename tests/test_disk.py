@@ -91,6 +91,14 @@ def test_a_first_merge_writes_its_rows_once_and_moves_them(spark, keyed):
         assert table.read().where(F.col("transaction_id") == f"t{i}").count() == 1
 
 
+def test_stored_tables_take_little_room(spark, layers):
+    text = spark.range(20_000).select(F.concat(F.lit("TXN-"), F.md5(F.col("id").cast("string"))).alias("k"), F.lit("x" * 40).alias("v"))
+    size = lambda at: sum(len(open(f, "rb").read()) for f in glob.glob(f"{at}/*.parquet"))
+    text.coalesce(1).write.option("compression", "snappy").parquet(f"{layers.store.root}/plain")
+    layers.store.write("stored", text.coalesce(1))
+    assert size(layers.store.location("stored")) < 0.8 * size(layers.store.location("plain"))
+
+
 def test_a_move_that_broke_off_is_repeated(spark, keyed):
     table = keyed()
     table.merge(batch(spark, ("a", "2024-01-01", 1), ("b", "2024-02-01", 2)))
